@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorebook.operators import documents as docs
-from scorebook.plans.daily_run import BATTING, BOWLING, DELIVERIES, MATCHES, RAW, SUMMARY, WICKETS
+from scorebook.plans.daily_run import DELIVERIES, MATCHES, RAW, WICKETS
 from scorebook.session import shared_dir
 from scorebook.sources.tables import Lake
 
@@ -146,11 +146,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat("n_name", F.when(s["side"] == "F", " A").otherwise(" B")).alias("team"), s["overs"].alias("overs")
         ),
     )
-    name = F.concat(F.lit("file:/landing/"), "key", F.lit(".json"))
+    later = F.when(F.col("part") > 0, F.concat(F.lit("#"), "part")).otherwise("")
+    name = F.concat(F.lit("file:/landing/"), "key", F.lit(".json"), later)
     text = F.to_json(F.struct("meta", "info", shaped.alias("innings")))
     return joined.select(name.alias("source_path"), text.alias("raw_json"), "key")
 
 
+def first_parts(df: DataFrame) -> DataFrame:
+    """One document per match: without the later parts of very large orders."""
+    return df.where(~F.col("source_path").contains("#"))
+
+
 def revised_documents(raw: DataFrame) -> DataFrame:
     """Second delivery of the matches, by match type: changed with a higher revision (and moved to another
     season), changed with a lower one, exact copies, and matches the first delivery leaves out."""
@@ -187,15 +193,3 @@ def build_silver(lake: Lake) -> None:
     lake.replace(MATCHES, docs.build_matches(parsed), ["season"])
     lake.replace(DELIVERIES, docs.build_deliveries(parsed), ["season"])
     lake.replace(WICKETS, docs.build_wickets(lake.load(DELIVERIES)), ["season"])
-
-
-def with_gold(lake: Lake) -> Lake:
-    """The lake with batting, bowling and team totals, which the cards start from."""
-    from scorebook.operators import gold
-
-    if not lake.exists(BATTING):
-        deliveries = lake.load(DELIVERIES)
-        lake.replace(BOWLING, gold.bowling_stats(deliveries), ["season"])
-        lake.replace(SUMMARY, gold.team_match_summary(deliveries), ["season"])
-        lake.replace(BATTING, gold.batting_stats(deliveries), ["season"])
-    return lake

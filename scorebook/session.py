@@ -18,6 +18,7 @@ def local_session(cores: int | str = "*", app: str = "scorebook", **conf: str) -
         .appName(app)
         .config("spark.sql.shuffle.partitions", width)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
     )
