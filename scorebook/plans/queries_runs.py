@@ -1 +1,621 @@
-"""Queries over upserts, checks and run logs."""
+"""Queries over upserts, checks, archives, streams and run logs.
+
+The logs are views of the given tables: events give audit, progress and source rows, orders the archive
+log and line items the file log.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from scorebook.functions import identity
+from scorebook.operators import documents as docs
+from scorebook.operators import gold, quality, runlog, segments, upsert
+from scorebook.plans import oracle as sql
+from scorebook.plans.daily_run import DELIVERIES, MATCHES, RAW, WICKETS
+from scorebook.plans.queries_facts import big
+from scorebook.plans.registry import query
+from scorebook.plans.workload import demo_lake, first_parts, revised_documents, table, write_archives
+from scorebook.session import materialise, shared_dir
+from scorebook.sources import archives
+from scorebook.sources.tables import ensure_columns, in_partitions, listed_partitions
+from scorebook.streaming.ingest import stream_documents
+
+# --------------------------------------------------------------------- upserts
+
+
+def _delivered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Raw rows that stand, and raw rows of the second delivery."""
+    raw = first_parts(demo_lake(spark, sf_dir).load(RAW)).drop(*docs.PARSED)
+    kind = F.get_json_object("raw_json", "$.info.match_type")
+    again = docs.shape_raw(docs.parse_documents(revised_documents(raw)), "load-2").drop(*docs.PARSED)
+    return raw.where(kind != "3-MEDIUM"), again
+
+
+_CHANGE = """CASE match_type WHEN '1-URGENT' THEN 'revised' WHEN '5-LOW' THEN 'older' WHEN '2-HIGH' THEN 'unchanged'
+  WHEN '3-MEDIUM' THEN 'new' END"""
+_NEW_REVISION = "CASE match_type WHEN '1-URGENT' THEN 2 WHEN '5-LOW' THEN 0 ELSE 1 END"
+_KEY = ("match_id", "source_file_sha256", "source_revision")
+
+
+@query(f"""
+{sql.with_(sql.MATCHES)}
+SELECT match_id, CAST({_NEW_REVISION} AS BIGINT) AS source_revision, {_CHANGE} AS change FROM m WHERE match_type <> '4-NOT SPECIFIED'
+""")
+def classify_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    current, batch = _delivered(spark, sf_dir)
+    changes = upsert.classify_batch(current, batch, *_KEY).select("match_id", "source_revision", "change")
+    return big(changes, "source_revision")
+
+
+@query(f"""
+{sql.with_(sql.MATCHES)}
+SELECT match_id, CAST(CASE WHEN match_type = '1-URGENT' THEN 2 ELSE 1 END AS BIGINT) AS source_revision,
+  CASE WHEN match_type IN ('1-URGENT', '3-MEDIUM') THEN 'load-2' ELSE 'load-1' END AS pipeline_run_id
+FROM m
+""")
+def merge_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest rows after the second delivery."""
+    current, batch = _delivered(spark, sf_dir)
+    latest = upsert.merge_by_key(current, current, batch, *_KEY).latest
+    return big(latest.select("match_id", "source_revision", "pipeline_run_id"), "source_revision")
+
+
+@query(f"""
+{sql.with_(sql.MATCHES)}
+SELECT match_id, CAST({_NEW_REVISION} AS BIGINT) AS source_revision FROM m WHERE match_type IN ('1-URGENT', '5-LOW', '3-MEDIUM')
+""")
+def version_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions the second delivery adds to the history: each distinct content once."""
+    current, batch = _delivered(spark, sf_dir)
+    added = upsert.merge_by_key(current, current, batch, *_KEY).new_versions
+    return big(added.select("match_id", "source_revision"), "source_revision")
+
+
+@query(f"""
+{sql.with_(sql.MATCHES)}
+SELECT {sql.big('count(*)', 'candidate_count')}, {sql.big("count(*) FILTER (match_type = '3-MEDIUM')", 'inserted_count')},
+  {sql.big("count(*) FILTER (match_type = '1-URGENT')", 'updated_count')}, {sql.big("count(*) FILTER (match_type = '2-HIGH')", 'unchanged_count')},
+  {sql.big("count(*) FILTER (match_type = '5-LOW')", 'older_count')}
+FROM m WHERE match_type <> '4-NOT SPECIFIED'
+""")
+def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    current, batch = _delivered(spark, sf_dir)
+    return upsert.merge_by_key(current, current, batch, *_KEY).counts
+
+
+def _second_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed documents of the second delivery that are taken over."""
+    raw = demo_lake(spark, sf_dir).load(RAW).drop(*docs.PARSED)
+    urgent = raw.where(F.get_json_object("raw_json", "$.info.match_type") == "1-URGENT")
+    return docs.shape_raw(docs.parse_documents(revised_documents(urgent)), "load-2")
+
+
+_MOVED = "CASE WHEN match_type = '1-URGENT' THEN '1990' ELSE season END"
+
+
+@query(f"""
+{sql.with_(sql.BALLS)}
+SELECT {_MOVED} AS season, CASE WHEN match_type = '1-URGENT' THEN 'load-2' ELSE 'load-1' END AS pipeline_run_id,
+  {sql.big('count(*)', 'balls')}, {sql.big('sum(total_runs)', 'runs')}
+FROM d GROUP BY 1, 2
+""")
+def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries after those of the revised matches have been replaced."""
+    standing = demo_lake(spark, sf_dir).load(DELIVERIES)
+    batch = docs.build_deliveries(_second_batch(spark, sf_dir))
+    after = gold.real_balls(upsert.replace_by_key(standing, batch, ["match_id"]))
+    return after.groupBy("season", "pipeline_run_id").agg(F.count("*").alias("balls"), F.sum("total_runs").alias("runs"))
+
+
+@query(f"""
+{sql.with_(sql.MATCHES)}
+SELECT season FROM m WHERE match_type = '1-URGENT' UNION SELECT '1990'
+""")
+def affected_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seasons to refresh: where the revised matches were, and where they are now."""
+    batch = docs.build_matches(_second_batch(spark, sf_dir))
+    return upsert.affected_partitions(demo_lake(spark, sf_dir).load(MATCHES), batch, ["match_id"], ["season"])
+
+
+@query(f"""
+{sql.with_(sql.BALLS.replace("strftime(o_orderdate, '%Y') AS season", "CASE WHEN o_orderpriority = '1-URGENT' THEN '1990' ELSE strftime(o_orderdate, '%Y') END AS season"), sql.BATTING)}
+SELECT * FROM bat
+""")
+def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batting figures after the revised matches: untouched seasons kept, touched seasons recomputed."""
+    lake = demo_lake(spark, sf_dir)
+    batch = _second_batch(spark, sf_dir)
+    matches = docs.build_matches(batch)
+    touched = listed_partitions(upsert.affected_partitions(lake.load(MATCHES), matches, ["match_id"], ["season"]))
+    standing = lake.load(DELIVERIES)
+    affected = upsert.replace_by_key(in_partitions(standing, touched), docs.build_deliveries(batch), ["match_id"])
+    seasons = [part["season"] for part in touched]
+    kept = gold.batting_stats(standing).where(~F.col("season").isin(*seasons))
+    return kept.unionByName(gold.batting_stats(affected))
+
+
+# ---------------------------------------------------------------------- checks
+
+
+@query("""
+WITH g AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)
+SELECT 'check' AS run_id, 'line_key_unique' AS check_name, 'lineitem' AS table_name, 'CRITICAL' AS severity,
+  CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, CAST(count(*) AS BIGINT) AS failed_record_count,
+  coalesce(min('{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber || ',"count":' || n || '}'), '{}') AS sample_failure_json
+FROM g
+""")
+def dq_unique_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    check = quality.check_unique(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "line_key_unique", "lineitem")
+    return quality.run_checks([check], "check").drop("checked_at")
+
+
+@query("""
+SELECT 'check' AS run_id, check_name, table_name, 'CRITICAL' AS severity, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status,
+  CAST(n AS BIGINT) AS failed_record_count
+FROM (
+  SELECT 'balance_nonnegative' AS check_name, 'customer' AS table_name, count(*) FILTER (c_acctbal < 0) AS n FROM customer
+  UNION ALL SELECT 'price_nonnegative', 'lineitem', count(*) FILTER (l_quantity < 0 OR l_extendedprice < 0) FROM lineitem)
+""")
+def dq_nonnegative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checks = [
+        quality.check_nonnegative(table(spark, sf_dir, "customer"), ["c_acctbal"], "balance_nonnegative", "customer"),
+        quality.check_nonnegative(
+            table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice"], "price_nonnegative", "lineitem"
+        ),
+    ]
+    return quality.run_checks(checks, "check").drop("checked_at", "sample_failure_json")
+
+
+@query(f"""
+{sql.with_(sql.BALLS)},
+k AS (SELECT match_id, innings_number, over_number, delivery_sequence FROM d GROUP BY ALL HAVING count(*) > 1),
+c AS (
+  SELECT 'silver_delivery_key_unique' AS check_name, 'silver_deliveries' AS table_name, 'CRITICAL' AS severity, (SELECT count(*) FROM k) AS n
+  UNION ALL SELECT 'silver_delivery_runs_nonnegative', 'silver_deliveries', 'CRITICAL', (SELECT count(*) FROM d WHERE total_runs < 0 OR batter_runs < 0)
+  UNION ALL SELECT 'silver_match_id_unique', 'silver_matches', 'CRITICAL', (SELECT count(*) - count(DISTINCT match_id) FROM m)
+  UNION ALL SELECT 'silver_delivery_match_known', 'silver_deliveries', 'WARNING', (SELECT count(DISTINCT l_orderkey) FROM lineitem WHERE l_orderkey NOT IN (SELECT k FROM m))
+  UNION ALL SELECT 'silver_delivery_score_adds_up', 'silver_deliveries', 'WARNING', (SELECT count(*) FROM d WHERE batter_runs + extras_runs <> total_runs)
+  UNION ALL SELECT 'silver_wicket_totals_agree', 'silver_wickets', 'WARNING', 0
+  UNION ALL SELECT 'gold_batting_runs_agree', 'gold_player_batting_stats', 'WARNING', 0
+  UNION ALL SELECT 'gold_bowling_runs_agree', 'gold_bowler_stats', 'WARNING', 0
+  UNION ALL SELECT 'gold_team_runs_agree', 'gold_team_match_summary', 'WARNING', 0
+  UNION ALL SELECT 'gold_legal_balls_agree', 'gold_bowler_stats', 'WARNING', 0
+  UNION ALL SELECT 'serving_split_complete', 'gold_ai_match_facts', 'CRITICAL', 0
+)
+SELECT check_name, table_name, severity, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, CAST(n AS BIGINT) AS failed_record_count FROM c
+""")
+def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All layer checks on the workload tables."""
+    lake = demo_lake(spark, sf_dir)
+    matches, balls = lake.load(MATCHES), lake.load(DELIVERIES)
+    stats = gold.batting_stats(balls), gold.bowling_stats(balls), gold.team_match_summary(balls)
+    facts = docs.match_facts(matches)
+    parts = list(segments.split_segments(facts, segments.DEFAULT_FOCUS).values())
+    checks = [
+        *quality.silver_checks(matches, balls, lake.load(WICKETS)),
+        *quality.gold_checks(balls, *stats),
+        quality.check_split(facts, parts, "serving_split_complete", "gold_ai_match_facts"),
+    ]
+    return quality.run_checks(checks, "check").drop("run_id", "checked_at", "sample_failure_json")
+
+
+@query(f"""
+WITH a AS (SELECT l_returnflag AS flag, l_linestatus AS side, count(*) AS n FROM lineitem WHERE l_tax > 0 GROUP BY 1, 2),
+b AS (SELECT l_returnflag AS flag, l_linestatus AS side, count(*) AS n FROM lineitem GROUP BY 1, 2),
+p AS (SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)),
+v AS (SELECT * FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW')),
+c AS (
+  SELECT 'taxed_lines_agree' AS check_name, 'lineitem' AS table_name, (SELECT count(*) FROM b LEFT JOIN a USING (flag, side) WHERE b.n <> coalesce(a.n, 0)) AS n
+  UNION ALL SELECT 'order_has_lines', 'orders', (SELECT count(*) FROM p)
+  UNION ALL SELECT 'latest_is_newest', 'bronze_raw_matches', (SELECT count(*) FROM v WHERE o_orderpriority = '1-URGENT')
+)
+SELECT check_name, table_name, 'WARNING' AS severity, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, CAST(n AS BIGINT) AS failed_record_count FROM c
+""")
+def dq_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference, total and latest-revision checks that find real differences."""
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    keys = ["l_returnflag", "l_linestatus"]
+    per_kind = lambda df: df.groupBy(*keys).agg(F.count("*").alias("n"))
+    current, batch = _delivered(spark, sf_dir)
+    checks = [
+        quality.check_reconcile(per_kind(lines), per_kind(lines.where(F.col("l_tax") > 0)), keys, "n", "taxed_lines_agree", "lineitem"),
+        quality.check_reference(
+            orders.withColumnRenamed("o_orderkey", "l_orderkey"), lines, ["l_orderkey"], "order_has_lines", "orders"
+        ),
+        quality.check_latest_revision(current, current.unionByName(batch), "latest_is_newest", "bronze_raw_matches"),
+    ]
+    return quality.run_checks(checks, "check").drop("run_id", "checked_at", "sample_failure_json")
+
+
+# ------------------------------------------------------------------------ logs
+
+_RUN = "run-1998"
+
+
+def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("run-"), 1995 + F.col("user_id") % 7).alias("run_id"),
+        F.col("event_type").alias("task_name"),
+        F.when(F.col("event_id") % 9 == 0, "FAILED").otherwise("SUCCEEDED").alias("status"),
+        F.col("ts").alias("recorded_at"),
+        F.round(F.col("value") * 100).alias("duration_seconds"),
+        F.col("user_id").alias("input_count"),
+        F.get_json_object("props", "$.k").try_cast("bigint").alias("inserted_count"),
+    )
+
+
+_AUDIT_SQL = """
+audit AS (
+  SELECT 'run-' || (1995 + user_id % 7) AS run_id, event_type AS task_name, CASE WHEN event_id % 9 = 0 THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,
+    ts AS recorded_at, round(value * 100) AS duration_seconds, user_id AS input_count, CAST(json_extract_string(props, '$.k') AS BIGINT) AS inserted_count
+  FROM events
+),
+last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY run_id, task_name ORDER BY recorded_at DESC, status) AS rn FROM audit) WHERE rn = 1),
+expected AS (
+  SELECT DISTINCT run_id, task_name FROM audit
+  UNION SELECT DISTINCT run_id, 'refund' FROM audit WHERE run_id < 'run-1998'
+),
+tasks AS (
+  SELECT run_id, task_name, coalesce(status, 'NOT_RECORDED') AS status, coalesce(duration_seconds, 0.0) AS duration_seconds,
+    coalesce(input_count, 0) AS input_count, coalesce(inserted_count, 0) AS inserted_count
+  FROM expected LEFT JOIN last USING (run_id, task_name)
+)"""
+
+
+def _expected(audit: DataFrame) -> DataFrame:
+    """Tasks every run should have: those seen, and a refund task in the earlier runs."""
+    refunds = audit.where(F.col("run_id") < _RUN).select("run_id", F.lit("refund").alias("task_name"))
+    return audit.select("run_id", "task_name").unionByName(refunds).distinct()
+
+
+def _tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audit = _audit(spark, sf_dir)
+    return runlog.task_status(_expected(audit), audit).drop("recorded_at")
+
+
+@query(f"WITH {_AUDIT_SQL} SELECT * FROM tasks")
+def task_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tasks(spark, sf_dir)
+
+
+@query(f"""
+WITH {_AUDIT_SQL}
+SELECT run_id, CASE WHEN bool_or(status = 'FAILED') THEN 'FAILED' WHEN bool_or(status = 'NOT_RECORDED') THEN 'INCOMPLETE' ELSE 'SUCCEEDED' END AS run_status
+FROM tasks GROUP BY run_id
+""")
+def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runlog.run_status(_tasks(spark, sf_dir), ["run_id"])
+
+
+@query(f"WITH {_AUDIT_SQL} SELECT run_id, task_name, status, duration_seconds FROM tasks WHERE duration_seconds > 600")
+def slow_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runlog.slow_tasks(_tasks(spark, sf_dir)).select("run_id", "task_name", "status", "duration_seconds")
+
+
+@query("""
+WITH h AS (
+  SELECT 'run-' || user_id AS run_id, CASE WHEN event_type = 'error' THEN 'FAILED' WHEN event_type = 'signup' THEN 'RUNNING' ELSE 'SUCCEEDED' END AS status,
+    ts, event_id FROM events)
+SELECT run_id, status, event_id FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY ts DESC) AS rn FROM h) WHERE rn = 1
+""")
+def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open and close entries of each run reduced to its current state."""
+    state = F.when(F.col("event_type") == "error", "FAILED").when(F.col("event_type") == "signup", "RUNNING").otherwise("SUCCEEDED")
+    log = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("run-"), "user_id").alias("run_id"), state.alias("status"), F.col("ts").alias("recorded_at"),
+        F.col("ts").alias("completed_at"), "event_id",
+    )
+    return runlog.run_history(log).select("run_id", "status", "event_id")
+
+
+@query("""
+SELECT CAST(conv_id AS VARCHAR) AS current_item, CAST(turn AS BIGINT) AS processed_count, role AS status
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM conversations) WHERE rn = 1
+""")
+def latest_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    progress = table(spark, sf_dir, "conversations").select(
+        F.lit(_RUN).alias("run_id"),
+        F.lit("extract").alias("task_name"),
+        F.col("conv_id").cast("string").alias("current_item"),
+        F.col("turn").cast("bigint").alias("processed_count"),
+        F.col("role").alias("status"),
+        F.col("turn").alias("updated_at"),
+    )
+    return runlog.latest_progress(progress).select("current_item", "processed_count", "status")
+
+
+def _archive_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = F.when(F.col("o_orderstatus") == "F", "extracted").when(F.col("o_orderstatus") == "O", "skipped_already_processed").otherwise("failed")
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("z"), "o_custkey").alias("zip_sha256"),
+        F.concat(F.lit("run-"), F.date_format("o_orderdate", "yyyy")).alias("run_id"),
+        state.alias("status"),
+        (F.col("o_orderkey") % 50).alias("json_file_count"),
+    )
+
+
+def _file_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("l_returnflag") == "A", ".json").when(F.col("l_returnflag") == "N", ".CSV").otherwise(".txt")
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("/", "l_orderkey", "l_linenumber").alias("extracted_path"),
+        F.concat(F.lit("run-"), F.date_format("l_shipdate", "yyyy")).alias("run_id"),
+        kind.alias("file_extension"),
+        F.when(F.col("l_linestatus") == "F", "extracted").otherwise("failed").alias("extraction_status"),
+        F.col("l_orderkey").cast("string").alias("zip_sha256"),
+        F.concat(F.lit("/zips/"), "l_orderkey").alias("zip_path"),
+    )
+
+
+_LOGS_SQL = """
+zips AS (
+  SELECT 'z' || o_custkey AS zip_sha256, 'run-' || strftime(o_orderdate, '%Y') AS run_id, o_orderkey % 50 AS json_file_count,
+    CASE o_orderstatus WHEN 'F' THEN 'extracted' WHEN 'O' THEN 'skipped_already_processed' ELSE 'failed' END AS status FROM orders
+),
+files AS (
+  SELECT l_orderkey || '/' || l_linenumber AS path, 'run-' || strftime(l_shipdate, '%Y') AS run_id,
+    CASE l_returnflag WHEN 'A' THEN '.json' WHEN 'N' THEN '.csv' ELSE '.txt' END AS ext, l_linestatus = 'F' AS ok FROM lineitem
+)"""
+
+
+@query(f"""
+WITH {_LOGS_SQL}
+SELECT 'ZIP' AS file_type, count(DISTINCT zip_sha256) FILTER (run_id = '{_RUN}' AND status = 'extracted') AS new_this_run,
+  count(DISTINCT zip_sha256) FILTER (status IN ('extracted', 'skipped_already_processed')) AS total_available FROM zips
+UNION ALL SELECT upper(substr(ext, 2)), count(DISTINCT path) FILTER (run_id = '{_RUN}'), count(DISTINCT path) FROM files
+WHERE ok AND ext IN ('.json', '.csv') GROUP BY ext
+""")
+def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runlog.file_inventory(_archive_log(spark, sf_dir), _file_log(spark, sf_dir), _RUN)
+
+
+@query(f"""
+WITH {_LOGS_SQL}, {_AUDIT_SQL}
+SELECT '{_RUN}' AS run_id,
+  (SELECT CASE WHEN bool_or(status = 'FAILED') THEN 'FAILED' WHEN bool_or(status = 'NOT_RECORDED') THEN 'INCOMPLETE' ELSE 'SUCCEEDED' END FROM tasks WHERE run_id = '{_RUN}') AS status,
+  (SELECT count(*) FROM zips WHERE run_id = '{_RUN}' AND status = 'extracted') AS zip_files_extracted,
+  (SELECT CAST(coalesce(sum(json_file_count), 0) AS BIGINT) FROM zips WHERE run_id = '{_RUN}' AND status = 'extracted') AS json_files_extracted,
+  (SELECT count(DISTINCT path) FROM files WHERE ok AND ext = '.json') AS total_json_files,
+  (SELECT count(DISTINCT path) FROM files WHERE ok AND ext = '.json' AND run_id = '{_RUN}') AS new_json_files,
+  (SELECT coalesce(max(inserted_count), 0) FROM audit WHERE run_id = '{_RUN}' AND task_name = 'purchase') AS bronze_inserted_matches,
+  (SELECT count(*) FROM tasks WHERE run_id = '{_RUN}' AND duration_seconds > 600) AS slow_task_count
+""")
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audit = _audit(spark, sf_dir)
+    tasks = _tasks(spark, sf_dir).where(F.col("run_id") == _RUN)
+    return runlog.run_summary(_archive_log(spark, sf_dir), _file_log(spark, sf_dir), audit, tasks, _RUN, "purchase")
+
+
+_FLAG_TABLES = {"purchase": "orders", "signup": "customer"}
+
+
+@query("""
+WITH log AS (
+  SELECT CASE event_type WHEN 'purchase' THEN 'orders' WHEN 'signup' THEN 'customer' ELSE event_type END AS table_name,
+    CAST(json_extract_string(props, '$.k') AS BIGINT) AS total_count, ts, 'run-' || (1995 + user_id % 7) AS run_id FROM events),
+prior AS (SELECT table_name, arg_max(total_count, ts) AS prior_total FROM log WHERE run_id <> 'run-1998' GROUP BY 1),
+t AS (
+  SELECT 'orders' AS table_name, count(*) AS total, NULL AS mine FROM orders
+  UNION ALL SELECT 'customer', count(*), NULL FROM customer
+  UNION ALL SELECT 'supplier', count(*), NULL FROM supplier
+  UNION ALL SELECT 'lineitem', count(*), count(*) FILTER (strftime(l_shipdate, '%Y') = '1998') FROM lineitem)
+SELECT 'run-1998' AS run_id, table_name, CAST(coalesce(mine, greatest(total - prior_total, 0), 0) AS BIGINT) AS new_count,
+  CAST(coalesce(greatest(total - mine, 0), prior_total, total) AS BIGINT) AS old_count, CAST(total AS BIGINT) AS total_count
+FROM t LEFT JOIN prior USING (table_name)
+""")
+def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New, old and total rows: by run id, from the previous total, and with neither."""
+    named = F.col("event_type")
+    for event, target in _FLAG_TABLES.items():
+        named = F.when(F.col("event_type") == event, target).otherwise(named)
+    log = table(spark, sf_dir, "events").select(
+        named.alias("table_name"),
+        F.get_json_object("props", "$.k").try_cast("bigint").alias("total_count"),
+        F.col("ts").alias("recorded_at"),
+        F.concat(F.lit("run-"), 1995 + F.col("user_id") % 7).alias("run_id"),
+    )
+    tables = {name: table(spark, sf_dir, name) for name in ("orders", "customer", "supplier", "lineitem")}
+    shipped = F.concat(F.lit("run-"), F.date_format("l_shipdate", "yyyy"))
+    tables["lineitem"] = tables["lineitem"].withColumn("pipeline_run_id", shipped)
+    return runlog.table_counts(tables, log, _RUN)
+
+
+_SOURCE_SQL = """
+seen AS (SELECT user_id, arg_max(event_type, ts) AS etag, arg_max(CAST(json_extract_string(props, '$.k') AS BIGINT), ts) AS modified,
+  arg_max(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END, ts) AS hashed FROM events GROUP BY 1)"""
+
+
+@query(f"""
+WITH {_SOURCE_SQL}
+SELECT 'user-' || c_custkey AS source_name, CASE WHEN seen.user_id IS NULL THEN 'new'
+  WHEN c_custkey % 3 <> 1 AND hashed = 1 THEN 'unchanged' ELSE 'changed' END AS change
+FROM customer LEFT JOIN seen ON user_id = c_custkey
+""")
+def source_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observed sources against the latest manifest row of each."""
+    k = F.get_json_object("props", "$.k")
+    manifest = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("user-"), "user_id").alias("source_name"),
+        F.col("event_type").alias("etag"),
+        k.alias("last_modified"),
+        F.when(F.col("event_type") != "error", F.sha2("props", 256)).alias("sha256"),
+        F.col("ts").alias("updated_at"),
+    )
+    last = manifest.groupBy("source_name").agg(
+        F.max_by("etag", "updated_at").alias("etag"), F.max_by("last_modified", "updated_at").alias("last_modified")
+    )
+    sources = table(spark, sf_dir, "customer").select(F.concat(F.lit("user-"), "c_custkey").alias("source_name"), "c_custkey")
+    observed = sources.join(last, "source_name", "left").withColumn(
+        "etag", F.when(F.col("c_custkey") % 3 == 1, F.concat("etag", F.lit("-2"))).otherwise(F.col("etag"))
+    )
+    return runlog.diff_sources(manifest, observed).select("source_name", "change")
+
+
+@query("""
+SELECT 'user-' || user_id AS source_name, event_type AS source_type, upper(event_type) AS download_status,
+  CAST(json_extract_string(props, '$.k') AS BIGINT) AS content_length, 0.0::DOUBLE + user_id AS duration_seconds
+FROM events WHERE 'run-' || (1995 + user_id % 7) = 'run-1998'
+""")
+def fetch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duration, size and status of the sources of one run."""
+    # The fetch time of a source is its number in seconds.
+    manifest = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("user-"), "user_id").alias("source_name"),
+        F.col("event_type").alias("source_type"),
+        F.col("event_type").alias("download_status"),
+        F.get_json_object("props", "$.k").try_cast("bigint").alias("content_length"),
+        F.timestamp_seconds("event_id").alias("download_started_at"),
+        F.timestamp_seconds(F.col("event_id") + F.col("user_id")).alias("download_completed_at"),
+        F.lit(None).cast("string").alias("error_message"),
+        F.concat(F.lit("run-"), 1995 + F.col("user_id") % 7).alias("ingestion_run_id"),
+    )
+    return runlog.fetch_report(manifest, _RUN).drop("error_message")
+
+
+@query("""
+SELECT CAST(l_orderkey AS VARCHAR) AS zip_sha256, count(*) FILTER (l_linestatus = 'F') AS processed_count, count(*) AS total_count,
+  count(*) FILTER (l_linestatus <> 'F') AS failed_count, CASE WHEN count(*) FILTER (l_linestatus <> 'F') > 0 THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,
+  round(count(*) FILTER (l_linestatus = 'F') * 100.0 / count(*), 4)::DOUBLE AS percent_complete
+FROM lineitem GROUP BY 1
+""")
+def archive_progress_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = runlog.archive_progress(_file_log(spark, sf_dir)).drop("zip_path")
+    return done.withColumn("percent_complete", F.round("percent_complete", 4))
+
+
+# ------------------------------------------------------- archives and arrivals
+
+
+@query("""
+WITH a AS (SELECT doc_id, source, sha256(source || lang) AS sha FROM documents),
+known AS (SELECT DISTINCT sha256(source || lang) AS sha FROM documents JOIN labels USING (doc_id) WHERE toxic = 1),
+first AS (SELECT sha, min('/in/' || lpad(CAST(doc_id AS VARCHAR), 12, '0')) AS path FROM a GROUP BY 1)
+SELECT '/in/' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS zip_path,
+  CASE WHEN known.sha IS NOT NULL OR first.path <> '/in/' || lpad(CAST(doc_id AS VARCHAR), 12, '0') THEN 'skipped_already_processed' ELSE 'pending' END AS status
+FROM a LEFT JOIN known USING (sha) LEFT JOIN first USING (sha)
+""")
+def skip_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives by content hash: known from before, repeated in the batch, or to be opened."""
+    documents = table(spark, sf_dir, "documents")
+    digest = F.sha2(F.concat("source", "lang"), 256).alias("zip_sha256")
+    arrived = documents.select(F.concat(F.lit("/in/"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("zip_path"), digest)
+    toxic = table(spark, sf_dir, "labels").where(F.col("toxic") == 1)
+    manifest = documents.join(toxic, "doc_id", "left_semi").select(digest, F.lit("extracted").alias("status"))
+    return archives.skip_processed(arrived, manifest).select("zip_path", "status")
+
+
+@query("""
+SELECT page_id, CASE page_id % 7 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN 'a/' || page_id || '.json' WHEN 3 THEN page_id || '.CSV'
+  WHEN 4 THEN NULL WHEN 5 THEN 'x/y/' || page_id || '.json' ELSE NULL END AS safe_path
+FROM pages
+""")
+def safe_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Member names of every shape: leaving the archive, absolute, backslashes, inner steps, other kinds."""
+    key = F.col("page_id")
+    shapes = ["../{}.json", "/etc/{}.json", "a/b/../{}.json", "./{}.CSV", "a/../../{}.json", "x\\y\\{}.json", "n/{}.txt"]
+    member = F.lit(None).cast("string")
+    for number, shape in enumerate(shapes):
+        before, after = shape.split("{}")
+        member = F.when(key % len(shapes) == number, F.concat(F.lit(before), key, F.lit(after))).otherwise(member)
+    cleaned = F.when(identity.member_is_safe(F.col("member")), identity.clean_member(F.col("member")))
+    return table(spark, sf_dir, "pages").select("page_id", member.alias("member")).select("page_id", cleaned.alias("safe_path"))
+
+
+@query("""
+WITH f AS (SELECT o_custkey || '.json' AS name, sha256(o_orderstatus) AS sha, strftime(o_orderdate, '%Y-%m-%d') AS zip, o_orderkey FROM orders),
+g AS (SELECT name, first(sha ORDER BY zip, o_orderkey) AS first_sha FROM f GROUP BY name)
+SELECT o_orderkey AS member_index, CASE WHEN sha = first_sha THEN name ELSE replace(name, '.json', '') || '__' || substr(sha, 1, 12) || '.json' END AS final_name
+FROM f JOIN g USING (name)
+""")
+def versioned_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members sharing a file name: the first content keeps it, other content gets a hash suffix."""
+    members = table(spark, sf_dir, "orders").select(
+        F.concat(F.col("o_custkey"), F.lit(".json")).alias("source_filename"),
+        F.sha2("o_orderstatus", 256).alias("file_sha256"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("zip_path"),
+        F.col("o_orderkey").alias("member_index"),
+    )
+    return archives.name_versions(members).select("member_index", "final_name")
+
+
+@query("""
+SELECT doc_id || '.json' AS source_filename, sha256(text) AS file_sha256, CAST(octet_length(encode(text)) AS BIGINT) AS file_size_bytes,
+  'extracted' AS extraction_status FROM documents
+""")
+def archive_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zips made of all documents: hashed, listed, and read back member by member."""
+    texts = table(spark, sf_dir, "documents").select(F.concat("doc_id", F.lit(".json")).alias("member"), "text")
+    folder = f"{shared_dir(spark)}/scorebook/zips-{uuid.uuid4().hex}"
+    write_archives(texts, folder)
+    found = archives.hash_archives(archives.list_archives(spark, folder))
+    members = archives.explode_archives(found)
+    return members.select("source_filename", "file_sha256", "file_size_bytes", "extraction_status")
+
+
+@query("""
+SELECT page_id, sha256(html) AS sha256, CAST(length(html) AS BIGINT) AS n FROM pages
+""")
+def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages arriving as files, taken in by the stream and upserted by content hash."""
+    base = f"{shared_dir(spark)}/scorebook/stream-{uuid.uuid4().hex}"
+    pages = table(spark, sf_dir, "pages")
+    pages.select("page_id", F.col("html").alias("value")).write.partitionBy("page_id").text(f"{base}/landing")
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        number = F.regexp_extract("source_path", "page_id=([0-9]+)", 1).cast("bigint")
+        # The text sink ends every file with one line feed.
+        text = F.regexp_replace("raw_json", "\n$", "")
+        rows = batch.select(number.alias("page_id"), F.sha2(text, 256).alias("sha256"), F.length(text).cast("bigint").alias("n"))
+        rows.write.mode("overwrite").parquet(f"{base}/table/batch={batch_id}")
+
+    stream_documents(spark, f"{base}/landing", f"{base}/checkpoint", take).awaitTermination()
+    taken = spark.read.parquet(f"{base}/table")
+    return upsert.latest_by_key(taken, ["page_id", "sha256"], [F.col("batch").desc()]).drop("batch")
+
+
+@query("""
+SELECT event_type, CAST(NULL AS VARCHAR) AS error_message, CAST(NULL AS BIGINT) AS updated_count, 'unknown' AS region, count(*) AS n FROM events GROUP BY 1
+""")
+def additive_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns an older table lacks, typed NULL or with a default; present ones stay."""
+    wanted = {"EVENT_TYPE": "string", "error_message": "string", "updated_count": "bigint", "region": F.lit("unknown")}
+    wide = ensure_columns(table(spark, sf_dir, "events"), wanted)
+    return wide.groupBy("event_type", "error_message", "updated_count", "region").agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT l_returnflag AS flag, strftime(l_shipdate, '%Y') AS season, count(*) AS n FROM lineitem WHERE NOT (strftime(l_shipdate, '%Y') = '1997' AND l_returnflag = 'A')
+GROUP BY 1, 2
+""")
+def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two partitions replaced in a written table: one by fewer rows, one by none at all."""
+    from scorebook.sources.tables import Lake
+
+    lake = Lake(spark, f"{shared_dir(spark)}/scorebook/replace-{uuid.uuid4().hex}")
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("flag"), F.date_format("l_shipdate", "yyyy").alias("season")
+    )
+    extra = lines.where(F.col("season") == "1998").withColumn("season", F.lit("2007/08"))
+    lake.replace("lines", lines.unionByName(extra), ["season"])
+    touched = [{"season": "1997"}, {"season": "2007/08"}]
+    kept = in_partitions(lake.load("lines"), [{"season": "1997"}]).where(F.col("flag") != "A")
+    lake.replace_partitions("lines", kept, ["season"], touched)
+    return lake.load("lines").groupBy("flag", "season").agg(F.count("*").alias("n"))
+
+
+@query(f"""
+{sql.with_(sql.BALLS)}
+SELECT season, {sql.big('count(*)', 'output_count')}, {sql.big('sum(total_runs)', 'runs')} FROM d WHERE season = '1998' GROUP BY 1
+""")
+def observed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counters gathered by the write itself, against the written rows."""
+    balls = gold.real_balls(demo_lake(spark, sf_dir).load(DELIVERIES)).where(F.col("season") == "1998")
+    watched, seen = runlog.observe_load(balls, f"load-{uuid.uuid4().hex}", runs=F.sum("total_runs"))
+    written = materialise(watched.select("season", "total_runs"), "observed")
+    counters = seen.get
+    return written.select("season").distinct().select(
+        "season", F.lit(counters["output_count"]).cast("bigint").alias("output_count"), F.lit(counters["runs"]).cast("bigint").alias("runs")
+    )

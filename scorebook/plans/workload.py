@@ -7,7 +7,12 @@ place. The documents go through the real path (text, parse, explode), once per s
 from __future__ import annotations
 
 import hashlib
+import io
+import zipfile
 
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -193,3 +198,39 @@ def build_silver(lake: Lake) -> None:
     lake.replace(MATCHES, docs.build_matches(parsed), ["season"])
     lake.replace(DELIVERIES, docs.build_deliveries(parsed), ["season"])
     lake.replace(WICKETS, docs.build_wickets(lake.load(DELIVERIES)), ["season"])
+
+
+def write_archives(texts: DataFrame, folder: str, limit: int = 8 << 20) -> None:
+    """Pack ``(member, text)`` rows into zips of about ``limit`` bytes below ``folder``.
+
+    Names come from the task and a counter, so a repeated task writes the same files again.
+    """
+    local = "/" + folder.removeprefix("file:").lstrip("/") if folder.startswith(("file:", "/")) else None
+
+    def pack(batches):
+        filesystem, base = (fs.LocalFileSystem(), local) if local else fs.FileSystem.from_uri(folder)
+        filesystem.create_dir(base, recursive=True)
+        task, number = TaskContext.get().partitionId(), 0
+        buffer, archive, held = None, None, 0
+
+        def store() -> pa.RecordBatch:
+            archive.close()
+            path = f"{base}/{task:05d}-{number:05d}.zip"
+            with filesystem.open_output_stream(path) as sink:
+                sink.write(buffer.getvalue())
+            return pa.RecordBatch.from_pylist([{"path": path}])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if archive is None:
+                    buffer = io.BytesIO()
+                    archive, held, number = zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED), 0, number + 1
+                archive.writestr(row["member"], row["text"])
+                held += len(row["text"])
+                if held >= limit:
+                    yield store()
+                    archive = None
+        if archive is not None:
+            yield store()
+
+    texts.select("member", "text").mapInArrow(pack, "path string").write.mode("overwrite").parquet(f"{folder}/_packed")

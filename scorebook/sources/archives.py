@@ -16,10 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorebook.functions import identity
+from scorebook.session import materialise
 
 CHUNK = 1 << 20
 BATCH_BYTES = 32 << 20
 TASK_BYTES = 128 << 20
+MAX_TASKS = 100_000
 
 _HASHED = pa.schema([
     ("zip_path", pa.string()),
@@ -93,9 +95,12 @@ def _hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def hash_archives(archives: DataFrame) -> DataFrame:
-    """Add the SHA-256 of each archive, read as a stream of 1 MiB pieces."""
-    spread = archives.hint("rebalance")
-    return spread.mapInArrow(_hash_files, _HASHED_DDL)
+    """Add the SHA-256 of each archive, read as a stream of 1 MiB pieces.
+
+    The file scan already packs archives into tasks by their size; an exchange here would only see tiny
+    listing rows and could merge them into one task.
+    """
+    return archives.mapInArrow(_hash_files, _HASHED_DDL)
 
 
 def skip_processed(archives: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -146,7 +151,16 @@ def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def list_members(archives: DataFrame) -> DataFrame:
     """One row per archive entry with its size, CRC and the bytes stored before it."""
-    return archives.select("zip_path", "zip_sha256").mapInArrow(_list_members, _LISTED_DDL)
+    spread = archives.select("zip_path", "zip_sha256").repartition(_width(archives.sparkSession), "zip_path")
+    return spread.mapInArrow(_list_members, _LISTED_DDL)
+
+
+def _width(spark: SparkSession, total_bytes: int = 0, task_bytes: int = TASK_BYTES) -> int:
+    """Task count for work that is large although its input rows are small.
+
+    A stated count also keeps adaptive execution from merging such rows into few tasks.
+    """
+    return min(MAX_TASKS, max(spark.sparkContext.defaultParallelism, -(-total_bytes // task_bytes)))
 
 
 def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,9 +201,11 @@ def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def read_members(members: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
     """Add ``content``. Runs of about ``task_bytes`` of one archive form one unit of work."""
-    piece = F.floor(F.col("bytes_before") / task_bytes)
     columns = [field.name for field in _LISTED]
-    spread = members.select(*columns, piece.alias("_piece")).repartition("zip_path", "_piece")
+    total = members.agg(F.sum("file_size_bytes")).first()[0] or 0
+    width = _width(members.sparkSession, total, task_bytes)
+    piece = F.floor(F.col("bytes_before") / task_bytes)
+    spread = members.select(*columns, piece.alias("_piece")).repartition(width, "zip_path", "_piece")
     ordered = spread.sortWithinPartitions("zip_path", "member_index").select(*columns)
     return ordered.mapInArrow(_read_members, _READ_DDL)
 
@@ -200,9 +216,8 @@ def explode_archives(archives: DataFrame, task_bytes: int = TASK_BYTES) -> DataF
     Members whose path would leave the archive are kept as ``invalid`` rows without being read, broken
     members and unreadable archives as ``failed`` rows.
     """
-    listed = list_members(archives).where(
-        F.col("error_class").isNotNull() | identity.is_wanted_member(F.col("member"))
-    )
+    wanted = F.col("error_class").isNotNull() | identity.is_wanted_member(F.col("member"))
+    listed = materialise(list_members(archives).where(wanted), "listing")
     readable = F.col("error_class").isNull() & identity.member_is_safe(F.col("member"))
     read = read_members(listed.where(readable), task_bytes)
     refused = listed.where(~F.coalesce(readable, F.lit(False))).withColumn("content", F.lit(None).cast("binary"))
