@@ -7,21 +7,23 @@ through tables, so a lost executor repeats tasks and a failed run can be started
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+import uuid
+from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scorebook import schemas
 from scorebook.operators import documents as docs
 from scorebook.operators import gold, quality, runlog, segments, upsert
 from scorebook.operators.nested import unpivot_prefix
-from scorebook.session import materialise
+from scorebook.session import materialise, observed
 from scorebook.sources import archives as zips
-from scorebook.sources.tables import Lake, ensure_columns, in_partitions, listed_partitions
+from scorebook.sources.tables import Lake, empty_table, in_partitions, listed_partitions
 
 RAW = "bronze_raw_matches"
 VERSIONS = "bronze_raw_match_versions"
@@ -83,16 +85,13 @@ def _now() -> datetime:
 
 
 def _log(lake: Lake, name: str, schema: str, **values: object) -> None:
-    row = lake.spark.createDataFrame([{k: v for k, v in values.items()}], _only(schema, values))
-    lake.append(name, ensure_columns(row, _columns(schema)).select(*_columns(schema)))
+    """Append one row to an operational log."""
+    columns = [F.lit(values.get(field.name)).cast(field.dataType).alias(field.name) for field in T.StructType.fromDDL(schema)]
+    lake.append(name, lake.spark.range(0, 1, 1, 1).select(*columns))
 
 
-def _columns(schema: str) -> dict[str, str]:
-    return dict(part.strip().split(" ", 1) for part in schema.split(","))
-
-
-def _only(schema: str, values: Mapping[str, object]) -> str:
-    return ", ".join(f"{name} {kind}" for name, kind in _columns(schema).items() if name in values)
+def _columns(schema: str) -> list[str]:
+    return T.StructType.fromDDL(schema).fieldNames()
 
 
 @contextmanager
@@ -161,12 +160,12 @@ def ingest_raw(lake: Lake, run: Run, documents: DataFrame) -> DataFrame:
     """Upsert documents into the latest and version tables; returns the parsed rows taken over."""
     with _task(lake, run, "ingest_raw") as counts:
         parsed = docs.shape_raw(docs.parse_documents(documents), run.run_id)
-        watched, seen = runlog.observe_load(
-            parsed.withColumn(BUCKET, bucket_of(F.col("match_id"), run.buckets)),
-            f"raw-{run.run_id}",
-            quarantine_count=F.count_if(F.col("record_status") != "valid"),
+        bad = F.count_if(F.col("record_status") != "valid")
+        watched, watch = runlog.observe_load(
+            parsed.withColumn(BUCKET, bucket_of(F.col("match_id"), run.buckets)), f"raw-{uuid.uuid4().hex}", quarantine_count=bad
         )
         batch = materialise(watched, "parsed")
+        seen = observed(watch, lambda: batch.agg(F.count("*").alias("output_count"), bad.alias("quarantine_count")))
         raw = batch.drop(*docs.PARSED)
         touched = listed_partitions(raw.select(BUCKET).distinct())
         latest = in_partitions(lake.load_or_empty(RAW, raw.schema), touched)
@@ -180,12 +179,12 @@ def ingest_raw(lake: Lake, run: Run, documents: DataFrame) -> DataFrame:
         lake.replace_partitions(RAW, upsert.apply_merge(latest, classified, "match_id"), [BUCKET], touched)
         change = upsert.change_counts(classified).first()
         counts.update(
-            input_count=seen.get["output_count"],
+            input_count=seen["output_count"],
             output_count=change["candidate_count"],
             inserted_count=change["inserted_count"],
             updated_count=change["updated_count"],
             skipped_count=change["unchanged_count"] + change["older_count"],
-            quarantine_count=seen.get["quarantine_count"],
+            quarantine_count=seen["quarantine_count"],
         )
     taken = classified.where(F.col("change").isin("new", "revised")).select("match_id", "source_path", "source_file_sha256")
     return batch.join(taken, ["match_id", "source_path", "source_file_sha256"], "left_semi")
@@ -237,14 +236,26 @@ def build_facts(lake: Lake, run: Run, changed: DataFrame) -> list[dict[str, obje
             parts = listed_partitions(upsert.affected_partitions(
                 matches, changed.select("match_id", F.col("info.season").alias("season"), bucket.alias(BUCKET)), ["match_id"], keys
             ))
+            touched = _note_seasons(lake, run, {part["season"] for part in parts})
             for name, rows in fresh.items():
                 standing = in_partitions(lake.load(name), parts)
                 lake.replace_partitions(name, upsert.replace_by_key(standing, rows, ["match_id"], ids), keys, parts)
-            touched = [{"season": s} for s in {part["season"] for part in parts}]
         counts.update(output_count=balls.count(), updated_count=ids.count())
     return touched
 
 
+def _note_seasons(lake: Lake, run: Run, seasons: set[str | None]) -> list[dict[str, object]]:
+    """Seasons to refresh: those of this run and those that unfinished runs have left behind.
+
+    They are noted before the facts change. Afterwards a season that a match has left could no longer be
+    found by a run that repeats or completes this one.
+    """
+    noted = lake.spark.createDataFrame([(run.run_id, season) for season in seasons], schemas.TOUCHED_LOG)
+    lake.append("touched_log", noted.coalesce(1))
+    left = lake.load("touched_log").where(F.col("run_id").isin(run.run_id, *_unfinished(lake, run)))
+    return listed_partitions(left.select("season").distinct())
+
+
 def build_dimensions(lake: Lake, run: Run, changed: DataFrame, register: DataFrame | None) -> None:
     """Per-match records of the changed matches, then the dimensions over all matches."""
     with _task(lake, run, "build_dimensions") as counts:
@@ -293,7 +304,7 @@ def refresh_gold(lake: Lake, run: Run, touched: list[dict[str, object]]) -> list
             if everything:
                 lake.replace(name, df, ["season"])
             else:
-                lake.replace_partitions(name, df, ["season"], touched)
+                lake.replace_partitions(name, df, ["season"], touched, reads_itself=False)
             return pick(lake.load(name))
 
         balls, matches = pick(lake.load(DELIVERIES)), pick(lake.load(MATCHES))
@@ -316,7 +327,7 @@ def split_tables(lake: Lake, run: Run, focus_config: DataFrame, touched: list[di
             focus = [row["league_name"] for row in listed_partitions(focus)]
         for name in CARDS:
             for segment, rows in segments.split_segments(in_partitions(lake.load(name), touched), focus, run.focus_match).items():
-                lake.replace_partitions(f"{name}_{segment}", rows, ["season"], touched)
+                lake.replace_partitions(f"{name}_{segment}", rows, ["season"], touched, reads_itself=False)
         counts.update(input_count=len(CARDS), output_count=2 * len(CARDS))
 
 
@@ -352,7 +363,7 @@ def run_lake(
     started = _now()
     _log(lake, "run_log", schemas.RUN_LOG, run_id=run.run_id, run_mode=run.mode, status="RUNNING", started_at=started, recorded_at=started)
     if focus_config is None:
-        focus_config = spark.createDataFrame([], schemas.FOCUS_CONFIG)
+        focus_config = empty_table(spark, schemas.FOCUS_CONFIG)
     try:
         taken = ingest_raw(lake, run, documents)
         changed = _changed(lake, run, taken)

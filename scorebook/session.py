@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -55,3 +58,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     target = f"{shared_dir(spark)}/scorebook/{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+def observed(watch: Observation, recount: Callable[[], DataFrame]) -> dict[str, Any]:
+    """Counters of a finished write; counted again from ``recount`` if the plan carried none.
+
+    Spark drops the counters together with a plan it finds to be empty while running.
+    """
+    try:
+        return watch.get
+    except Py4JJavaError:
+        return recount().first().asDict()

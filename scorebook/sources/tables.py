@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scorebook.session import materialise
+from scorebook.session import materialise, observed
 
 # Characters Spark writes as %XX in partition folder names.
 _ESCAPED = frozenset("\"#%'*/:=?\\{[]^") | {chr(code) for code in range(32)} | {"\x7f"}
@@ -38,6 +40,12 @@ def ensure_columns(df: DataFrame, wanted: Mapping[str, str | Column]) -> DataFra
     return df.withColumns(absent) if absent else df
 
 
+def empty_table(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
+    """No rows of the given shape, planned without any Python process."""
+    shape = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in shape])
+
+
 @dataclass
 class Lake:
     """Named parquet tables below ``root``; ``prefix`` separates variants of the same table set."""
@@ -46,60 +54,106 @@ class Lake:
     root: str
     prefix: str = ""
 
-    def __post_init__(self) -> None:
-        # Season values such as '2024' are text and must come back as text.
-        self.spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{self.prefix}{name}"
 
     def exists(self, name: str) -> bool:
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-
-    def load(self, name: str, schema: str | T.StructType | None = None, merge: bool = False) -> DataFrame:
-        """Read a table. With a declared schema, columns absent in older files come back as NULL."""
-        reader = self.spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        elif merge:
-            reader = reader.option("mergeSchema", True)
-        return reader.parquet(self.path(name))
+        return self._stored_schema(name) is not None
+
+    def load(self, name: str, schema: str | T.StructType | None = None) -> DataFrame:
+        """Read a table with its declared or stored schema.
+
+        No footer is read to infer anything, columns absent in older files come back as NULL, an empty
+        table is readable, and text partition values such as '2024' stay text.
+        """
+        known = schema if schema is not None else self._stored_schema(name)
+        if known is None:
+            raise ValueError(f"no table {name} in {self.root}")
+        return self.spark.read.schema(known).parquet(self.path(name))
 
     def load_or_empty(self, name: str, schema: str | T.StructType) -> DataFrame:
         if self.exists(name):
             return self.load(name, schema)
-        return self.spark.createDataFrame([], schema)
+        return empty_table(self.spark, schema)
 
     def replace(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """Write the whole table anew."""
         self._writer(df, partition_by).mode("overwrite").parquet(self.path(name))
+        self._store_schema(name, df.schema)
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
+        """Add rows; new columns become part of the table."""
+        self._widen(name, df.schema)
         self._writer(df, partition_by).mode("append").parquet(self.path(name))
 
     def replace_partitions(
-        self, name: str, df: DataFrame, partition_by: Sequence[str], touched: Sequence[Mapping[str, object]]
+        self,
+        name: str,
+        df: DataFrame,
+        partition_by: Sequence[str],
+        touched: Sequence[Mapping[str, object]],
+        reads_itself: bool = True,
     ) -> None:
         """Replace exactly the ``touched`` partitions by the rows of ``df``.
 
-        The new rows are complete in the shared folder before the first old file goes away, so ``df`` may
-        read the table, and a run that dies in between can be repeated. A touched partition for which no
-        row is left is emptied; overwriting by partition alone would keep its old rows.
+        Where ``df`` reads this table, its rows are complete in the shared folder before the first old
+        file goes away. A touched partition for which no row is left is emptied; overwriting by partition
+        alone would keep its old rows. The partitions written are noted by the writing job itself.
         """
-        if not self.exists(name):
-            self.replace(name, df, partition_by)
-            return
-        staged = materialise(df, name)
-        left = {tuple(row) for row in staged.select(*partition_by).distinct().collect()}
-        named = {tuple(values[c] for c in partition_by) for values in touched}
-        if left - named:
-            raise ValueError(f"rows outside the touched partitions of {name}: {sorted(map(str, left - named))[:5]}")
-        self._writer(staged, partition_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
-        nothing = self.spark.createDataFrame([], T.StructType([f for f in df.schema if f.name not in partition_by]))
+        self._widen(name, df.schema)
+        rows = df if reads_itself else in_partitions(df, touched)
+        partitions = F.collect_set(F.struct(*[F.col(c) for c in partition_by])).alias("partitions")
+        seen = Observation(f"{name}-{uuid.uuid4().hex}")
+        watched = rows.observe(seen, partitions)
+        if reads_itself:
+            rows = watched = materialise(watched, name)
+            found = observed(seen, lambda: rows.agg(partitions))
+            self._refuse_others(name, found["partitions"], touched)
+        self._writer(watched, partition_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
+        if not reads_itself:
+            found = observed(seen, lambda: rows.agg(partitions))
+        left = {tuple(row) for row in found["partitions"]}
+        nothing = T.StructType([f for f in df.schema if f.name not in partition_by])
         for values in touched:
             if tuple(values[c] for c in partition_by) not in left:
-                nothing.coalesce(1).write.mode("overwrite").parquet(f"{self.path(name)}/{partition_folder(values)}")
+                target = f"{self.path(name)}/{partition_folder(values)}"
+                empty_table(self.spark, nothing).write.mode("overwrite").parquet(target)
+
+    def _refuse_others(self, name: str, found: Sequence, touched: Sequence[Mapping[str, object]]) -> None:
+        named = {tuple(values.values()) for values in touched}
+        others = {tuple(row) for row in found} - named
+        if others:
+            raise ValueError(f"rows outside the touched partitions of {name}: {sorted(map(str, others))[:5]}")
+
+    def _schema_file(self, name: str):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/_schemas/{self.prefix}{name}.json")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def _stored_schema(self, name: str) -> T.StructType | None:
+        files, path = self._schema_file(name)
+        if not files.exists(path):
+            return None
+        stream = files.open(path)
+        try:
+            return T.StructType.fromJson(json.loads(bytes(stream.readAllBytes()).decode()))
+        finally:
+            stream.close()
+
+    def _store_schema(self, name: str, schema: T.StructType) -> None:
+        files, path = self._schema_file(name)
+        stream = files.create(path, True)
+        try:
+            stream.write(bytearray(schema.json().encode()))
+        finally:
+            stream.close()
+
+    def _widen(self, name: str, schema: T.StructType) -> None:
+        known = self._stored_schema(name)
+        have = {field.name.lower() for field in known.fields} if known else set()
+        fresh = [field for field in schema.fields if field.name.lower() not in have]
+        if fresh:
+            self._store_schema(name, T.StructType((known.fields if known else []) + fresh))
 
     def _writer(self, df: DataFrame, partition_by: Sequence[str]):
         """Rebalanced by partition: no task-by-partition file explosion, and a large one is split."""
