@@ -77,6 +77,11 @@ def shape_raw(parsed: DataFrame, run_id: str) -> DataFrame:
     )
 
 
+def current_documents(latest: DataFrame, versions: DataFrame) -> DataFrame:
+    """Rows with text of the current version of each match."""
+    return versions.join(latest.select("match_id", "source_file_sha256"), ["match_id", "source_file_sha256"], "left_semi")
+
+
 def changed_in_run(df: DataFrame, run_ids: Sequence[str]) -> DataFrame:
     """Rows written by the given runs: the change feed of the raw layer."""
     return df.where(F.col("pipeline_run_id").isin(*run_ids))
@@ -126,7 +131,8 @@ def build_matches(parsed: DataFrame) -> DataFrame:
         "win_by_wickets": F.col("info.outcome.by.wickets"),
         "result": F.col("info.outcome.result"),
         "players_of_match": F.col("info.player_of_match"),
-        "match_record_hash": F.sha2("raw_json", 256),
+        # Hash of the file, taken when it arrived: the text itself need not be read again.
+        "match_record_hash": F.col("source_file_sha256"),
     }
     lineage = ["match_id", "source_file", "pipeline_run_id", "ingestion_timestamp"]
     rows = parsed.select(*lineage, *[expr.alias(name) for name, expr in flat.items()])

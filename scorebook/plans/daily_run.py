@@ -23,7 +23,7 @@ from scorebook.operators import gold, quality, runlog, segments, upsert
 from scorebook.operators.nested import unpivot_prefix
 from scorebook.session import materialise, observed
 from scorebook.sources import archives as zips
-from scorebook.sources.tables import Lake, empty_table, in_partitions, listed_partitions
+from scorebook.sources.tables import Lake, empty_table, in_partitions, listed_partitions, outside_partitions
 
 RAW = "bronze_raw_matches"
 VERSIONS = "bronze_raw_match_versions"
@@ -156,27 +156,38 @@ def ingest_archives(lake: Lake, run: Run, folder: str) -> DataFrame:
     return zips.member_documents(members)
 
 
+ROW = "row_id"
+
+
 def ingest_raw(lake: Lake, run: Run, documents: DataFrame) -> DataFrame:
-    """Upsert documents into the latest and version tables; returns the parsed rows taken over."""
+    """Upsert documents; returns the parsed rows taken over.
+
+    Everything that has to meet by key (newest per match, comparison with the standing version, history)
+    works on narrow rows without text. The text is written to the history once and never rewritten, and
+    the wide rows are only filtered by the usually few row numbers that are not wanted.
+    """
     with _task(lake, run, "ingest_raw") as counts:
         parsed = docs.shape_raw(docs.parse_documents(documents), run.run_id)
         bad = F.count_if(F.col("record_status") != "valid")
-        watched, watch = runlog.observe_load(
-            parsed.withColumn(BUCKET, bucket_of(F.col("match_id"), run.buckets)), f"raw-{uuid.uuid4().hex}", quarantine_count=bad
-        )
+        numbered = parsed.withColumns({
+            BUCKET: bucket_of(F.col("match_id"), run.buckets),
+            ROW: F.monotonically_increasing_id(),
+        })
+        watched, watch = runlog.observe_load(numbered, f"raw-{uuid.uuid4().hex}", quarantine_count=bad)
         batch = materialise(watched, "parsed")
         seen = observed(watch, lambda: batch.agg(F.count("*").alias("output_count"), bad.alias("quarantine_count")))
-        raw = batch.drop(*docs.PARSED)
-        touched = listed_partitions(raw.select(BUCKET).distinct())
-        latest = in_partitions(lake.load_or_empty(RAW, raw.schema), touched)
-        versions = in_partitions(lake.load_or_empty(VERSIONS, raw.schema), touched)
-        valid = raw.where(F.col("record_status") == "valid")
+
+        narrow = batch.drop("raw_json", *docs.PARSED)
+        touched = listed_partitions(narrow.select(BUCKET).distinct())
+        latest = in_partitions(lake.load_or_empty(RAW, narrow.drop(ROW).schema), touched)
+        versions = in_partitions(lake.load_or_empty(VERSIONS, batch.drop(ROW, *docs.PARSED).schema), touched)
+        added = upsert.new_versions(versions, narrow, "match_id", "source_file_sha256")
+        valid = narrow.where(F.col("record_status") == "valid")
         classified = materialise(
             upsert.classify_batch(latest, valid, "match_id", "source_file_sha256", "source_revision"), "classified"
         )
-        added = materialise(upsert.new_versions(versions, raw, "match_id", "source_file_sha256"), "versions")
-        lake.append(VERSIONS, added, [BUCKET])
-        lake.replace_partitions(RAW, upsert.apply_merge(latest, classified, "match_id"), [BUCKET], touched)
+        lake.append(VERSIONS, _only_rows(batch.drop(*docs.PARSED), narrow, added).drop(ROW), [BUCKET])
+        lake.replace_partitions(RAW, upsert.apply_merge(latest, classified.drop(ROW), "match_id"), [BUCKET], touched)
         change = upsert.change_counts(classified).first()
         counts.update(
             input_count=seen["output_count"],
@@ -186,74 +197,93 @@ def ingest_raw(lake: Lake, run: Run, documents: DataFrame) -> DataFrame:
             skipped_count=change["unchanged_count"] + change["older_count"],
             quarantine_count=seen["quarantine_count"],
         )
-    taken = classified.where(F.col("change").isin("new", "revised")).select("match_id", "source_path", "source_file_sha256")
-    return batch.join(taken, ["match_id", "source_path", "source_file_sha256"], "left_semi")
+    taken = classified.where(F.col("change").isin("new", "revised"))
+    return _only_rows(batch.drop("raw_json"), narrow, taken).drop(ROW)
 
 
-def _unfinished(lake: Lake, run: Run) -> list[str]:
-    """Earlier runs that never succeeded: what they changed still has to reach the facts."""
+def _only_rows(wide: DataFrame, narrow: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Wide rows whose number is wanted, without moving the wide rows in the usual case.
+
+    The unwanted numbers are written first, so the size of that table is known when the join is planned:
+    broadcast if it is small, an ordinary join if it is not.
+    """
+    unwanted = materialise(narrow.select(ROW).join(wanted.select(ROW), ROW, "left_anti"), "unwanted")
+    return wide.join(unwanted, ROW, "left_anti")
+
+
+def _pending(lake: Lake) -> list[str]:
+    """Runs that never succeeded: what they changed still has to reach the facts."""
     history = runlog.run_history(lake.load_or_empty("run_log", schemas.RUN_LOG))
-    rows = history.where((F.col("status") != "SUCCEEDED") & (F.col("run_id") != run.run_id)).select("run_id")
+    rows = history.where(F.col("status") != "SUCCEEDED").select("run_id")
     return [row["run_id"] for row in listed_partitions(rows)]
 
 
-def _changed(lake: Lake, run: Run, taken: DataFrame) -> DataFrame:
-    """Parsed matches whose facts have to be rebuilt."""
+def _changed(lake: Lake, run: Run, taken: DataFrame, pending: list[str]) -> DataFrame:
+    """Parsed matches whose facts have to be rebuilt, without their text."""
+    current = lambda latest: docs.current_documents(latest, lake.load(VERSIONS))
+    reparsed = lambda rows: docs.parse_documents(rows.drop("record_status", "parse_error")).drop("raw_json")
     if run.full:
-        stale = lake.load(RAW)
-        taken = docs.parse_documents(stale.drop("record_status", "parse_error"))
-    else:
-        # A repeated run finds its rows already in place, so its own id belongs to the feed as well.
-        behind = docs.changed_in_run(lake.load(RAW), [run.run_id, *_unfinished(lake, run)])
-        missed = behind.join(taken.select("match_id"), "match_id", "left_anti").drop("record_status", "parse_error")
-        taken = taken.unionByName(docs.parse_documents(missed))
-    return materialise(taken, "changed")
+        return materialise(reparsed(current(lake.load(RAW))), "changed")
+    if not pending:
+        return taken
+    behind = docs.changed_in_run(lake.load(RAW), pending).join(taken.select("match_id"), "match_id", "left_anti")
+    return materialise(taken.unionByName(reparsed(current(behind))), "changed")
 
 
 # ---------------------------------------------------------------------- silver
 
 
-def build_facts(lake: Lake, run: Run, changed: DataFrame) -> list[dict[str, object]]:
-    """Replace matches, deliveries and wickets of the changed matches; returns the touched seasons."""
-    keys = ["season", BUCKET]
+FACT_PARTITION = ["season", BUCKET]
+
+
+def build_facts(lake: Lake, run: Run, changed: DataFrame, pending: list[str]) -> list[dict[str, object]]:
+    """Replace matches, deliveries and wickets of the changed matches; returns the touched seasons.
+
+    Only partitions that hold a changed match already are rewritten. Rows of new matches elsewhere are
+    appended, so a day of new matches costs as much as the day and not as its season.
+    """
     with _task(lake, run, "build_facts") as counts:
         bucket = bucket_of(F.col("match_id"), run.buckets)
         wanted = docs.in_leagues(changed, run.leagues)
         balls = materialise(docs.build_deliveries(wanted).withColumn(BUCKET, bucket), "deliveries")
         fresh = {
-            MATCHES: docs.build_matches(wanted).withColumn(BUCKET, bucket),
+            MATCHES: materialise(docs.build_matches(wanted).withColumn(BUCKET, bucket), "matches"),
             DELIVERIES: balls,
             WICKETS: docs.build_wickets(balls).withColumn(BUCKET, bucket),
         }
-        ids = changed.select("match_id")
-        if run.full or not lake.exists(MATCHES):
+        ids = changed.select("match_id", bucket.alias(BUCKET))
+        targets = listed_partitions(fresh[MATCHES].select(*FACT_PARTITION).distinct())
+        if run.full or not lake.exists(WICKETS):
             for name, rows in fresh.items():
-                lake.replace(name, rows, keys)
-            touched = listed_partitions(fresh[MATCHES].select("season").distinct())
+                lake.replace(name, rows, FACT_PARTITION)
+            dirty = []
         else:
-            matches = lake.load(MATCHES)
-            # Old and new season of every changed match, so that a corrected season leaves no stale rows.
-            parts = listed_partitions(upsert.affected_partitions(
-                matches, changed.select("match_id", F.col("info.season").alias("season"), bucket.alias(BUCKET)), ["match_id"], keys
-            ))
-            touched = _note_seasons(lake, run, {part["season"] for part in parts})
+            dirty = _dirty(lake, run, ids, targets, pending)
             for name, rows in fresh.items():
-                standing = in_partitions(lake.load(name), parts)
-                lake.replace_partitions(name, upsert.replace_by_key(standing, rows, ["match_id"], ids), keys, parts)
+                standing = in_partitions(lake.load(name), dirty)
+                if dirty:
+                    after = upsert.replace_by_key(standing, in_partitions(rows, dirty), ["match_id"], ids)
+                    lake.replace_partitions(name, after, FACT_PARTITION, dirty)
+                lake.append(name, outside_partitions(rows, dirty), FACT_PARTITION)
         counts.update(output_count=balls.count(), updated_count=ids.count())
-    return touched
+    return [{"season": season} for season in {part["season"] for part in [*dirty, *targets]}]
 
 
-def _note_seasons(lake: Lake, run: Run, seasons: set[str | None]) -> list[dict[str, object]]:
-    """Seasons to refresh: those of this run and those that unfinished runs have left behind.
+def _dirty(lake: Lake, run: Run, ids: DataFrame, targets: list[dict], pending: list[str]) -> list[dict[str, object]]:
+    """Partitions with rows of the changed matches: those where the match table has them now, and those an
+    unfinished run was about to change.
 
-    They are noted before the facts change. Afterwards a season that a match has left could no longer be
-    found by a run that repeats or completes this one.
+    The list is noted before anything changes. A run that repeats or completes a broken one could not find
+    a partition any more that a match has left in between.
     """
-    noted = lake.spark.createDataFrame([(run.run_id, season) for season in seasons], schemas.TOUCHED_LOG)
-    lake.append("touched_log", noted.coalesce(1))
-    left = lake.load("touched_log").where(F.col("run_id").isin(run.run_id, *_unfinished(lake, run)))
-    return listed_partitions(left.select("season").distinct())
+    keys = ["match_id", BUCKET]
+    standing = lake.load(MATCHES).select("match_id", *FACT_PARTITION).join(ids, keys, "left_semi").select(*FACT_PARTITION)
+    log = lake.load_or_empty("touched_log", schemas.TOUCHED_LOG)
+    noted = log.where(F.col("run_id").isin(*pending)).select(*FACT_PARTITION) if pending else standing.limit(0)
+    dirty = listed_partitions(standing.unionByName(noted).distinct())
+    rows = [(run.run_id, part["season"], part[BUCKET]) for part in [*dirty, *targets]]
+    lake.append("touched_log", lake.spark.createDataFrame(rows, schemas.TOUCHED_LOG).distinct().coalesce(1))
+    return dirty
 
 
 def build_dimensions(lake: Lake, run: Run, changed: DataFrame, register: DataFrame | None) -> None:
@@ -361,18 +391,19 @@ def run_lake(
     """The whole run; returns its one-row summary. Starting a failed run again completes it."""
     spark = lake.spark
     started = _now()
+    pending = _pending(lake)
     _log(lake, "run_log", schemas.RUN_LOG, run_id=run.run_id, run_mode=run.mode, status="RUNNING", started_at=started, recorded_at=started)
     if focus_config is None:
         focus_config = empty_table(spark, schemas.FOCUS_CONFIG)
     try:
         taken = ingest_raw(lake, run, documents)
-        changed = _changed(lake, run, taken)
+        changed = _changed(lake, run, taken, pending)
         if changed.isEmpty():
             for _, task in TASKS[1:]:
                 with _task(lake, run, task):
                     pass
         else:
-            touched = build_facts(lake, run, changed)
+            touched = build_facts(lake, run, changed, pending)
             build_dimensions(lake, run, changed, register)
             validate(lake, run, "silver", touched)
             refreshed = refresh_gold(lake, run, touched)

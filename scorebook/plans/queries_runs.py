@@ -18,7 +18,7 @@ from scorebook.plans import oracle as sql
 from scorebook.plans.daily_run import DELIVERIES, MATCHES, RAW, WICKETS
 from scorebook.plans.queries_facts import big
 from scorebook.plans.registry import query
-from scorebook.plans.workload import demo_lake, first_parts, revised_documents, table, write_archives
+from scorebook.plans.workload import demo_lake, first_parts, second_delivery, table, write_archives
 from scorebook.session import materialise, shared_dir
 from scorebook.sources import archives
 from scorebook.sources.tables import ensure_columns, in_partitions, listed_partitions
@@ -29,10 +29,9 @@ from scorebook.streaming.ingest import stream_documents
 
 def _delivered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Raw rows that stand, and raw rows of the second delivery."""
-    raw = first_parts(demo_lake(spark, sf_dir).load(RAW)).drop(*docs.PARSED)
-    kind = F.get_json_object("raw_json", "$.info.match_type")
-    again = docs.shape_raw(docs.parse_documents(revised_documents(raw)), "load-2").drop(*docs.PARSED)
-    return raw.where(kind != "3-MEDIUM"), again
+    lake = demo_lake(spark, sf_dir)
+    standing = first_parts(lake.load(RAW)).where(F.col("info.match_type") != "3-MEDIUM")
+    return standing.drop(*docs.PARSED), first_parts(second_delivery(lake)).drop(*docs.PARSED)
 
 
 _CHANGE = """CASE match_type WHEN '1-URGENT' THEN 'revised' WHEN '5-LOW' THEN 'older' WHEN '2-HIGH' THEN 'unchanged'
@@ -88,10 +87,8 @@ def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _second_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed documents of the second delivery that are taken over."""
-    raw = demo_lake(spark, sf_dir).load(RAW).drop(*docs.PARSED)
-    urgent = raw.where(F.get_json_object("raw_json", "$.info.match_type") == "1-URGENT")
-    return docs.shape_raw(docs.parse_documents(revised_documents(urgent)), "load-2")
+    """Parsed documents of the second delivery that replace standing ones."""
+    return second_delivery(demo_lake(spark, sf_dir)).where(F.col("info.match_type") == "1-URGENT")
 
 
 _MOVED = "CASE WHEN match_type = '1-URGENT' THEN '1990' ELSE season END"

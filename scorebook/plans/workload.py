@@ -23,6 +23,7 @@ from scorebook.sources.tables import Lake
 
 MAX_BALLS = 5000
 RUN_ID = "load-1"
+SECOND = "second_delivery"
 
 # Market segment -> competition; a segment that is not listed has no competition.
 COMPETITIONS = {
@@ -135,22 +136,23 @@ def balls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(source_path, raw_json, key)``: one text per match, also for orders without items."""
-    # One exchange on the document; the three nesting levels then group inside it.
-    spread = balls(spark, sf_dir).repartition("key", "part")
-    overs = spread.groupBy("key", "part", "side", "over").agg(
-        F.transform(F.sort_array(F.collect_list("entry")), lambda e: e["ball"]).alias("deliveries")
-    )
-    sides = overs.groupBy("key", "part", "side").agg(
-        F.sort_array(F.collect_list(F.struct("over", "deliveries"))).alias("overs")
-    )
-    innings = sides.groupBy("key", "part").agg(F.sort_array(F.collect_list(F.struct("side", "overs"))).alias("sides"))
-    joined = matches_wide(spark, sf_dir).join(innings, "key", "left")
-    shaped = F.transform(
-        F.coalesce("sides", F.array()),
-        lambda s: F.struct(
-            F.concat("n_name", F.when(s["side"] == "F", " A").otherwise(" B")).alias("team"), s["overs"].alias("overs")
-        ),
+    collected = balls(spark, sf_dir).groupBy("key", "part").agg(
+        F.sort_array(F.collect_list(F.struct("side", "over", "entry"))).alias("entries")
     )
+    joined = matches_wide(spark, sf_dir).join(collected, "key", "left")
+    entries = F.coalesce("entries", F.array())
+
+    def over(side: Column, number: Column) -> Column:
+        chosen = F.filter(entries, lambda e: (e["side"] == side) & (e["over"] == number))
+        return F.struct(number.alias("over"), F.transform(chosen, lambda e: e["entry"]["ball"]).alias("deliveries"))
+
+    def innings(side: Column) -> Column:
+        numbers = F.array_distinct(F.transform(F.filter(entries, lambda e: e["side"] == side), lambda e: e["over"]))
+        team = F.concat("n_name", F.when(side == "F", " A").otherwise(" B"))
+        return F.struct(team.alias("team"), F.transform(numbers, lambda number: over(side, number)).alias("overs"))
+
+    sides = F.array_distinct(F.transform(entries, lambda e: e["side"]))
+    shaped = F.transform(sides, innings)
     later = F.when(F.col("part") > 0, F.concat(F.lit("#"), "part")).otherwise("")
     name = F.concat(F.lit("file:/landing/"), "key", F.lit(".json"), later)
     text = F.to_json(F.struct("meta", "info", shaped.alias("innings")))
@@ -165,7 +167,7 @@ def first_parts(df: DataFrame) -> DataFrame:
 def revised_documents(raw: DataFrame) -> DataFrame:
     """Second delivery of the matches, by match type: changed with a higher revision (and moved to another
     season), changed with a lower one, exact copies, and matches the first delivery leaves out."""
-    text, kind = F.col("raw_json"), F.get_json_object("raw_json", "$.info.match_type")
+    text, kind = F.col("raw_json"), F.col("info.match_type")
     set_revision = lambda n: F.regexp_replace(text, '"revision":1', f'"revision":{n}')
     moved = F.regexp_replace(set_revision(2), '"season":"[0-9]{4}"', '"season":"1990"')
     changed = F.when(kind == "1-URGENT", moved).when(kind == "5-LOW", set_revision(0)).otherwise(text)
@@ -193,6 +195,13 @@ def build_raw(lake: Lake, sf_dir: str) -> None:
     lake.replace(RAW, docs.shape_raw(docs.parse_documents(texts), RUN_ID))
 
 
+def second_delivery(lake: Lake) -> DataFrame:
+    """Raw rows of the second delivery, parsed and written once as a run does with its batch."""
+    if not lake.exists(SECOND):
+        lake.replace(SECOND, docs.shape_raw(docs.parse_documents(revised_documents(lake.load(RAW))), "load-2"))
+    return lake.load(SECOND)
+
+
 def build_silver(lake: Lake) -> None:
     parsed = lake.load(RAW)
     lake.replace(MATCHES, docs.build_matches(parsed), ["season"])

@@ -82,5 +82,5 @@ FILE_LOG = (
     "source_filename string, file_extension string, file_size_bytes bigint, file_crc bigint, file_sha256 string, "
     "match_id_candidate string, extraction_status string, error_message string, processed_at timestamp"
 )
-TOUCHED_LOG = "run_id string, season string"
+TOUCHED_LOG = "run_id string, season string, match_bucket string"
 FOCUS_CONFIG = "league_name string, enabled boolean, priority int, valid_from date, valid_to date"

@@ -172,8 +172,17 @@ def listed_partitions(partitions: DataFrame) -> list[dict[str, object]]:
 
 def in_partitions(df: DataFrame, touched: Sequence[Mapping[str, object]]) -> DataFrame:
     """Restrict a table to listed partitions with literals, so that the scan prunes folders."""
+    return df.where(_listed(touched))
+
+
+def outside_partitions(df: DataFrame, touched: Sequence[Mapping[str, object]]) -> DataFrame:
+    """The other rows; a NULL partition value counts as a value."""
+    return df.where(~F.coalesce(_listed(touched), F.lit(False)))
+
+
+def _listed(touched: Sequence[Mapping[str, object]]) -> Column:
     if not touched:
-        return df.where(F.lit(False))
+        return F.lit(False)
     *outer, last = list(touched[0])
     grouped: dict[tuple, set] = {}
     for values in touched:
@@ -184,7 +193,7 @@ def in_partitions(df: DataFrame, touched: Sequence[Mapping[str, object]]) -> Dat
         for name, value in zip(outer, fixed, strict=True):
             inner = _one_of(name, {value}) & inner
         test = test | inner
-    return df.where(test)
+    return test
 
 
 def _one_of(name: str, values: set) -> Column:
