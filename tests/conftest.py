@@ -14,7 +14,14 @@ from scorebook.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(8, app="scorebook-tests")
+    # Tiny tables: compiling code costs more than it saves.
+    small = {
+        "spark.sql.shuffle.partitions": "2",
+        "spark.default.parallelism": "2",
+        "spark.sql.codegen.wholeStage": "false",
+        "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+    }
+    return local_session(8, app="scorebook-tests", **small)
 
 
 @pytest.fixture
