@@ -165,7 +165,8 @@ def table_counts(tables: Mapping[str, DataFrame], count_log: DataFrame, run_id:
 def new_and_old(totals: DataFrame, run_id: str) -> DataFrame:
     """Split ``total_count`` into new and old from ``run_count`` and ``prior_total``, floored at 0."""
     total, mine, prior = F.col("total_count"), F.col("run_count"), F.col("prior_total")
-    floor = lambda value: F.greatest(value, F.lit(0))
+    # ``greatest`` skips NULL, so an unknown count has to stay NULL explicitly.
+    floor = lambda value: F.when(value.isNotNull(), F.greatest(value, F.lit(0)))
     return totals.select(
         F.lit(run_id).alias("run_id"),
         "table_name",

@@ -399,8 +399,10 @@ t AS (
   UNION ALL SELECT 'customer', count(*), NULL FROM customer
   UNION ALL SELECT 'supplier', count(*), NULL FROM supplier
   UNION ALL SELECT 'lineitem', count(*), count(*) FILTER (strftime(l_shipdate, '%Y') = '1998') FROM lineitem)
-SELECT 'run-1998' AS run_id, table_name, CAST(coalesce(mine, greatest(total - prior_total, 0), 0) AS BIGINT) AS new_count,
-  CAST(coalesce(greatest(total - mine, 0), prior_total, total) AS BIGINT) AS old_count, CAST(total AS BIGINT) AS total_count
+SELECT 'run-1998' AS run_id, table_name,
+  CAST(CASE WHEN mine IS NOT NULL THEN mine WHEN prior_total IS NOT NULL THEN greatest(total - prior_total, 0) ELSE 0 END AS BIGINT) AS new_count,
+  CAST(CASE WHEN mine IS NOT NULL THEN greatest(total - mine, 0) WHEN prior_total IS NOT NULL THEN prior_total ELSE total END AS BIGINT) AS old_count,
+  CAST(total AS BIGINT) AS total_count
 FROM t LEFT JOIN prior USING (table_name)
 """)
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
