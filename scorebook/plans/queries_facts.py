@@ -14,6 +14,7 @@ from scorebook.plans import oracle as sql
 from scorebook.plans.daily_run import DELIVERIES, MATCHES, RAW, WICKETS
 from scorebook.plans.registry import query
 from scorebook.plans.workload import RUN_ID, demo_lake, first_parts, table
+from scorebook.sources import files
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,9 +124,7 @@ WHERE o_orderstatus = 'F' AND strftime(o_orderdate, '%Y') = '1998'
 """)
 def select_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct extracted documents of one run."""
-    from scorebook.sources.files import select_inputs as select
-
-    return select(_manifest(spark, sf_dir), "run-1998")
+    return files.select_inputs(_manifest(spark, sf_dir), "run-1998")
 
 
 # ------------------------------------------------------------------------ facts

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from scorebook.functions.names import DEFAULT_FOCUS
 from scorebook.operators import documents as docs
 from scorebook.operators import gold, segments
+from scorebook.operators.upsert import latest_by_key
 from scorebook.plans import oracle as sql
 from scorebook.plans.daily_run import DELIVERIES, MATCHES, WICKETS
 from scorebook.plans.queries_facts import big
 from scorebook.plans.registry import query
 from scorebook.plans.workload import demo_lake, table
+from scorebook.session import materialise
 
 _CARDS = sql.with_(sql.BALLS, sql.BATTING, sql.bowling(False), sql.cards(False))
 _SAFE_CARDS = sql.with_(sql.BALLS, sql.BATTING, sql.bowling(True), sql.cards(True))
@@ -225,7 +227,7 @@ FROM tm GROUP BY 1
 """)
 def segment_by_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Split by a configuration table instead of a list."""
-    focus = segments.focus_leagues(_league_config(spark, sf_dir))
+    focus = materialise(segments.focus_leagues(_league_config(spark, sf_dir)), "focus")
     labelled = segments.with_segment(_summary(spark, sf_dir).select("league_name"), focus)
     return labelled.groupBy("league_name", "league_segment").agg(F.count("*").alias("team_scores"))
 
@@ -267,7 +269,5 @@ SELECT conv_id, turn, role, CAST(length(text) AS BIGINT) AS n FROM (
 """)
 def latest_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last row per key on the conversation table."""
-    from scorebook.operators.upsert import latest_by_key
-
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.length("text").cast("bigint").alias("n"))
     return latest_by_key(turns, ["conv_id"], [F.col("turn").desc(), F.col("role").asc()])

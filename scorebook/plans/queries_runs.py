@@ -19,9 +19,9 @@ from scorebook.plans.daily_run import DELIVERIES, MATCHES, RAW, WICKETS
 from scorebook.plans.queries_facts import big
 from scorebook.plans.registry import query
 from scorebook.plans.workload import demo_lake, first_parts, second_delivery, table, write_archives
-from scorebook.session import materialise, shared_dir
+from scorebook.session import materialise, observed, shared_dir
 from scorebook.sources import archives
-from scorebook.sources.tables import ensure_columns, in_partitions, listed_partitions
+from scorebook.sources.tables import Lake, ensure_columns, in_partitions, listed_partitions
 from scorebook.streaming.ingest import stream_documents
 
 # --------------------------------------------------------------------- upserts
@@ -591,8 +591,6 @@ GROUP BY 1, 2
 """)
 def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two partitions replaced in a written table: one by fewer rows, one by none at all."""
-    from scorebook.sources.tables import Lake
-
     lake = Lake(spark, f"{shared_dir(spark)}/scorebook/replace-{uuid.uuid4().hex}")
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias("flag"), F.date_format("l_shipdate", "yyyy").alias("season")
@@ -607,14 +605,18 @@ def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 {sql.with_(sql.BALLS)}
-SELECT season, {sql.big('count(*)', 'output_count')}, {sql.big('sum(total_runs)', 'runs')} FROM d WHERE season = '1998' GROUP BY 1
+SELECT 'deliveries' AS table_name, {sql.big('count(*)', 'output_count')}, {sql.big('sum(total_runs)', 'runs')}, {sql.big('count(*)', 'written')} FROM d
 """)
 def observed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counters gathered by the write itself, against the written rows."""
-    balls = gold.real_balls(demo_lake(spark, sf_dir).load(DELIVERIES)).where(F.col("season") == "1998")
-    watched, seen = runlog.observe_load(balls, f"load-{uuid.uuid4().hex}", runs=F.sum("total_runs"))
-    written = materialise(watched.select("season", "total_runs"), "observed")
-    counters = seen.get
-    return written.select("season").distinct().select(
-        "season", F.lit(counters["output_count"]).cast("bigint").alias("output_count"), F.lit(counters["runs"]).cast("bigint").alias("runs")
+    """Row counters gathered by the write itself, next to the rows written."""
+    balls = gold.real_balls(demo_lake(spark, sf_dir).load(DELIVERIES)).select("match_id", "total_runs")
+    runs = F.coalesce(F.sum("total_runs"), F.lit(0))
+    watched, watch = runlog.observe_load(balls, f"load-{uuid.uuid4().hex}", runs=runs)
+    written = materialise(watched, "observed")
+    counters = observed(watch, lambda: written.agg(F.count("*").alias("output_count"), runs.alias("runs")))
+    return written.agg(F.count("*").alias("written")).select(
+        F.lit("deliveries").alias("table_name"),
+        F.lit(counters["output_count"]).cast("bigint").alias("output_count"),
+        F.lit(counters["runs"]).cast("bigint").alias("runs"),
+        "written",
     )
