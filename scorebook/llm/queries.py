@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorebook.llm import line_dedup, mixing, near_dedup, packing, quality
+from scorebook.llm import chat, fingerprints, html_extract, line_dedup, mixing, near_dedup, packing, quality, secrets, url_filter
 from scorebook.llm.common import table
 from scorebook.plans.registry import Query
 
@@ -25,6 +25,31 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_html_min_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """Min-cut labelling per page; SQL cannot read markup."""
+    return html_extract.main_text(table(spark, folder, "pages"))
+
+
+@query(r"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, coalesce(role, '') = 'assistant' AS loss FROM c),
+e AS (SELECT *, regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') AS body,
+  regexp_replace(replace(replace(role, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n'), '<(\\*)\|', '<\1\\|', 'g') AS head FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE loss), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE loss), '')) AS loss_sha256,
+  sum(12 + length(head) + 1 + length(body) + 10 + 1)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+""")
+def op2_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
+    control = f"{chat.END}{chat.START}assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.summary(chat.conversations(chat.chain(rows)))
+
+
 @query(rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT rid, doc_id, text, list_filter(string_split_regex(text, '{_SPACES}+'), lambda x: x <> '') AS w,
@@ -110,3 +135,56 @@ def op7_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """One row per piece; lengths in words. SQL has no greedy filling."""
     return packing.pack(table(spark, folder, "documents"))
+
+
+@query()
+def op8_learned_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Pattern matches and learned formats. SQL cannot fit the automata."""
+    found = secrets.find_secrets(table(spark, folder, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(i).alias(f"n_{kind}") for i, kind in enumerate(secrets.KINDS[:3])],
+        F.sha2(secrets.joined("base"), 256).alias("base_sha256"), secrets.joined("spans").alias("spans"),
+    )
+
+
+@query()
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints and their likeness. SQL has no such hash; the edited texts are tested against it apart."""
+    return fingerprints.fingerprint_edits(table(spark, folder, "documents"))
+
+
+#: The list history and fetch times of the query: every page is a capture, and gives one dated entry on its host, the
+#: parent domain or a path prefix. 1704067200 is the first second of 2024.
+_CAPTURE = "1704067200 + (page_id % 366) * 86400 + (page_id * 37) % 86400"
+_LISTED = "1704067200 + (page_id * 11 % 366) * 86400 + (page_id * 53) % 86400"
+
+_HOST = r"regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\.+$', '')"
+_PATH = r"list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/([^?#]*)', 1), '/'), lambda x: x <> '')"
+
+
+@query(rf"""
+WITH p AS (SELECT page_id, url, {_CAPTURE} AS ts, {_LISTED} AS listed, {_HOST} AS host, {_PATH} AS parts FROM pages),
+q AS (SELECT *, string_split(host, '.') AS labels FROM p),
+k AS (SELECT *, list_concat(list_transform(range(len(parts), 0, -1), lambda i: host || '/' || array_to_string(parts[1:i], '/')),
+  list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.'))) AS keys FROM q WHERE host <> ''),
+m AS (SELECT CASE page_id % 3 WHEN 0 THEN host WHEN 1 THEN array_to_string(labels[2:], '.') ELSE keys[1] END AS entry, listed AS ts,
+  max(CASE page_id % 4 WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE 3 END) AS rank FROM k GROUP BY ALL),
+v AS (SELECT *, lead(ts) OVER (PARTITION BY entry ORDER BY ts) AS upto FROM m),
+x AS (SELECT page_id, ts, unnest(keys) AS entry, unnest(range(len(keys))) AS place FROM k),
+f AS (SELECT x.page_id, arg_min(struct_pack(e := v.entry, r := v.rank, a := v.ts), x.place) AS b FROM x JOIN v
+  ON v.entry = x.entry AND v.ts <= x.ts AND (v.upto IS NULL OR x.ts < v.upto) AND v.rank > 1 GROUP BY x.page_id)
+SELECT p.page_id, p.url, p.ts AS fetched_at, CASE WHEN host <> '' THEN host END AS host, b.e AS entry,
+  CASE b.r WHEN 2 THEN 'allow' WHEN 3 THEN 'block' END AS action, b.a AS listed_at, coalesce(b.r = 3, false) AS blocked
+FROM p LEFT JOIN f ON p.page_id = f.page_id
+""")
+def op10_url_lists(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    keys, host = url_filter.entries_for(F.col("url")), url_filter.host_of(F.col("url"))
+    turn, act = F.pmod("page_id", F.lit(3)), F.pmod("page_id", F.lit(4))
+    parent = F.array_join(F.slice(F.split(host, r"\."), 2, 1000), ".")
+    log = pages.select(
+        F.when(turn == 0, host).when(turn == 1, parent).otherwise(F.get(keys, F.lit(0))).alias("entry"),
+        F.when(act == 1, "allow").when(act == 2, "remove").otherwise("block").alias("action"), F.expr(_LISTED).alias("at"),
+    )
+    return url_filter.judge(pages.withColumn("fetched_at", F.expr(_CAPTURE)), log)
