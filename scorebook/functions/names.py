@@ -28,13 +28,9 @@ LEAGUE_GROUPS = (
     ("the hundred", "The Hundred"),
 )
 
-MAX_LISTED_NAMES = 1000
-
-
-def split_list(value: str | None, default: Sequence[str] = ()) -> list[str]:
-    """``"a, b,,"`` -> ``["a", "b"]``; the default when nothing is left."""
-    found = [part for part in map(str.strip, (value or "").split(",")) if part]
-    return found or list(default)
+def config_list(value: Column) -> Column:
+    """Names in a comma-separated setting, trimmed, without empty ones; an absent setting has none."""
+    return F.filter(F.transform(F.split(F.coalesce(value, F.lit("")), ","), lambda part: F.trim(part)), lambda part: part != "")
 
 
 def bucket_by_rules(name: Column, rules: Sequence[tuple[str, str]] = LEAGUE_GROUPS) -> Column:
@@ -52,15 +48,13 @@ def normalise_name(name: Column) -> Column:
 def competition_bucket(name: Column, focus: Sequence[str]) -> Column:
     """Struct ``(bucket, is_focus)``: first configured name that contains, or is contained in, the event.
 
-    The list is a constant of the expression, so this stays a projection: no join, no row pairs. An
-    empty event name is never focus.
+    The event is normalised once and compared with the constant list inside one expression, however long: no
+    join, no row pairs. An empty event name is never focus.
     """
-    if len(focus) > MAX_LISTED_NAMES:
-        raise ValueError(f"{len(focus)} configured names; use an exact match with a table instead")
-    event = normalise_name(name)
-    hit = F.lit(None).cast("string")
-    for configured in reversed(focus):
-        wanted = normalise_name(F.lit(configured))
-        hit = F.when((event != "") & (event.contains(wanted) | wanted.contains(event)), F.lit(configured)).otherwise(hit)
+    listed = F.array(*[F.struct(F.lit(one).alias("shown"), normalise_name(F.lit(one)).alias("wanted")) for one in focus])
+    matches = lambda event: F.filter(
+        listed, lambda one: (event != "") & (event.contains(one["wanted"]) | one["wanted"].contains(event))
+    )
+    hit = F.get(F.transform(F.array(normalise_name(name)), lambda event: F.get(matches(event), F.lit(0))["shown"]), F.lit(0)) if focus else F.lit(None).cast("string")
     shown = F.coalesce(F.when(name != "", name), F.lit("Unknown"))
     return F.struct(F.coalesce(hit, shown).alias("bucket"), hit.isNotNull().alias("is_focus"))

@@ -18,6 +18,7 @@ _LINEAGE = ("zip_path", "zip_sha256", "file_sha256", "match_id_candidate")
 
 PARSED = ["meta", "info", "innings"]
 
+# Fixed column names and order of the published fact table.
 MATCH_FACT_COLUMNS = [
     "match_id", *DIMS, "match_date", "match_type", "venue", "city", "team_1", "team_2", "toss_winner",
     "toss_decision", "winner", "win_by_runs", "win_by_wickets", "result", "players_of_match",
@@ -64,7 +65,8 @@ def shape_raw(parsed: DataFrame, run_id: str) -> DataFrame:
         "zip_path",
         "zip_sha256",
         F.coalesce("file_sha256", F.sha2(raw, 256)).alias("source_file_sha256"),
-        F.coalesce(F.col("meta.revision"), F.lit(0)).alias("source_revision"),
+        # Unknown stays unknown here: it is not an older revision than any other.
+        F.col("meta.revision").alias("source_revision"),
         F.col("meta.data_version").alias("data_version"),
         F.col("meta.created").try_cast("date").alias("source_created_date"),
         F.lit(run_id).alias("ingestion_run_id"),
@@ -102,7 +104,8 @@ def _first_date() -> Column:
 def _shared() -> dict[str, Column]:
     league = F.col("info.event.name")
     return {
-        "season": F.col("info.season"),
+        # An empty season is stored as no season; saying so here keeps partitions and their rows in step.
+        "season": F.nullif(F.col("info.season"), F.lit("")),
         "league_name": league,
         "league_group": names.bucket_by_rules(league),
         "gender": F.col("info.gender"),
@@ -111,16 +114,22 @@ def _shared() -> dict[str, Column]:
     }
 
 
-def build_matches(parsed: DataFrame) -> DataFrame:
-    """One row per match with its competition, teams, toss and outcome."""
-    flat = {
-        **_shared(),
+# Fixed column names and order of the published match table, after its id and before its league group.
+def _match_columns() -> dict[str, Column]:
+    shared = _shared()
+    return {
+        "source_file": F.col("source_file"),
+        "data_version": F.col("meta.data_version"),
         "source_created_date": F.col("meta.created").try_cast("date"),
         "source_revision": F.col("meta.revision"),
-        "data_version": F.col("meta.data_version"),
+        "match_date": shared["match_date"],
+        "season": shared["season"],
+        "league_name": shared["league_name"],
         "event_match_number": F.col("info.event.match_number"),
         "match_type": F.col("info.match_type"),
+        "gender": shared["gender"],
         "city": F.col("info.city"),
+        "venue": shared["venue"],
         "teams": F.col("info.teams"),
         "team_1": F.try_element_at("info.teams", F.lit(1)),
         "team_2": F.try_element_at("info.teams", F.lit(2)),
@@ -131,11 +140,17 @@ def build_matches(parsed: DataFrame) -> DataFrame:
         "win_by_wickets": F.col("info.outcome.by.wickets"),
         "result": F.col("info.outcome.result"),
         "players_of_match": F.col("info.player_of_match"),
+        "pipeline_run_id": F.col("pipeline_run_id"),
+        "ingestion_timestamp": F.col("ingestion_timestamp"),
         # Hash of the file, taken when it arrived: the text itself need not be read again.
         "match_record_hash": F.col("source_file_sha256"),
+        "league_group": shared["league_group"],
     }
-    lineage = ["match_id", "source_file", "pipeline_run_id", "ingestion_timestamp"]
-    rows = parsed.select(*lineage, *[expr.alias(name) for name, expr in flat.items()])
+
+
+def build_matches(parsed: DataFrame) -> DataFrame:
+    """One row per match with its competition, teams, toss and outcome."""
+    rows = parsed.select("match_id", *[value.alias(name) for name, value in _match_columns().items()])
     newest = [F.col(c).desc_nulls_last() for c in ("source_revision", "ingestion_timestamp", "match_record_hash")]
     return latest_by_key(rows, ["match_id"], newest)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -116,14 +116,19 @@ def _task(lake: Lake, run: Run, name: str) -> Iterator[dict[str, int]]:
 
 
 def ingest_archives(lake: Lake, run: Run, folder: str) -> DataFrame:
-    """Open the archives not opened before; returns their match documents and logs archives and files."""
-    known = lake.load_or_empty("archive_log", schemas.ARCHIVE_LOG)
+    """Open the archives not opened before; returns their match documents and logs archives and files.
+
+    An archive counts as opened only if its run also took its documents into the history: archives of a
+    run that failed before are opened again.
+    """
+    ingested = lake.load_or_empty("task_log", schemas.TASK_LOG).where("task_name = 'ingest_raw' AND status = 'SUCCEEDED'")
+    known = lake.load_or_empty("archive_log", schemas.ARCHIVE_LOG).join(ingested.select("run_id"), "run_id", "left_semi")
     hashed = materialise(zips.hash_archives(zips.list_archives(lake.spark, folder)), "archives")
     listed = zips.skip_processed(hashed, known)
     pending = listed.where(F.col("status") == "pending")
     # Contents are read once: progress, logs and the ingest all start from the written members.
     members = materialise(zips.explode_archives(pending), "members")
-    earlier = lake.load_or_empty("file_log", schemas.FILE_LOG).where(F.col("extraction_status") == "extracted")
+    earlier = lake.load_or_empty("file_log", schemas.FILE_LOG).where(F.col("extraction_status") == "extracted").join(ingested.select("run_id"), "run_id", "left_semi")
     named = zips.name_versions(members.drop("content"), earlier.select("source_filename", "file_sha256"))
     stamp = {"run_id": F.lit(run.run_id), "processed_at": F.current_timestamp()}
     files = named.where(F.col("member").isNotNull()).withColumns({
@@ -186,8 +191,10 @@ def ingest_raw(lake: Lake, run: Run, documents: DataFrame) -> DataFrame:
         classified = materialise(
             upsert.classify_batch(latest, valid, "match_id", "source_file_sha256", "source_revision"), "classified"
         )
-        lake.append(VERSIONS, _only_rows(batch.drop(*docs.PARSED), narrow, added).drop(ROW), [BUCKET])
-        lake.replace_partitions(RAW, upsert.apply_merge(latest, classified.drop(ROW), "match_id"), [BUCKET], touched)
+        # Compared as unknown, stored as 0.
+        shown = {"source_revision": F.coalesce("source_revision", F.lit(0))}
+        lake.append(VERSIONS, _only_rows(batch.drop(*docs.PARSED), narrow, added).drop(ROW).withColumns(shown), [BUCKET])
+        lake.replace_partitions(RAW, upsert.apply_merge(latest, classified.drop(ROW).withColumns(shown), "match_id"), [BUCKET], touched)
         change = upsert.change_counts(classified).first()
         counts.update(
             input_count=seen["output_count"],
@@ -211,11 +218,34 @@ def _only_rows(wide: DataFrame, narrow: DataFrame, wanted: DataFrame) -> DataFra
     return wide.join(unwanted, ROW, "left_anti")
 
 
+COMPLETED = "COMPLETED"
+
+
 def _pending(lake: Lake) -> list[str]:
-    """Runs that never succeeded: what they changed still has to reach the facts."""
+    """Runs that neither succeeded nor were completed by a later one: what they changed still has to reach the facts."""
     history = runlog.run_history(lake.load_or_empty("run_log", schemas.RUN_LOG))
-    rows = history.where(F.col("status") != "SUCCEEDED").select("run_id")
-    return [row["run_id"] for row in listed_partitions(rows)]
+    rows = history.where(~F.col("status").isin("SUCCEEDED", COMPLETED)).select("run_id")
+    return [row["run_id"] for row in rows.collect()]
+
+
+def _settings(lake: Lake, run: Run, focus: DataFrame) -> bool:
+    """Hold what the tables were made with; True if the serving tables were made with other settings.
+
+    The number of buckets decides where a match stands, so another one is refused.
+    """
+    shape = "buckets int, null_safe boolean, focus_match string, focus array<string>"
+    names = focus.agg(F.array_sort(F.collect_set("league_name")).alias("focus"))
+    now = names.select(F.lit(run.buckets).alias("buckets"), F.lit(run.null_safe).alias("null_safe"), F.lit(run.focus_match).alias("focus_match"), "focus").first()
+    stored = lake.load("settings", shape).first() if lake.exists("settings") else None
+    if stored is not None and stored["buckets"] != run.buckets:
+        raise ValueError(f"the tables have {stored['buckets']} buckets, not {run.buckets}")
+    return stored is not None and tuple(stored) != tuple(now)
+
+
+def _keep_settings(lake: Lake, run: Run, focus: DataFrame) -> None:
+    names = focus.agg(F.array_sort(F.collect_set("league_name")).alias("focus"))
+    rows = names.select(F.lit(run.buckets).alias("buckets"), F.lit(run.null_safe).alias("null_safe"), F.lit(run.focus_match).alias("focus_match"), "focus")
+    lake.replace("settings", rows)
 
 
 def _changed(lake: Lake, run: Run, taken: DataFrame, pending: list[str]) -> DataFrame:
@@ -304,14 +334,20 @@ def build_dimensions(lake: Lake, run: Run, changed: DataFrame, register: DataFra
         lake.replace("dim_team", docs.dim_team(teams))
         lake.replace("dim_venue", docs.dim_venue(teams))
         lake.replace("dim_competition", docs.dim_competition(teams))
-        if register is not None:
-            lake.replace("dim_people", docs.people_dim(register))
-            lake.replace("bridge_person_external_ids", external_ids(register))
-        if lake.exists("dim_people"):
-            lake.replace("unresolved_people", docs.unresolved_people(lake.load(REGISTRY), lake.load("dim_people")))
+        _people(lake, run, register)
         counts.update(output_count=ids.count())
 
 
+def _people(lake: Lake, run: Run, register: DataFrame | None) -> None:
+    """People tables from the register, and who of the matches is not in it."""
+    if register is not None:
+        lake.replace("dim_people", docs.people_dim(register))
+        lake.replace("bridge_person_external_ids", external_ids(register))
+    if lake.exists("dim_people") and lake.exists(REGISTRY):
+        missing = docs.unresolved_people(lake.load(REGISTRY), lake.load("dim_people"))
+        lake.replace("unresolved_people", missing.withColumn("run_id", F.lit(run.run_id)))
+
+
 def external_ids(register: DataFrame) -> DataFrame:
     """Identifiers of other registers, one row per person and register."""
     long = unpivot_prefix(register, "key_", ["identifier"], "external_source", "external_id")
@@ -321,13 +357,13 @@ def external_ids(register: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------------ gold
 
 
-def refresh_gold(lake: Lake, run: Run, touched: list[dict[str, object]]) -> list[dict[str, object]]:
+def refresh_gold(lake: Lake, run: Run, touched: list[dict[str, object]], renewed: bool = False) -> list[dict[str, object]]:
     """Recompute the gold tables for the touched seasons, or for all where a table is missing.
 
     Cards start from the aggregates just written, not from the deliveries again.
     """
     with _task(lake, run, "refresh_gold") as counts:
-        everything = run.full or not all(map(lake.exists, (BATTING, BOWLING, SUMMARY, LEAGUES, *CARDS)))
+        everything = renewed or run.full or not all(map(lake.exists, (BATTING, BOWLING, SUMMARY, LEAGUES, *CARDS)))
         pick = (lambda df: df) if everything else (lambda df: in_partitions(df, touched))
 
         def put(name: str, df: DataFrame) -> DataFrame:
@@ -349,12 +385,11 @@ def refresh_gold(lake: Lake, run: Run, touched: list[dict[str, object]]) -> list
     return listed_partitions(lake.load(MATCHES).select("season").distinct()) if everything else touched
 
 
-def split_tables(lake: Lake, run: Run, focus_config: DataFrame, touched: list[dict[str, object]]) -> None:
+def split_tables(lake: Lake, run: Run, focus: DataFrame | list[str], touched: list[dict[str, object]]) -> None:
     """Focus and other tables of the three cards, for the touched seasons."""
     with _task(lake, run, "split_segments") as counts:
-        focus = materialise(segments.focus_leagues(focus_config, run.focus), "focus")
-        if run.focus_match == "normalised":
-            focus = [row["league_name"] for row in listed_partitions(focus)]
+        if run.focus_match == "normalised" and isinstance(focus, DataFrame):
+            focus = [row["league_name"] for row in focus.collect()]
         for name in CARDS:
             for segment, rows in segments.split_segments(in_partitions(lake.load(name), touched), focus, run.focus_match).items():
                 lake.replace_partitions(f"{name}_{segment}", rows, ["season"], touched, reads_itself=False)
@@ -396,24 +431,34 @@ def run_lake(
     if focus_config is None:
         focus_config = empty_table(spark, schemas.FOCUS_CONFIG)
     try:
+        focus = materialise(segments.focus_leagues(focus_config, run.focus), "focus")
+        renewed = _settings(lake, run, focus)
         taken = ingest_raw(lake, run, documents)
         changed = _changed(lake, run, taken, pending)
-        if changed.isEmpty():
+        unchanged = changed.isEmpty()
+        if unchanged and not (renewed and lake.exists(FACTS)):
             for _, task in TASKS[1:]:
                 with _task(lake, run, task):
-                    pass
+                    if task == "build_dimensions":
+                        _people(lake, run, register)
         else:
             touched = build_facts(lake, run, changed, pending)
             build_dimensions(lake, run, changed, register)
             validate(lake, run, "silver", touched)
-            refreshed = refresh_gold(lake, run, touched)
+            refreshed = refresh_gold(lake, run, touched, renewed)
             validate(lake, run, "gold", refreshed)
-            split_tables(lake, run, focus_config, refreshed)
+            split_tables(lake, run, focus, refreshed)
+        _keep_settings(lake, run, focus)
     except Exception:
         _close(lake, run, started, "FAILED")
         raise
     summary = close_run(lake, run)
-    _close(lake, run, started, summary.first()["status"])
+    status = summary.first()["status"]
+    _close(lake, run, started, status)
+    if status == "SUCCEEDED":
+        for behind in pending:
+            if behind != run.run_id:
+                _close(lake, replace(run, run_id=behind), started, COMPLETED)
     return summary
 
 

@@ -13,7 +13,7 @@ from scorebook.operators.upsert import latest_by_key
 from scorebook.plans import oracle as sql
 from scorebook.plans.daily_run import DELIVERIES, MATCHES, RAW, WICKETS
 from scorebook.plans.registry import query
-from scorebook.plans.workload import RUN_ID, demo_lake, first_parts, table
+from scorebook.plans.workload import RUN_ID, demo_lake, table
 from scorebook.sources import files
 
 
@@ -27,7 +27,7 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_parts(demo_lake(spark, sf_dir).load(RAW))
+    return demo_lake(spark, sf_dir).load(RAW)
 
 
 def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,14 +57,11 @@ FROM m LEFT JOIN d ON d.match_id = m.match_id GROUP BY m.match_id, m.match_date
 """)
 def raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text to record: ids, revision, status, and the contents counted inside the nested value."""
-    rows = _parsed(spark, sf_dir).select(
-        "match_id", "match_id_rule", F.regexp_replace("source_file", "#.*", "").alias("source_file"), F.col("source_revision").cast("bigint").alias("source_revision"),
+    return _parsed(spark, sf_dir).select(
+        "match_id", "match_id_rule", "source_file", F.col("source_revision").cast("bigint").alias("source_revision"),
         "data_version", "source_created_date", "record_status",
         nested_sum("balls").alias("balls"), nested_sum("runs").alias("runs"),
     )
-    # An order with very many items arrives as several documents of one match.
-    keys = [name for name in rows.columns if name not in ("balls", "runs")]
-    return rows.groupBy(*keys).agg(F.sum("balls").alias("balls"), F.sum("runs").alias("runs"))
 
 
 @query(f"""
@@ -81,7 +78,7 @@ def stable_id_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both id rules on every document: a numeric file name, and a name that says nothing."""
     hashed = identity.stable_id(F.col("raw_json"), F.lit("scoresheet.json"))
     numbered = identity.stable_id(F.col("raw_json"), F.col("source_path"))
-    return first_parts(_texts(spark, sf_dir)).select(
+    return _texts(spark, sf_dir).select(
         identity.file_stem(F.col("source_path")).alias("number"),
         hashed["match_id"].alias("fallback_id"),
         numbered["match_id"].alias("stem_id"),
@@ -114,7 +111,7 @@ FROM orders
 """)
 def lineage_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scanned files with their manifest row, where there is one."""
-    joined = docs.attach_lineage(first_parts(_texts(spark, sf_dir)).select("source_path"), _manifest(spark, sf_dir))
+    joined = docs.attach_lineage(_texts(spark, sf_dir).select("source_path"), _manifest(spark, sf_dir))
     return joined.select("source_path", "zip_path", "file_sha256")
 
 
@@ -139,7 +136,7 @@ SELECT match_id, match_id || '.json' AS source_file, '1.1.0' AS data_version, ma
 FROM m
 """)
 def match_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = docs.build_matches(first_parts(_parsed(spark, sf_dir))).drop("pipeline_run_id", "ingestion_timestamp", "match_record_hash")
+    flat = docs.build_matches(_parsed(spark, sf_dir)).drop("pipeline_run_id", "ingestion_timestamp", "match_record_hash")
     joined = {name: F.array_join(name, "|") for name in ("teams", "players_of_match")}
     return big(flat.withColumns(joined), "source_revision", "win_by_runs", "win_by_wickets")
 
@@ -322,8 +319,8 @@ def person_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _register(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with a balance as a people register, with some external keys blank or missing."""
-    who = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
+    """All customers as a people register, with some external keys blank or missing."""
+    who = table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     return who.select(
         F.concat(F.lit("id"), key).alias("identifier"),
@@ -337,7 +334,7 @@ def _register(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH c AS (SELECT 'id' || c_custkey AS person_id, c_custkey AS k, c_nationkey AS n FROM customer WHERE c_acctbal >= 0)
+WITH c AS (SELECT 'id' || c_custkey AS person_id, c_custkey AS k, c_nationkey AS n FROM customer)
 SELECT person_id, 'alpha' AS external_source, CAST(k AS VARCHAR) AS external_id FROM c WHERE k % 3 = 0
 UNION ALL SELECT person_id, 'beta', 'b' || k FROM c WHERE k % 2 = 0
 UNION ALL SELECT person_id, 'gamma', CAST(n AS VARCHAR) FROM c

@@ -18,10 +18,10 @@ from scorebook.plans import oracle as sql
 from scorebook.plans.daily_run import DELIVERIES, MATCHES, RAW, WICKETS
 from scorebook.plans.queries_facts import big
 from scorebook.plans.registry import query
-from scorebook.plans.workload import demo_lake, first_parts, second_delivery, table, write_archives
+from scorebook.plans.workload import demo_lake, second_delivery, table, write_archives
 from scorebook.session import materialise, observed, shared_dir
 from scorebook.sources import archives
-from scorebook.sources.tables import Lake, ensure_columns, in_partitions, listed_partitions
+from scorebook.sources.tables import Lake, ensure_columns, in_partitions, listed_partitions, outside_partitions
 from scorebook.streaming.ingest import stream_documents
 
 # --------------------------------------------------------------------- upserts
@@ -30,8 +30,8 @@ from scorebook.streaming.ingest import stream_documents
 def _delivered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Raw rows that stand, and raw rows of the second delivery."""
     lake = demo_lake(spark, sf_dir)
-    standing = first_parts(lake.load(RAW)).where(F.col("info.match_type") != "3-MEDIUM")
-    return standing.drop(*docs.PARSED), first_parts(second_delivery(lake)).drop(*docs.PARSED)
+    standing = lake.load(RAW).where(F.col("info.match_type") != "3-MEDIUM")
+    return standing.drop(*docs.PARSED), second_delivery(lake).drop(*docs.PARSED)
 
 
 _CHANGE = """CASE match_type WHEN '1-URGENT' THEN 'revised' WHEN '5-LOW' THEN 'older' WHEN '2-HIGH' THEN 'unchanged'
@@ -87,8 +87,17 @@ def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _second_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed documents of the second delivery that replace standing ones."""
-    return second_delivery(demo_lake(spark, sf_dir)).where(F.col("info.match_type") == "1-URGENT")
+    """Parsed documents of the second delivery that the comparison with the standing rows takes over."""
+    current, batch = _delivered(spark, sf_dir)
+    taken = upsert.classify_batch(current, batch, *_KEY).where(F.col("change").isin("new", "revised"))
+    return second_delivery(demo_lake(spark, sf_dir)).join(taken.select("match_id"), "match_id", "left_semi")
+
+
+def _standing(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fact table as it is before the second delivery: without the matches that arrive with it."""
+    lake = demo_lake(spark, sf_dir)
+    absent = lake.load(RAW).where(F.col("info.match_type") == "3-MEDIUM").select("match_id")
+    return lake.load(name).join(absent, "match_id", "left_anti")
 
 
 _MOVED = "CASE WHEN match_type = '1-URGENT' THEN '1990' ELSE season END"
@@ -96,13 +105,13 @@ _MOVED = "CASE WHEN match_type = '1-URGENT' THEN '1990' ELSE season END"
 
 @query(f"""
 {sql.with_(sql.BALLS)}
-SELECT {_MOVED} AS season, CASE WHEN match_type = '1-URGENT' THEN 'load-2' ELSE 'load-1' END AS pipeline_run_id,
+SELECT {_MOVED} AS season, CASE WHEN match_type IN ('1-URGENT', '3-MEDIUM') THEN 'load-2' ELSE 'load-1' END AS pipeline_run_id,
   {sql.big('count(*)', 'balls')}, {sql.big('sum(total_runs)', 'runs')}
 FROM d GROUP BY 1, 2
 """)
 def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deliveries after those of the revised matches have been replaced."""
-    standing = demo_lake(spark, sf_dir).load(DELIVERIES)
+    """Deliveries after those of new and revised matches have been put in place."""
+    standing = _standing(spark, sf_dir, DELIVERIES)
     batch = docs.build_deliveries(_second_batch(spark, sf_dir))
     after = gold.real_balls(upsert.replace_by_key(standing, batch, ["match_id"]))
     return after.groupBy("season", "pipeline_run_id").agg(F.count("*").alias("balls"), F.sum("total_runs").alias("runs"))
@@ -110,12 +119,12 @@ def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 {sql.with_(sql.MATCHES)}
-SELECT season FROM m WHERE match_type = '1-URGENT' UNION SELECT '1990'
+SELECT season FROM m WHERE match_type IN ('1-URGENT', '3-MEDIUM') UNION SELECT '1990'
 """)
 def affected_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seasons to refresh: where the revised matches were, and where they are now."""
+    """Seasons to refresh: where new matches are, where the revised matches were, and where they are now."""
     batch = docs.build_matches(_second_batch(spark, sf_dir))
-    return upsert.affected_partitions(demo_lake(spark, sf_dir).load(MATCHES), batch, ["match_id"], ["season"])
+    return upsert.affected_partitions(_standing(spark, sf_dir, MATCHES), batch, ["match_id"], ["season"])
 
 
 @query(f"""
@@ -123,15 +132,13 @@ def affected_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT * FROM bat
 """)
 def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batting figures after the revised matches: untouched seasons kept, touched seasons recomputed."""
-    lake = demo_lake(spark, sf_dir)
+    """Batting figures after new and revised matches: untouched seasons kept, touched seasons recomputed."""
     batch = _second_batch(spark, sf_dir)
     matches = docs.build_matches(batch)
-    touched = listed_partitions(upsert.affected_partitions(lake.load(MATCHES), matches, ["match_id"], ["season"]))
-    standing = lake.load(DELIVERIES)
+    touched = listed_partitions(upsert.affected_partitions(_standing(spark, sf_dir, MATCHES), matches, ["match_id"], ["season"]))
+    standing = _standing(spark, sf_dir, DELIVERIES)
     affected = upsert.replace_by_key(in_partitions(standing, touched), docs.build_deliveries(batch), ["match_id"])
-    seasons = [part["season"] for part in touched]
-    kept = gold.batting_stats(standing).where(~F.col("season").isin(*seasons))
+    kept = gold.batting_stats(outside_partitions(standing, touched))
     return kept.unionByName(gold.batting_stats(affected))
 
 
@@ -489,8 +496,8 @@ def archive_progress_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH a AS (SELECT doc_id, source, sha256(source || lang) AS sha FROM documents),
-known AS (SELECT DISTINCT sha256(source || lang) AS sha FROM documents JOIN labels USING (doc_id) WHERE toxic = 1),
+WITH a AS (SELECT doc_id, source, sha256(text) AS sha FROM documents),
+known AS (SELECT DISTINCT sha256(text) AS sha FROM documents JOIN labels USING (doc_id) WHERE toxic = 1),
 first AS (SELECT sha, min('/in/' || lpad(CAST(doc_id AS VARCHAR), 12, '0')) AS path FROM a GROUP BY 1)
 SELECT '/in/' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS zip_path,
   CASE WHEN known.sha IS NOT NULL OR first.path <> '/in/' || lpad(CAST(doc_id AS VARCHAR), 12, '0') THEN 'skipped_already_processed' ELSE 'pending' END AS status
@@ -499,7 +506,7 @@ FROM a LEFT JOIN known USING (sha) LEFT JOIN first USING (sha)
 def skip_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives by content hash: known from before, repeated in the batch, or to be opened."""
     documents = table(spark, sf_dir, "documents")
-    digest = F.sha2(F.concat("source", "lang"), 256).alias("zip_sha256")
+    digest = F.sha2("text", 256).alias("zip_sha256")
     arrived = documents.select(F.concat(F.lit("/in/"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("zip_path"), digest)
     toxic = table(spark, sf_dir, "labels").where(F.col("toxic") == 1)
     manifest = documents.join(toxic, "doc_id", "left_semi").select(digest, F.lit("extracted").alias("status"))

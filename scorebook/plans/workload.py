@@ -21,7 +21,6 @@ from scorebook.plans.daily_run import DELIVERIES, MATCHES, RAW, WICKETS
 from scorebook.session import shared_dir
 from scorebook.sources.tables import Lake
 
-MAX_BALLS = 5000
 RUN_ID = "load-1"
 SECOND = "second_delivery"
 
@@ -114,29 +113,19 @@ def _ball() -> Column:
 
 
 def balls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as balls with the document part they belong to.
-
-    A document is one row, so an order with very many items becomes several documents of the same match.
-    The part comes from the scan position: exact copies of one item are split as well.
-    """
-    items = table(spark, sf_dir, "lineitem").withColumn("at", F.monotonically_increasing_id())
-    large = items.groupBy(F.col("l_orderkey").alias("key")).count().where(F.col("count") > MAX_BALLS)
-    parts = large.select("key", F.ceil(F.col("count") / MAX_BALLS).alias("parts"))
+    """Line items as balls, with the innings and over they belong to."""
     order = F.struct("l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag", _ball().alias("ball"))
-    placed = items.select(
-        F.col("l_orderkey").alias("key"),
-        "at",
-        F.col("l_linestatus").alias("side"),
-        (F.col("l_linenumber") - 1).alias("over"),
-        order.alias("entry"),
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("key"), F.col("l_linestatus").alias("side"), (F.col("l_linenumber") - 1).alias("over"), order.alias("entry")
     )
-    part = F.coalesce(F.col("at") % F.col("parts"), F.lit(0))
-    return placed.join(parts, "key", "left").withColumn("part", part).drop("at", "parts")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(source_path, raw_json, key)``: one text per match, also for orders without items."""
-    collected = balls(spark, sf_dir).groupBy("key", "part").agg(
+    """``(source_path, raw_json, key)``: one text per match, also for orders without items.
+
+    A match is one file and so one row, whatever its size; nothing else is gathered by key.
+    """
+    collected = balls(spark, sf_dir).groupBy("key").agg(
         F.sort_array(F.collect_list(F.struct("side", "over", "entry"))).alias("entries")
     )
     joined = matches_wide(spark, sf_dir).join(collected, "key", "left")
@@ -153,17 +142,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     sides = F.array_distinct(F.transform(entries, lambda e: e["side"]))
     shaped = F.transform(sides, innings)
-    later = F.when(F.col("part") > 0, F.concat(F.lit("#"), "part")).otherwise("")
-    name = F.concat(F.lit("file:/landing/"), "key", F.lit(".json"), later)
+    name = F.concat(F.lit("file:/landing/"), "key", F.lit(".json"))
     text = F.to_json(F.struct("meta", "info", shaped.alias("innings")))
     return joined.select(name.alias("source_path"), text.alias("raw_json"), "key")
 
 
-def first_parts(df: DataFrame) -> DataFrame:
-    """One document per match: without the later parts of very large orders."""
-    return df.where(~F.col("source_path").contains("#"))
-
-
 def revised_documents(raw: DataFrame) -> DataFrame:
     """Second delivery of the matches, by match type: changed with a higher revision (and moved to another
     season), changed with a lower one, exact copies, and matches the first delivery leaves out."""

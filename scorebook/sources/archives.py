@@ -21,7 +21,6 @@ from scorebook.session import materialise
 CHUNK = 1 << 20
 BATCH_BYTES = 32 << 20
 TASK_BYTES = 128 << 20
-MAX_TASKS = 100_000
 
 _HASHED = pa.schema([
     ("zip_path", pa.string()),
@@ -160,7 +159,7 @@ def _width(spark: SparkSession, total_bytes: int = 0, task_bytes: int = TASK_BYT
 
     A stated count also keeps adaptive execution from merging such rows into few tasks.
     """
-    return min(MAX_TASKS, max(spark.sparkContext.defaultParallelism, -(-total_bytes // task_bytes)))
+    return max(spark.sparkContext.defaultParallelism, -(-total_bytes // task_bytes))
 
 
 def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -143,3 +143,63 @@ def test_stream_takes_new_files_only(spark, tmp_path):
         take = lambda batch, _: seen.append(sorted(r["source_path"][-6:] for r in batch.collect()))
         stream_documents(spark, str(folder), f"{tmp_path}/checkpoint", take).awaitTermination()
     assert seen == [["1.json"], ["2.json"]]
+
+
+def test_archives_of_a_failed_run_are_read_again(spark, lake, tmp_path, monkeypatch):
+    folder = tmp_path / "zips"
+    folder.mkdir()
+    with zipfile.ZipFile(folder / "a.zip", "w") as z:
+        z.writestr("101.json", json.dumps(G1))
+    first = dr.Run("r1", buckets=4)
+    with monkeypatch.context() as patch:
+        patch.setattr(dr.upsert, "classify_batch", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            dr.run_lake(lake, first, dr.ingest_archives(lake, first, str(folder)))
+    again = dr.Run("r2", buckets=4)
+    dr.run_lake(lake, again, dr.ingest_archives(lake, again, str(folder)))
+    assert rows(lake, dr.RAW, "match_id") == ["Row(match_id='101')"]
+    assert dr.ingest_archives(lake, dr.Run("r3", buckets=4), str(folder)).count() == 0
+
+
+def test_completed_runs_are_closed(spark, lake, monkeypatch):
+    run(lake, "r1", FIRST[:2])
+    with monkeypatch.context() as patch:
+        patch.setattr(gold, "batting_stats", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            run(lake, "r2", SECOND[:1])
+    assert dr._pending(lake) == ["r2"]
+    run(lake, "r3", SECOND[3:])
+    assert dr._pending(lake) == []
+    run(lake, "r4", FIRST[2:3])
+    counts = runlog.latest_task_rows(lake.load("task_log"), "r4").where("task_name = 'build_facts'").first()
+    assert counts["updated_count"] == 1
+
+
+def test_changed_settings(spark, lake):
+    run(lake, "r1", FIRST[:2], focus="County Cup")
+    assert rows(lake, f"{dr.FACTS}_focus_leagues", "match_id") == ["Row(match_id='102')"]
+    run(lake, "r2", FIRST[2:3], focus="Indian Premier League")
+    assert rows(lake, f"{dr.FACTS}_focus_leagues", "match_id") == ["Row(match_id='101')"]
+    assert rows(lake, f"{dr.FACTS}_other_leagues", "match_id") == ["Row(match_id='102')", "Row(match_id='103')"]
+    run(lake, "r3", FIRST[2:3], focus="County Cup")  # nothing new but the list
+    assert rows(lake, f"{dr.FACTS}_focus_leagues", "match_id") == ["Row(match_id='102')"]
+    with pytest.raises(ValueError, match="buckets"):
+        dr.run_lake(lake, dr.Run("r4", buckets=8), documents(spark, *SECOND))
+    assert lake.load(dr.RAW).count() == 3
+
+
+def test_unknown_revision_and_empty_season(spark, lake):
+    plain = match(innings("A", [ball("A1", "B1", 1)]), season="2023")
+    later = match(innings("A", [ball("A1", "B1", 4)]), season="")
+    del later["meta"]["revision"]
+    run(lake, "r1", [("7.json", plain)])
+    run(lake, "r2", [("7.json", later)])
+    assert [(r["season"], r["runs"]) for r in dicts(lake.load(dr.BATTING))] == [(None, 4)]
+    assert rows(lake, dr.RAW, "source_revision") == ["Row(source_revision=0)"]
+
+
+def test_register_without_a_changed_match(spark, lake):
+    run(lake, "r1", FIRST[:1])
+    register = spark.createDataFrame([("id-a1", "A1", "A1 (A)", "k1", "people.csv")], "identifier string, name string, unique_name string, key_x string, source_file string")
+    dr.run_lake(lake, dr.Run("r2", buckets=4), documents(spark, *FIRST[:1]), register)
+    assert rows(lake, "unresolved_people", "person_name", "run_id") == ["Row(person_name='B1', run_id='r2')"]

@@ -42,10 +42,10 @@ def test_wicket_credit(spark):
 
 
 def test_revision_classes(spark):
-    rows = [(1, "old", 2, "new"), (2, "same", 2, "same"), (None, None, 1, "x"), (1, "", 1, "x"), (3, "old", 2, "new"), (2, "old", 2, "new"), (None, "old", 2, "new")]
+    rows = [(4, "aa", 7, "bb"), (5, "cc", 5, "cc"), (None, None, 3, "dd"), (3, "", 3, "dd"), (9, "aa", 8, "bb"), (8, "aa", 8, "bb"), (None, "aa", 6, "bb"), (6, "aa", None, "bb"), (7, "cc", 5, "cc")]
     column = rules.classify_revision(F.col("a"), F.col("b"), F.col("c"), F.col("d"))
     got = values(spark, rows, "a int, b string, c int, d string", column)
-    assert got == ["revised", "unchanged", "new", "new", "older", "revised", "revised"]
+    assert got == ["revised", "unchanged", "new", "new", "older", "revised", "revised", "revised", "unchanged"]
 
 
 def test_rate_without_balls_is_null(spark):
@@ -75,10 +75,9 @@ def test_normalise_name(spark, texts):
     assert got == [re.sub(r"[^a-z0-9]+", " ", text.lower()).strip() for text in texts]
 
 
-def test_split_list():
-    assert names.split_list(" a, ,b,") == ["a", "b"]
-    assert names.split_list(",", names.DEFAULT_FOCUS) == list(names.DEFAULT_FOCUS)
-    assert names.split_list(None) == []
+def test_config_list(spark):
+    rows = [(" a, ,b,",), (",",), (None,), ("one name",)]
+    assert values(spark, rows, "n string", names.config_list(F.col("n"))) == [["a", "b"], [], [], ["one name"]]
 
 
 def test_stable_id(spark):

@@ -34,16 +34,13 @@ def folder(spark, tmp_path):
     return str(tmp_path)
 
 
-def test_very_large_order_becomes_several_documents(spark, folder, monkeypatch):
-    monkeypatch.setattr(workload, "MAX_BALLS", 10)
+def test_a_large_order_stays_one_document(spark, folder):
     made = workload.documents(spark, folder).persist()
-    per_key = {r["key"]: r["n"] for r in dicts(made.groupBy("key").agg(F.count("*").alias("n")))}
-    assert per_key == {1: 6, 2: 1, 3: 1}
-    assert workload.first_parts(made).count() == 3
+    assert {r["key"]: r["n"] for r in dicts(made.groupBy("key").agg(F.count("*").alias("n")))} == {1: 1, 2: 1, 3: 1}
     rows = docs.shape_raw(docs.parse_documents(made.select("source_path", "raw_json")), "r")
     balls = docs.build_deliveries(rows)
-    per_match = gold.real_balls(balls).groupBy("match_id").agg(F.count("*").alias("n"))
-    assert {r["match_id"]: r["n"] for r in dicts(per_match)} == {"1": 60, "2": 5}
+    per_match = gold.real_balls(balls).groupBy("match_id").agg(F.count("*").alias("n"), F.max("delivery_sequence").alias("last"))
+    assert {r["match_id"]: (r["n"], r["last"]) for r in dicts(per_match)} == {"1": (60, 60), "2": (5, 2)}
     summary = {r["match_id"]: (r["team_runs"], r["wickets_lost"]) for r in dicts(gold.team_match_summary(balls))}
     assert summary["1"] == (240, 60)
     assert docs.build_matches(rows).count() == 3
