@@ -350,7 +350,7 @@ SELECT 'id' || c_custkey AS identifier, c_name AS name, c_name || ' (' || c_mkts
   || CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS VARCHAR) ELSE '  ' END || '"'
   || CASE WHEN c_custkey % 2 = 0 THEN ',"key_beta":"b' || c_custkey || '"' ELSE '' END
   || ',"key_gamma":"' || c_nationkey || '","source_file":"people.csv"}' AS raw_json
-FROM customer WHERE c_acctbal >= 0
+FROM customer
 """)
 def people_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.people_dim(_register(spark, sf_dir))
@@ -361,7 +361,9 @@ SELECT match_id, person_name, source_role, source_file FROM r
 WHERE person_id NOT IN (SELECT 'id' || c_custkey FROM customer WHERE c_acctbal >= 0)
 """)
 def unresolved_people_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    people = docs.people_dim(_register(spark, sf_dir))
+    """Against a register that does not list customers in debt."""
+    owing = table(spark, sf_dir, "customer").where(F.col("c_acctbal") < 0).select(F.concat(F.lit("id"), "c_custkey").alias("identifier"))
+    people = docs.people_dim(_register(spark, sf_dir)).join(owing, "identifier", "left_anti")
     return docs.unresolved_people(docs.build_person_registry(_raw(spark, sf_dir)), people)
 
 
