@@ -246,6 +246,11 @@ def people_dim(register: DataFrame) -> DataFrame:
     return register.select("identifier", "name", "unique_name", "source_file", archived.alias("raw_json"))
 
 
+def person_names(listed: DataFrame) -> DataFrame:
+    """Other names of people as the register lists them: all columns, equal rows once."""
+    return listed.distinct()
+
+
 def unresolved_people(registry: DataFrame, people: DataFrame) -> DataFrame:
     """Registry entries whose id the people dimension does not know."""
     known = people.select(F.col("identifier").alias("person_id"))

@@ -316,7 +316,7 @@ def _dirty(lake: Lake, run: Run, ids: DataFrame, targets: list[dict], pending: l
     return dirty
 
 
-def build_dimensions(lake: Lake, run: Run, changed: DataFrame, register: DataFrame | None) -> None:
+def build_dimensions(lake: Lake, run: Run, changed: DataFrame, register: DataFrame | None, names: DataFrame | None = None) -> None:
     """Per-match records of the changed matches, then the dimensions over all matches."""
     with _task(lake, run, "build_dimensions") as counts:
         bucket = bucket_of(F.col("match_id"), run.buckets)
@@ -334,15 +334,17 @@ def build_dimensions(lake: Lake, run: Run, changed: DataFrame, register: DataFra
         lake.replace("dim_team", docs.dim_team(teams))
         lake.replace("dim_venue", docs.dim_venue(teams))
         lake.replace("dim_competition", docs.dim_competition(teams))
-        _people(lake, run, register)
+        _people(lake, run, register, names)
         counts.update(output_count=ids.count())
 
 
-def _people(lake: Lake, run: Run, register: DataFrame | None) -> None:
+def _people(lake: Lake, run: Run, register: DataFrame | None, names: DataFrame | None) -> None:
     """People tables from the register, and who of the matches is not in it."""
     if register is not None:
         lake.replace("dim_people", docs.people_dim(register))
         lake.replace("bridge_person_external_ids", external_ids(register))
+    if names is not None:
+        lake.replace("dim_person_names", docs.person_names(names))
     if lake.exists("dim_people") and lake.exists(REGISTRY):
         missing = docs.unresolved_people(lake.load(REGISTRY), lake.load("dim_people"))
         lake.replace("unresolved_people", missing.withColumn("run_id", F.lit(run.run_id)))
@@ -422,8 +424,12 @@ def run_lake(
     documents: DataFrame,
     register: DataFrame | None = None,
     focus_config: DataFrame | None = None,
+    names: DataFrame | None = None,
 ) -> DataFrame:
-    """The whole run; returns its one-row summary. Starting a failed run again completes it."""
+    """The whole run; returns its one-row summary. Starting a failed run again completes it.
+
+    ``register`` and ``names`` are the rows of the people and names files, if they arrived.
+    """
     spark = lake.spark
     started = _now()
     pending = _pending(lake)
@@ -440,10 +446,10 @@ def run_lake(
             for _, task in TASKS[1:]:
                 with _task(lake, run, task):
                     if task == "build_dimensions":
-                        _people(lake, run, register)
+                        _people(lake, run, register, names)
         else:
             touched = build_facts(lake, run, changed, pending)
-            build_dimensions(lake, run, changed, register)
+            build_dimensions(lake, run, changed, register, names)
             validate(lake, run, "silver", touched)
             refreshed = refresh_gold(lake, run, touched, renewed)
             validate(lake, run, "gold", refreshed)

@@ -57,7 +57,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     target = f"{shared_dir(spark)}/scorebook/{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(target)
-    return spark.read.schema(df.schema).parquet(target)
+    written = spark.read.schema(df.schema).parquet(target)
+    written.written_to = target
+    return written
 
 
 def observed(watch: Observation, recount: Callable[[], DataFrame]) -> dict[str, Any]:

@@ -64,6 +64,7 @@ class Lake:
         No footer is read to infer anything, columns absent in older files come back as NULL, an empty
         table is readable, and text partition values such as '2024' stay text.
         """
+        self._recover(name)
         known = schema if schema is not None else self._stored_schema(name)
         if known is None:
             raise ValueError(f"no table {name} in {self.root}")
@@ -95,9 +96,11 @@ class Lake:
         """Replace exactly the ``touched`` partitions by the rows of ``df``.
 
         Where ``df`` reads this table, its rows are complete in the shared folder before the first old
-        file goes away. A touched partition for which no row is left is emptied; overwriting by partition
+        file goes away, and a journal says so: a change that breaks off is finished from there before the table is
+        read or changed again. A touched partition for which no row is left is emptied; overwriting by partition
         alone would keep its old rows. The partitions written are noted by the writing job itself.
         """
+        self._recover(name)
         self._widen(name, df.schema)
         rows = df if reads_itself else in_partitions(df, touched)
         partitions = F.collect_set(F.struct(*[F.col(c) for c in partition_by])).alias("partitions")
@@ -107,44 +110,84 @@ class Lake:
             rows = watched = materialise(watched, name)
             found = observed(seen, lambda: rows.agg(partitions))
             self._refuse_others(name, found["partitions"], touched)
-        self._writer(watched, partition_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
+            journal = {"rows": rows.written_to, "schema": df.schema.jsonValue(), "by": list(partition_by), "touched": [dict(v) for v in touched]}
+            self._store(self._file("_journal", name), json.dumps(journal))
+        self._overwrite(name, watched, partition_by)
         if not reads_itself:
             found = observed(seen, lambda: rows.agg(partitions))
-        left = {tuple(row) for row in found["partitions"]}
-        nothing = T.StructType([f for f in df.schema if f.name not in partition_by])
+        self._empty(name, df.schema, partition_by, touched, {tuple(row) for row in found["partitions"]})
+        if reads_itself:
+            self._forget(self._file("_journal", name))
+
+    def _overwrite(self, name: str, rows: DataFrame, partition_by: Sequence[str]) -> None:
+        self._writer(rows, partition_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
+
+    def _empty(self, name: str, schema: T.StructType, partition_by: Sequence[str], touched: Sequence[Mapping[str, object]], left: set[tuple]) -> None:
+        """Empty the touched partitions that have no row left."""
+        nothing = T.StructType([f for f in schema.fields if f.name not in partition_by])
         for values in touched:
             if tuple(values[c] for c in partition_by) not in left:
                 target = f"{self.path(name)}/{partition_folder(values)}"
                 empty_table(self.spark, nothing).write.mode("overwrite").parquet(target)
 
+    def _recover(self, name: str) -> None:
+        """Finish a change of partitions that broke off after its rows had been written."""
+        journal = self._stored(self._file("_journal", name))
+        if journal is None:
+            return
+        noted = json.loads(journal)
+        schema = T.StructType.fromJson(noted["schema"])
+        rows = self.spark.read.schema(schema).parquet(noted["rows"])
+        left = {tuple(row) for row in rows.select(*noted["by"]).distinct().collect()}
+        self._overwrite(name, rows, noted["by"])
+        self._empty(name, schema, noted["by"], noted["touched"], left)
+        self._forget(self._file("_journal", name))
+
     def _refuse_others(self, name: str, found: Sequence, touched: Sequence[Mapping[str, object]]) -> None:
         named = {tuple(values.values()) for values in touched}
         others = {tuple(row) for row in found} - named
         if others:
             raise ValueError(f"rows outside the touched partitions of {name}: {sorted(map(str, others))[:5]}")
 
-    def _schema_file(self, name: str):
+    def _file(self, folder: str, name: str):
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/_schemas/{self.prefix}{name}.json")
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/{folder}/{self.prefix}{name}.json")
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
 
-    def _stored_schema(self, name: str) -> T.StructType | None:
-        files, path = self._schema_file(name)
+    def _stored(self, file) -> str | None:
+        files, path = file
         if not files.exists(path):
             return None
         stream = files.open(path)
         try:
-            return T.StructType.fromJson(json.loads(bytes(stream.readAllBytes()).decode()))
+            return bytes(stream.readAllBytes()).decode()
         finally:
             stream.close()
 
-    def _store_schema(self, name: str, schema: T.StructType) -> None:
-        files, path = self._schema_file(name)
-        stream = files.create(path, True)
+    def _store(self, file, text: str) -> None:
+        """Write a small file under another name first, so that it is never seen half."""
+        files, path = file
+        fresh = path.suffix(f".{uuid.uuid4().hex}")
+        stream = files.create(fresh, True)
         try:
-            stream.write(bytearray(schema.json().encode()))
+            stream.write(bytearray(text.encode()))
         finally:
             stream.close()
+        if files.exists(path):
+            files.delete(path, False)
+        if not files.rename(fresh, path):
+            raise OSError(f"cannot write {path}")
+
+    def _forget(self, file) -> None:
+        files, path = file
+        files.delete(path, False)
+
+    def _stored_schema(self, name: str) -> T.StructType | None:
+        text = self._stored(self._file("_schemas", name))
+        return None if text is None else T.StructType.fromJson(json.loads(text))
+
+    def _store_schema(self, name: str, schema: T.StructType) -> None:
+        self._store(self._file("_schemas", name), schema.json())
 
     def _widen(self, name: str, schema: T.StructType) -> None:
         known = self._stored_schema(name)

@@ -114,3 +114,17 @@ def test_prefix_keeps_table_sets_apart(spark, lake):
     smoke = Lake(spark, lake.root, prefix="smoke_")
     smoke.replace("t", spark.range(1))
     assert smoke.path("t").endswith("/smoke_t") and smoke.exists("t") and not lake.exists("t")
+
+
+@pytest.mark.parametrize("broken", ["_overwrite", "_empty", "_forget"])
+def test_a_broken_change_is_finished_from_its_journal(spark, lake, monkeypatch, broken):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("c", 4)], "part string, v int")
+    lake.replace("t", rows, ["part"])
+    touched = [{"part": "a"}, {"part": "b"}, {"part": None}]
+    after = lake.load("t").where("part in ('a', 'b')").selectExpr("'a' as part", "v * 10 as v")
+    with monkeypatch.context() as patch:
+        patch.setattr(type(lake), broken, lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            lake.replace_partitions("t", after, ["part"], touched)
+    assert sorted((r["part"], r["v"]) for r in lake.load("t").collect()) == [("a", 10), ("a", 20), ("c", 4)]
+    assert lake._stored(lake._file("_journal", "t")) is None

@@ -201,5 +201,7 @@ def test_unknown_revision_and_empty_season(spark, lake):
 def test_register_without_a_changed_match(spark, lake):
     run(lake, "r1", FIRST[:1])
     register = spark.createDataFrame([("id-a1", "A1", "A1 (A)", "k1", "people.csv")], "identifier string, name string, unique_name string, key_x string, source_file string")
-    dr.run_lake(lake, dr.Run("r2", buckets=4), documents(spark, *FIRST[:1]), register)
+    also = spark.createDataFrame([("id-a1", "Al", "names.csv")] * 2, "identifier string, name string, source_file string")
+    dr.run_lake(lake, dr.Run("r2", buckets=4), documents(spark, *FIRST[:1]), register, names=also)
+    assert rows(lake, "dim_person_names", "name") == ["Row(name='Al')"]
     assert rows(lake, "unresolved_people", "person_name", "run_id") == ["Row(person_name='B1', run_id='r2')"]
