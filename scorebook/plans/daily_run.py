@@ -395,7 +395,13 @@ def split_tables(lake: Lake, run: Run, focus: DataFrame | list[str], touched: li
         for name in CARDS:
             for segment, rows in segments.split_segments(in_partitions(lake.load(name), touched), focus, run.focus_match).items():
                 lake.replace_partitions(f"{name}_{segment}", rows, ["season"], touched, reads_itself=False)
+        pick = lambda name: in_partitions(lake.load(name), touched)
+        parts = lambda name: [pick(f"{name}_{segment}") for segment in (segments.FOCUS, segments.OTHER)]
+        checks = [quality.check_split(pick(name), parts(name), f"serving_{name}_complete", name) for name in CARDS]
+        results = materialise(quality.run_checks(checks, run.run_id), "quality")
+        lake.append("quality_log", results)
         counts.update(input_count=len(CARDS), output_count=2 * len(CARDS))
+        quality.gate(results, "serving")
 
 
 # ------------------------------------------------------------------ validation
@@ -407,6 +413,8 @@ def validate(lake: Lake, run: Run, layer: str, touched: list[dict[str, object]])
         pick = lambda name: in_partitions(lake.load(name), touched)
         if layer == "silver":
             checks = quality.silver_checks(pick(MATCHES), pick(DELIVERIES), pick(WICKETS))
+            arrived = docs.changed_in_run(lake.load(RAW), [run.run_id])
+            checks.append(quality.check_latest_revision(arrived, lake.load(VERSIONS), "bronze_current_is_newest", RAW))
         else:
             checks = quality.gold_checks(pick(DELIVERIES), pick(BATTING), pick(BOWLING), pick(SUMMARY))
         results = materialise(quality.run_checks(checks, run.run_id), "quality")
