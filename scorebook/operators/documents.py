@@ -48,12 +48,24 @@ def parse_documents(documents: DataFrame) -> DataFrame:
     )
 
 
+def _with_lineage(documents: DataFrame) -> DataFrame:
+    absent = {name: F.lit(None).cast("string") for name in _LINEAGE if name not in documents.columns}
+    return documents.withColumns(absent) if absent else documents
+
+
+def identify(documents: DataFrame) -> DataFrame:
+    """``source_path``, ``match_id``, ``source_file_sha256`` of each document, from its text and without parsing it whole."""
+    raw = F.col("raw_json")
+    named = F.coalesce(F.col("match_id_candidate"), F.col("source_path"))
+    return _with_lineage(documents).select(
+        "source_path", identity.stable_id(raw, named)["match_id"].alias("match_id"), F.coalesce("file_sha256", F.sha2(raw, 256)).alias("source_file_sha256")
+    )
+
+
 def shape_raw(parsed: DataFrame, run_id: str) -> DataFrame:
     """Parsed documents ``(source_path, raw_json[, lineage])`` -> raw records with id, hash, revision and
     run columns, followed by the parsed structs."""
-    for column in _LINEAGE:
-        if column not in parsed.columns:
-            parsed = parsed.withColumn(column, F.lit(None).cast("string"))
+    parsed = _with_lineage(parsed)
     raw = F.col("raw_json")
     named = F.coalesce(F.col("match_id_candidate"), F.col("source_path"))
     return parsed.withColumn("id", identity.stable_id(raw, named)).select(

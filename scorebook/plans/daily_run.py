@@ -7,7 +7,6 @@ through tables, so a lost executor repeats tasks and a failed run can be started
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
@@ -21,7 +20,7 @@ from scorebook import schemas
 from scorebook.operators import documents as docs
 from scorebook.operators import gold, quality, runlog, segments, upsert
 from scorebook.operators.nested import unpivot_prefix
-from scorebook.session import materialise, observed
+from scorebook.session import materialise
 from scorebook.sources import archives as zips
 from scorebook.sources.tables import Lake, empty_table, in_partitions, listed_partitions, outside_partitions
 
@@ -164,47 +163,67 @@ def ingest_archives(lake: Lake, run: Run, folder: str) -> DataFrame:
 ROW = "row_id"
 
 
+def _unknown(lake: Lake, run: Run, documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents that are not the standing version of their match, the ids of all, and those of the others.
+
+    Texts are hashed first: the usual delivery repeats nearly all files, and what is repeated is neither parsed nor
+    moved. The paths to parse are a written table, so the planner sees its size.
+    """
+    hashed = materialise(docs.identify(documents).withColumn(BUCKET, bucket_of(F.col("match_id"), run.buckets)), "hashed")
+    if not lake.exists(RAW):
+        return documents, hashed, hashed.limit(0)
+    buckets = listed_partitions(hashed.select(BUCKET).distinct())
+    keys = ["match_id", "source_file_sha256"]
+    standing = in_partitions(lake.load(RAW), buckets).select(*keys)
+    repeated = materialise(hashed.join(standing, keys, "left_semi"), "repeated")
+    paths = materialise(hashed.join(standing, keys, "left_anti").select(F.col("source_path").alias("_path")).distinct(), "paths")
+    return documents.join(paths, F.col("source_path").eqNullSafe(F.col("_path")), "left_semi"), hashed, repeated
+
+
 def ingest_raw(lake: Lake, run: Run, documents: DataFrame) -> DataFrame:
     """Upsert documents; returns the parsed rows taken over.
 
     Everything that has to meet by key (newest per match, comparison with the standing version, history)
     works on narrow rows without text. The text is written to the history once and never rewritten, and
-    the wide rows are only filtered by the usually few row numbers that are not wanted.
+    the wide rows are only filtered by the usually few row numbers that are not wanted. A partition is rewritten only
+    for a match that is new or revised.
     """
     with _task(lake, run, "ingest_raw") as counts:
-        parsed = docs.shape_raw(docs.parse_documents(documents), run.run_id)
-        bad = F.count_if(F.col("record_status") != "valid")
+        unknown, hashed, repeated = _unknown(lake, run, documents)
+        parsed = docs.shape_raw(docs.parse_documents(unknown), run.run_id)
         numbered = parsed.withColumns({
             BUCKET: bucket_of(F.col("match_id"), run.buckets),
             ROW: F.monotonically_increasing_id(),
         })
-        watched, watch = runlog.observe_load(numbered, f"raw-{uuid.uuid4().hex}", quarantine_count=bad)
-        batch = materialise(watched, "parsed")
-        seen = observed(watch, lambda: batch.agg(F.count("*").alias("output_count"), bad.alias("quarantine_count")))
-
+        batch = materialise(numbered, "parsed")
         narrow = batch.drop("raw_json", *docs.PARSED)
         touched = listed_partitions(narrow.select(BUCKET).distinct())
         latest = in_partitions(lake.load_or_empty(RAW, narrow.drop(ROW).schema), touched)
         versions = in_partitions(lake.load_or_empty(VERSIONS, batch.drop(ROW, *docs.PARSED).schema), touched)
-        added = upsert.new_versions(versions, narrow, "match_id", "source_file_sha256")
+        added = materialise(upsert.new_versions(versions, narrow, "match_id", "source_file_sha256"), "added")
         valid = narrow.where(F.col("record_status") == "valid")
         classified = materialise(
             upsert.classify_batch(latest, valid, "match_id", "source_file_sha256", "source_revision"), "classified"
         )
         # Compared as unknown, stored as 0.
         shown = {"source_revision": F.coalesce("source_revision", F.lit(0))}
-        lake.append(VERSIONS, _only_rows(batch.drop(*docs.PARSED), narrow, added).drop(ROW).withColumns(shown), [BUCKET])
-        lake.replace_partitions(RAW, upsert.apply_merge(latest, classified.drop(ROW).withColumns(shown), "match_id"), [BUCKET], touched)
+        taken = classified.where(F.col("change").isin("new", "revised"))
+        if not lake.exists(VERSIONS) or not added.isEmpty():
+            lake.append(VERSIONS, _only_rows(batch.drop(*docs.PARSED), narrow, added).drop(ROW).withColumns(shown), [BUCKET])
+        changing = listed_partitions(taken.select(BUCKET).distinct())
+        if changing or not lake.exists(RAW):
+            standing = in_partitions(latest, changing)
+            lake.replace_partitions(RAW, upsert.apply_merge(standing, taken.drop(ROW).withColumns(shown), "match_id"), [BUCKET], changing)
         change = upsert.change_counts(classified).first()
+        same = repeated.select("match_id").distinct().join(classified.select("match_id"), "match_id", "left_anti").count()
         counts.update(
-            input_count=seen["output_count"],
-            output_count=change["candidate_count"],
+            input_count=hashed.count(),
+            output_count=change["candidate_count"] + same,
             inserted_count=change["inserted_count"],
             updated_count=change["updated_count"],
-            skipped_count=change["unchanged_count"] + change["older_count"],
-            quarantine_count=seen["quarantine_count"],
+            skipped_count=change["unchanged_count"] + change["older_count"] + same,
+            quarantine_count=narrow.where(F.col("record_status") != "valid").count(),
         )
-    taken = classified.where(F.col("change").isin("new", "revised"))
     return _only_rows(batch.drop("raw_json"), narrow, taken).drop(ROW)
 
 

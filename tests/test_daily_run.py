@@ -205,3 +205,16 @@ def test_register_without_a_changed_match(spark, lake):
     dr.run_lake(lake, dr.Run("r2", buckets=4), documents(spark, *FIRST[:1]), register, names=also)
     assert rows(lake, "dim_person_names", "name") == ["Row(name='Al')"]
     assert rows(lake, "unresolved_people", "person_name", "run_id") == ["Row(person_name='B1', run_id='r2')"]
+
+
+def test_a_repeated_delivery_parses_and_rewrites_nothing(spark, lake, monkeypatch):
+    run(lake, "r1", FIRST)
+    files = {name: sorted(lake.load(name).inputFiles()) for name in (dr.RAW, dr.VERSIONS, dr.DELIVERIES)}
+    seen = []
+    parse = dr.docs.parse_documents
+    monkeypatch.setattr(dr.docs, "parse_documents", lambda df: (seen.append(sorted(r["source_path"] for r in df.collect())), parse(df))[1])
+    run(lake, "r2", FIRST)
+    assert seen[0] == ["file:/in/105.json"]  # not a document, so there is no standing version
+    assert {name: sorted(lake.load(name).inputFiles()) for name in files} == files
+    counts = runlog.latest_task_rows(lake.load("task_log"), "r2").where("task_name = 'ingest_raw'").first()
+    assert (counts["input_count"], counts["inserted_count"], counts["skipped_count"], counts["quarantine_count"]) == (5, 0, 4, 1)
