@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorebook.llm.common import digest, fresh, whole, words
+from scorebook.llm.common import Scratch, digest, fresh, whole, words
 
 WEIGHTS = (3, 1, 2)
 BUDGET_PERCENT = 150
@@ -65,7 +65,8 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     )
     kept = ("doc_id", "source", "src", "size")
     items = counted.groupBy("key").agg(*[F.first(c).alias(c) for c in kept], F.count(F.lit(1)).alias("times"))
-    placed = items.withColumn("load", F.col("size") * F.col("times")).withColumn("sub", F.substring("key", 1, 3))
+    # Written once: texts are read and their words counted a single time, for the counts and for the ranks.
+    placed = Scratch(docs.sparkSession, "mix").keep(items.withColumn("load", F.col("size") * F.col("times")).withColumn("sub", F.substring("key", 1, 3)), "items")
     counts = placed.groupBy("src", "load", "sub").agg(F.count(F.lit(1)).alias("n"))
     by_load = counts.groupBy("src", "load").agg(F.sum("n").alias("n"))
     goal = targets(
