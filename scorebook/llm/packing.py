@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorebook.llm.common import whole, words
+from scorebook.llm.common import Scratch, whole, words
 
 #: Permitted sequence lengths and what a bin costs besides its tokens.
 CAPACITIES = (512, 1024, 2048, 4096)
@@ -132,6 +132,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", length: Column | None = None,
         "doc_id", "piece", (F.col("piece").cast("long") * longest).alias("start"),
         F.least(F.col("tokens") - F.col("piece").cast("long") * longest, F.lit(longest)).cast("int").alias("length"),
     )
+    # Written once: the lengths serve the histogram, the ranks and the rest.
+    pieces = Scratch(docs.sparkSession, "pack").keep(pieces, "pieces")
     full = pieces.filter("length > 0").withColumn("sub", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(1024)).cast("int"))
     counts = full.groupBy("length", "sub").agg(F.count(F.lit(1)).alias("n"))
     # At most one row per token of the longest sequence.
