@@ -144,10 +144,12 @@ def conversations(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     scored = found.join(narrow, "node").groupBy("leaf").agg(F.sum("score").alias("score"), F.first("tree").alias("tree"))
     place = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("score"), "leaf"))
     chosen = scored.withColumn("branch", place).filter(F.col("branch") <= per_tree)
-    turns = found.join(kept.select("node", "role", "text"), "node").join(chosen.select("leaf"), "leaf", "left_semi")
-    listed = turns.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct((-F.col("up")).alias("at"), "role", "text"))).alias("turns"))
-    rendered = listed.select("leaf", _render("turns").alias("r"))
-    return chosen.join(rendered, "leaf").select("tree", "branch", "score", "r.text", F.col("r.starts").alias("loss_starts"), F.col("r.ends").alias("loss_ends"))
+    picked = found.join(chosen, "leaf").select("leaf", "node", "up", "tree", "branch", "score")
+    turns = picked.join(kept.select("node", "role", "text"), "node")
+    parts = F.sort_array(F.collect_list(F.struct((-F.col("up")).alias("at"), "role", "text")))
+    listed = turns.groupBy("leaf").agg(*[F.first(c).alias(c) for c in ("tree", "branch", "score")], parts.alias("turns"))
+    rendered = listed.select("tree", "branch", "score", _render("turns").alias("r"))
+    return rendered.select("tree", "branch", "score", "r.text", F.col("r.starts").alias("loss_starts"), F.col("r.ends").alias("loss_ends"))
 
 
 def chain(rows: DataFrame) -> DataFrame:
