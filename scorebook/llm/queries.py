@@ -154,6 +154,12 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, folder, "documents"))
 
 
+@query()
+def op9_simhash_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """The partners that ``op9_simhash`` counts, as pairs of fingerprints; its rows say which documents have them."""
+    return fingerprints.near_copies(table(spark, folder, "documents"))
+
+
 #: The list history and fetch times of the query: every page is a capture, and gives one dated entry on its host, the
 #: parent domain or a path prefix. 1704067200 is the first second of 2024.
 _CAPTURE = "1704067200 + (page_id % 366) * 86400 + (page_id * 37) % 86400"

@@ -216,6 +216,39 @@ def test_block_tables_find_all_within_the_radius(spark, radius):
         assert got[signed(a), signed(b)] == want
 
 
+def test_default_radius_keeps_near_copies_and_names_them(spark):
+    rng = random.Random(12)
+    rows, planted = [], {}
+    for i in range(1, 61):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([200, 400, 1000]))]
+        own = list(words)
+        for at in rng.sample(range(len(own)), len(own) // 100):
+            own[at] = f"x{rng.randrange(10**6)}"
+        rows += [(100 * i, " ".join(words), "s"), (100 * i + 1, " ".join(own), "s")]
+        planted[100 * i] = 100 * i + 1
+    rows += [(100, rows[0][1], "s"), (7, rows[0][1], "s")]
+    got = fingerprints.fingerprint_edits(docs(spark, rows)).collect()
+    prints = {r.doc_id: r.fingerprint for r in got}
+    pairs = {(r.fingerprint, r.near_fingerprint): r for r in fingerprints.near_copies(docs(spark, rows)).collect()}
+    assert sum((prints[a], prints[b]) in pairs for a, b in planted.items()) >= 0.85 * len(planted)
+    apart = lambda a, b: (int(a, 16) ^ int(b, 16)).bit_count()
+    others = Counter(r.fingerprint for r in got)
+    asked = {prints[i] for i in planted}
+    want = {(a, b): others[b] - (a == b) for a in asked for b in others if apart(a, b) <= fingerprints.RADIUS and others[b] > (a == b)}
+    assert {k: r.n_near for k, r in pairs.items()} == want and all(r.apart == apart(*k) for k, r in pairs.items())
+    for r in got:
+        if r.doc_id in planted:
+            assert r.n_near == sum(n for (a, _), n in want.items() if a == r.fingerprint)
+    assert fingerprints.near_copies(docs(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("radius", [1, 2, 5, 9, 12, 13])
+def test_blocks_leave_no_pair_out(radius):
+    cut = fingerprints.reach(radius)
+    assert [a for a, _, _ in cut] + [128] == [0] + [b for _, b, _ in cut] and sum(t + 1 for _, _, t in cut) == radius + 1
+    assert all(b - a <= 64 for a, b, _ in cut)
+
+
 def test_successors_over_ranges(spark):
     ids = [5, 1, 900, 37, 36, -4, 10**15]
     rows = fingerprints.keyed(docs(spark, [(i, f"t{i}", "s") for i in ids]))
