@@ -206,11 +206,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pivots = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min_by(F.struct("node", "n_shingles"), F.xxhash64("node")).alias("pivot")).filter("n > 1")
     members = scratch.keep(banded.join(pivots, "bucket").select("bucket", "node", "n_shingles", F.col("pivot.node").alias("pivot"), F.col("pivot.n_shingles").alias("pivot_n")), "members")
 
-    # Texts of classes that share a bucket, one row of each class; the only time that texts move as a whole.
-    wanted = members.select("node").distinct().join(classes.select("node", "of.*"), "node").hint("shuffle_hash")
-    texts = scratch.keep(
-        keyed.alias("d").join(wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.mark") == F.col("w.mark"))).select("w.node", "d.text"), "texts"
-    )
+    # Texts of classes that share a bucket, one row of each class; the only time that texts move as a whole. Rows that
+    # repeat the id and text of a class meet in the join by its keys, and one of them stays, without another exchange.
+    key = lambda of: [F.xxhash64(F.lit(i), F.col(f"{of}doc_id").isNull(), f"{of}doc_id", f"{of}mark").alias(f"k{i}") for i in (1, 2)]
+    wanted = members.select("node").distinct().join(classes.select("node", *key("of.")), "node").hint("shuffle_hash")
+    met = keyed.select(*key(""), "text").join(wanted, ["k1", "k2"])
+    texts = scratch.keep(met.groupBy("k1", "k2").agg(F.first("node").alias("node"), F.first("text").alias("text")).select("node", "text"), "texts")
 
     # A pair can only pass if the smaller set has percent of the larger one.
     fits = F.lit(100) * F.least("n_shingles", "pivot_n") >= F.lit(percent) * F.greatest("n_shingles", "pivot_n")

@@ -62,6 +62,21 @@ def test_near_duplicates_equal_brute_force(spark, width, percent):
     assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute(rows, width, percent)
 
 
+def test_repeated_rows_bring_one_text(spark, monkeypatch):
+    rows = family(random.Random(4), 100, 6, 2)
+    rows += [rows[0]] * 40 + [(None, rows[1][1], "s")] * 9
+    counts, check = [], near_dedup._check
+
+    def counted(pairs, texts, width, percent):
+        counts.append((texts.count(), texts.select("node").distinct().count()))
+        return check(pairs, texts, width, percent)
+
+    monkeypatch.setattr(near_dedup, "_check", counted)
+    got = near_dedup.near_duplicates(docs(spark, rows), width=3, percent=70).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute(rows, 3, 70)
+    assert len(counts) == 2 and all(n == nodes > 1 for n, nodes in counts)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dedup.near_duplicates(docs(spark, [])).count() == 0
     only = near_dedup.near_duplicates(docs(spark, [(3, None, "s"), (4, " ", "s")])).collect()
