@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorebook.llm import chat, fingerprints, html_extract, line_dedup, mixing, near_dedup, packing, quality, secrets, url_filter
+from scorebook.llm import chat, fill_middle, fingerprints, html_extract, language, line_dedup, mixing, near_dedup, negatives, packing, quality, secrets, url_filter
 from scorebook.llm.common import table
 from scorebook.plans.registry import Query
 
@@ -188,9 +188,54 @@ def op10_url_lists(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     keys, host = url_filter.entries_for(F.col("url")), url_filter.host_of(F.col("url"))
     turn, act = F.pmod("page_id", F.lit(3)), F.pmod("page_id", F.lit(4))
-    parent = F.array_join(F.slice(F.split(host, r"\."), 2, 1000), ".")
+    labels = F.split(host, r"\.")
+    parent = F.array_join(F.slice(labels, 2, F.size(labels)), ".")
     log = pages.select(
         F.when(turn == 0, host).when(turn == 1, parent).otherwise(F.get(keys, F.lit(0))).alias("entry"),
         F.when(act == 1, "allow").when(act == 2, "remove").otherwise("block").alias("action"), F.expr(_LISTED).alias("at"),
     )
     return url_filter.judge(pages.withColumn("fetched_at", F.expr(_CAPTURE)), log)
+
+
+@query()
+def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages learned from the rows that are not held out. SQL has no compressor; held-out accuracy is tested."""
+    docs = table(spark, folder, "documents")
+    return language.identify(docs, language.learn(docs.filter(~language.held_out("doc_id"))))
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents),
+u AS (SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS lines, [('0x' || substr(h, 8 * i + 1, 8))::BIGINT for i in range(4)] AS h FROM d),
+c AS (SELECT *, len(lines) AS n, least(h[1] % (len(lines) + 1), h[2] % (len(lines) + 1)) AS a, greatest(h[1] % (len(lines) + 1), h[2] % (len(lines) + 1)) AS b FROM u),
+p AS (SELECT *, array_to_string(lines[1:a], '') AS pre, array_to_string(lines[a + 1:b], '') AS mid, array_to_string(lines[b + 1:], '') AS suf,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+    WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+""")
+def op12_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    restored = fill_middle.restore(fill_middle.fill_in_middle(table(spark, folder, "documents")))
+    digest = lambda name: F.sha2(name, 256).alias(f"{name}_sha256")
+    return restored.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored"))
+
+
+@query("""
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding AS v, row_number() OVER () AS r FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c AS (SELECT r, vec_id, label, unnest(v) AS x, unnest(range(len(v))) AS i FROM e),
+q AS (SELECT r, vec_id, label, i, floor(256 * x::DOUBLE)::BIGINT AS x FROM c),
+s AS (SELECT a.vec_id AS anchor_id, a.r AS ar, a.label AS al, b.vec_id, b.r, b.label, sum(a.x * b.x)::BIGINT AS score FROM q a JOIN q b ON a.i = b.i
+  WHERE a.vec_id % 100 = 0 AND a.r <> b.r GROUP BY ALL),
+p AS (SELECT ar, anchor_id, vec_id AS positive_id, r AS pr, score AS positive_score FROM s WHERE label = al
+  QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id NULLS LAST, r) <= 5)
+SELECT p.anchor_id, p.positive_id, (row_number() OVER w)::INTEGER AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.ar = p.ar AND s.label <> s.al AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+WINDOW w AS (PARTITION BY p.ar, p.pr ORDER BY s.score DESC, s.vec_id NULLS LAST, s.r) QUALIFY row_number() OVER w <= 10
+""")
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", shifted))
