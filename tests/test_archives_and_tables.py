@@ -5,7 +5,7 @@ import json
 import zipfile
 
 import pytest
-from conftest import dicts, match
+from helpers import dicts, match
 
 from scorebook.operators import documents as docs
 from scorebook.operators import runlog

@@ -4,7 +4,7 @@ import json
 import zipfile
 
 import pytest
-from conftest import ball, dicts, documents, innings, match
+from helpers import ball, dicts, documents, innings, match
 from test_documents import G1
 
 from scorebook.operators import gold, quality, runlog

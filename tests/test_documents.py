@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import datetime
 
-from conftest import ball, dicts, documents, innings, match, parsed
+from helpers import ball, dicts, documents, innings, match, parsed
 from pyspark.sql import functions as F
 
 from scorebook.operators import documents as docs

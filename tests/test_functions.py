@@ -4,7 +4,7 @@ import hashlib
 import json
 import re
 
-from conftest import dicts, match
+from helpers import dicts, match
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import ball, dicts, innings, match, parsed
+from helpers import ball, dicts, innings, match, parsed
 from pyspark.sql import functions as F
 from test_documents import G1
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime
 
 import pytest
-from conftest import ball, dicts, innings, match, parsed
+from helpers import ball, dicts, innings, match, parsed
 
 from scorebook.operators import documents as docs
 from scorebook.operators import gold, quality, runlog

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime
 import random
 
-from conftest import dicts
+from helpers import dicts
 from pyspark.sql import functions as F
 
 from scorebook.operators import upsert
