@@ -65,6 +65,9 @@ class Run:
     focus_match: str = "exact"
     null_safe: bool = False
     buckets: int = 16
+    #: Earlier snapshots stay readable for so many days; partitions in more folders than ``folders`` are rewritten as one.
+    keep_days: float = 7.0
+    folders: int = 32
 
     @property
     def full(self) -> bool:
@@ -492,9 +495,17 @@ def run_lake(
         for behind in pending:
             if behind != run.run_id:
                 _close(lake, replace(run, run_id=behind), started, COMPLETED)
+        tidy(lake, run)
     return summary
 
 
+def tidy(lake: Lake, run: Run) -> None:
+    """Join what appends have scattered, and let old snapshots go."""
+    for name in lake.tables():
+        lake.compact(name, run.folders)
+        lake.expire(name, run.keep_days * 86_400)
+
+
 def _close(lake: Lake, run: Run, started: datetime, status: str) -> None:
     done = _now()
     _log(

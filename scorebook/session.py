@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -35,12 +36,13 @@ def local_session(cores: int | str = "*", app: str = "scorebook", **conf: str) -
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting falls back to a temporary folder.
+    Only a session whose master is local, so that driver and executors are one process, may go without that setting;
+    it gets a folder of its own. A local cluster has executors apart and may not.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.match(r"local(\[[^-]*\])?$", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     app = spark.conf.get("spark.app.id")
     if app not in _LOCAL_DIRS:

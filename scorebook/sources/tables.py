@@ -1,22 +1,25 @@
-"""Parquet tables in one folder: load, replace, append, replace partitions."""
+"""Parquet tables in one folder, as snapshots: load, replace, append, replace partitions, compact, expire."""
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scorebook.session import materialise, observed
-
 # Characters Spark writes as %XX in partition folder names.
 _ESCAPED = frozenset("\"#%'*/:=?\\{[]^") | {chr(code) for code in range(32)} | {"\x7f"}
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
+#: Outermost folder of a change; Spark reads it as one more partition column, which is left out again.
+CHANGE = "lake_change"
+
 
 def partition_folder(values: Mapping[str, object]) -> str:
     """Relative folder of one partition."""
@@ -44,46 +47,103 @@ def empty_table(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
     return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in shape])
 
 
+@dataclass(frozen=True)
+class Snapshot:
+    """One state of a table: its shape, and the folders below the table's own that hold its rows.
+
+    A folder is one partition as one change wrote it, and is never written again.
+    """
+
+    number: int
+    schema: T.StructType
+    by: tuple[str, ...]
+    parts: tuple[str, ...]
+    made_at: float
+
+    def to_json(self) -> str:
+        return json.dumps({"schema": self.schema.jsonValue(), "by": self.by, "parts": self.parts, "made_at": self.made_at})
+
+    @staticmethod
+    def from_json(number: int, text: str) -> Snapshot:
+        known = json.loads(text)
+        return Snapshot(number, T.StructType.fromJson(known["schema"]), tuple(known["by"]), tuple(known["parts"]), known["made_at"])
+
+
+def _partition(part: str) -> str:
+    """The partition a folder belongs to: its path without the change that wrote it."""
+    return part.partition("/")[2]
+
+
 @dataclass
 class Lake:
-    """Named parquet tables below ``root``; ``prefix`` separates variants of the same table set."""
+    """Named parquet tables below ``root``; ``prefix`` separates variants of the same table set.
+
+    A change writes folders of its own and then one small file, the next snapshot, which lists the folders of the whole
+    table. That file appears by a rename, so readers see the table before or after a change and never in between, and
+    a change that breaks off leaves the table as it was. Earlier snapshots stay readable until ``expire`` removes them.
+    """
 
     spark: SparkSession
     root: str
     prefix: str = ""
 
+    # ------------------------------------------------------------ reading
+
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{self.prefix}{name}"
 
     def exists(self, name: str) -> bool:
-        return self._stored_schema(name) is not None
+        return bool(self._numbers(name))
 
-    def load(self, name: str, schema: str | T.StructType | None = None) -> DataFrame:
-        """Read a table with its declared or stored schema.
+    def snapshot(self, name: str, number: int | None = None) -> Snapshot | None:
+        """The newest snapshot, or the one with this number."""
+        found = self._numbers(name)
+        if not found or (number is not None and number not in found):
+            return None
+        wanted = found[-1] if number is None else number
+        return Snapshot.from_json(wanted, self._read(self._file(name, wanted)))
+
+    def snapshots(self, name: str) -> list[int]:
+        """Numbers of the snapshots that can be read, oldest first."""
+        return self._numbers(name)
+
+    def load(self, name: str, schema: str | T.StructType | None = None, number: int | None = None) -> DataFrame:
+        """Read a table, or an earlier snapshot of it, with its declared or stored schema.
 
         No footer is read to infer anything, columns absent in older files come back as NULL, an empty
-        table is readable, and text partition values such as '2024' stay text.
+        table is readable, and text partition values such as '2024' stay text. What was loaded stays as it was when
+        the table changes.
         """
-        self._recover(name)
-        known = schema if schema is not None else self._stored_schema(name)
-        if known is None:
-            raise ValueError(f"no table {name} in {self.root}")
-        return self.spark.read.schema(known).parquet(self.path(name))
+        found = self.snapshot(name, number)
+        if found is None:
+            raise ValueError(f"no table {name} in {self.root}" if number is None else f"no snapshot {number} of {name}")
+        return self._rows(name, found, found.parts, schema)
 
     def load_or_empty(self, name: str, schema: str | T.StructType) -> DataFrame:
         if self.exists(name):
             return self.load(name, schema)
         return empty_table(self.spark, schema)
 
+    def _rows(self, name: str, at: Snapshot, parts: Sequence[str], schema: str | T.StructType | None = None) -> DataFrame:
+        shape = at.schema if schema is None else T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        if not parts:
+            return empty_table(self.spark, shape)
+        base = self.path(name)
+        rows = self.spark.read.schema(shape).option("basePath", base).parquet(*[f"{base}/{part}" for part in parts])
+        return rows.select(*[F.col(f"`{field}`") for field in shape.fieldNames()])
+
+    # ------------------------------------------------------------ changing
+
     def replace(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """Write the whole table anew."""
-        self._writer(df, partition_by).mode("overwrite").parquet(self.path(name))
-        self._store_schema(name, df.schema)
+        before = self.snapshot(name)
+        self._switch(name, before, df.schema, partition_by, self._write(name, df, partition_by))
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """Add rows; new columns become part of the table."""
-        self._widen(name, df.schema)
-        self._writer(df, partition_by).mode("append").parquet(self.path(name))
+        before = self.snapshot(name)
+        parts = self._write(name, df, partition_by)
+        self._switch(name, before, _widened(before, df.schema), partition_by, [*(before.parts if before else ()), *parts])
 
     def replace_partitions(
         self,
@@ -93,108 +153,115 @@ class Lake:
         touched: Sequence[Mapping[str, object]],
         reads_itself: bool = True,
     ) -> None:
-        """Replace exactly the ``touched`` partitions by the rows of ``df``.
+        """Replace exactly the ``touched`` partitions by the rows of ``df``, in one step.
 
-        Where ``df`` reads this table, its rows are complete in the shared folder before the first old
-        file goes away, and a journal says so: a change that breaks off is finished from there before the table is
-        read or changed again. A touched partition for which no row is left is emptied; overwriting by partition
-        alone would keep its old rows. The partitions written are noted by the writing job itself.
+        ``df`` may read this table. A touched partition for which no row is left is empty afterwards. Rows outside the
+        touched partitions are an error, and nothing changes; with ``reads_itself=False`` they are left out.
         """
-        self._recover(name)
-        self._widen(name, df.schema)
-        rows = df if reads_itself else in_partitions(df, touched)
-        partitions = F.collect_set(F.struct(*[F.col(c) for c in partition_by])).alias("partitions")
-        seen = Observation(f"{name}-{uuid.uuid4().hex}")
-        watched = rows.observe(seen, partitions)
-        if reads_itself:
-            rows = watched = materialise(watched, name)
-            found = observed(seen, lambda: rows.agg(partitions))
-            self._refuse_others(name, found["partitions"], touched)
-            journal = {"rows": rows.written_to, "schema": df.schema.jsonValue(), "by": list(partition_by), "touched": [dict(v) for v in touched]}
-            self._store(self._file("_journal", name), json.dumps(journal))
-        self._overwrite(name, watched, partition_by)
-        if not reads_itself:
-            found = observed(seen, lambda: rows.agg(partitions))
-        self._empty(name, df.schema, partition_by, touched, {tuple(row) for row in found["partitions"]})
-        if reads_itself:
-            self._forget(self._file("_journal", name))
-
-    def _overwrite(self, name: str, rows: DataFrame, partition_by: Sequence[str]) -> None:
-        self._writer(rows, partition_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
-
-    def _empty(self, name: str, schema: T.StructType, partition_by: Sequence[str], touched: Sequence[Mapping[str, object]], left: set[tuple]) -> None:
-        """Empty the touched partitions that have no row left."""
-        nothing = T.StructType([f for f in schema.fields if f.name not in partition_by])
-        for values in touched:
-            if tuple(values[c] for c in partition_by) not in left:
-                target = f"{self.path(name)}/{partition_folder(values)}"
-                empty_table(self.spark, nothing).write.mode("overwrite").parquet(target)
-
-    def _recover(self, name: str) -> None:
-        """Finish a change of partitions that broke off after its rows had been written."""
-        journal = self._stored(self._file("_journal", name))
-        if journal is None:
-            return
-        noted = json.loads(journal)
-        schema = T.StructType.fromJson(noted["schema"])
-        rows = self.spark.read.schema(schema).parquet(noted["rows"])
-        left = {tuple(row) for row in rows.select(*noted["by"]).distinct().collect()}
-        self._overwrite(name, rows, noted["by"])
-        self._empty(name, schema, noted["by"], noted["touched"], left)
-        self._forget(self._file("_journal", name))
-
-    def _refuse_others(self, name: str, found: Sequence, touched: Sequence[Mapping[str, object]]) -> None:
-        named = {tuple(values.values()) for values in touched}
-        others = {tuple(row) for row in found} - named
+        before = self.snapshot(name)
+        parts = self._write(name, df if reads_itself else in_partitions(df, touched), partition_by)
+        named = {partition_folder({c: values[c] for c in partition_by}) for values in touched}
+        others = sorted({_partition(part) for part in parts} - named)
         if others:
-            raise ValueError(f"rows outside the touched partitions of {name}: {sorted(map(str, others))[:5]}")
+            raise ValueError(f"rows outside the touched partitions of {name}: {others[:5]}")
+        kept = [part for part in (before.parts if before else ()) if _partition(part) not in named]
+        self._switch(name, before, _widened(before, df.schema), partition_by, [*kept, *parts])
 
-    def _file(self, folder: str, name: str):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/{folder}/{self.prefix}{name}.json")
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+    def compact(self, name: str, most: int = 32) -> int:
+        """Rewrite partitions that lie in more than ``most`` folders as one each; returns how many there were.
 
-    def _stored(self, file) -> str | None:
-        files, path = file
-        if not files.exists(path):
-            return None
-        stream = files.open(path)
+        Appends leave a folder per partition and change; readers see the same rows before and after.
+        """
+        at = self.snapshot(name)
+        held = Counter(map(_partition, at.parts)) if at else {}
+        crowded = {partition for partition, n in held.items() if n > most}
+        if crowded:
+            parts = self._write(name, self._rows(name, at, [p for p in at.parts if _partition(p) in crowded]), at.by)
+            self._switch(name, at, at.schema, at.by, [*[p for p in at.parts if _partition(p) not in crowded], *parts])
+        return len(crowded)
+
+    def expire(self, name: str, older_than: float) -> int:
+        """Remove snapshots that were replaced more than ``older_than`` seconds ago, and folders that no snapshot lists.
+
+        A folder of a change under way or broken off is in no snapshot; it goes once it is as old. Returns the
+        number of snapshots removed.
+        """
+        numbers = self._numbers(name)
+        if not numbers:
+            return 0
+        bar = time.time() - older_than
+        known = {n: self.snapshot(name, n) for n in numbers}
+        # A snapshot was replaced when the next one was made.
+        gone = [n for n, after in zip(numbers, numbers[1:], strict=False) if known[after].made_at < bar]
+        listed = {part.split("/")[0] for n in numbers if n not in gone for part in known[n].parts}
+        files = self._files()
+        for n in gone:
+            files.delete(self._file(name, n), False)
+        base = self._path(self.path(name))
+        for status in files.listStatus(base) if files.exists(base) else ():
+            if status.getPath().getName() not in listed and status.getModificationTime() / 1000 < bar:
+                files.delete(status.getPath(), True)
+        return len(gone)
+
+    def tables(self) -> list[str]:
+        """Names of the tables of this lake's prefix."""
+        folder, files = self._path(f"{self.root.rstrip('/')}/_tables"), self._files()
+        names = [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
+        return sorted(n.removeprefix(self.prefix) for n in names if n.startswith(self.prefix))
+
+    def _write(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> list[str]:
+        """Write rows to a new folder of the table; returns the folder of each partition in it."""
+        change = f"{CHANGE}={uuid.uuid4().hex}"
+        self._writer(df, partition_by).mode("errorifexists").parquet(f"{self.path(name)}/{change}")
+        if not partition_by:
+            return [change]
+        files, found = self._files(), [change]
+        for _ in partition_by:
+            below = [(part, files.listStatus(self._path(self.path(name) + "/" + part))) for part in found]
+            found = [f"{part}/{s.getPath().getName()}" for part, listed in below for s in listed if s.isDirectory()]
+        return sorted(found)
+
+    def _switch(self, name: str, before: Snapshot | None, schema: T.StructType, by: Sequence[str], parts: Sequence[str]) -> None:
+        """Make the next snapshot; fails if another change has made it meanwhile."""
+        if before is not None and before.parts and tuple(by) != before.by and any(p in before.parts for p in parts):
+            raise ValueError(f"{name} is partitioned by {before.by}, not by {tuple(by)}")
+        after = Snapshot((before.number if before else 0) + 1, schema, tuple(by), tuple(parts), time.time())
+        files, target = self._files(), self._file(name, after.number)
+        fresh = self._path(f"{self.root.rstrip('/')}/_written/{uuid.uuid4().hex}")
+        stream = files.create(fresh, False)
         try:
-            return bytes(stream.readAllBytes()).decode()
+            stream.write(bytearray(after.to_json().encode()))
         finally:
             stream.close()
+        files.mkdirs(target.getParent())
+        if files.exists(target) or not files.rename(fresh, target):
+            files.delete(fresh, False)
+            raise OSError(f"{name} was changed by another run")
 
-    def _store(self, file, text: str) -> None:
-        """Write a small file under another name first, so that it is never seen half."""
-        files, path = file
-        fresh = path.suffix(f".{uuid.uuid4().hex}")
-        stream = files.create(fresh, True)
-        try:
-            stream.write(bytearray(text.encode()))
-        finally:
-            stream.close()
-        if files.exists(path):
-            files.delete(path, False)
-        if not files.rename(fresh, path):
-            raise OSError(f"cannot write {path}")
+    # ------------------------------------------------------------ files
+
+    def _path(self, path: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
-    def _forget(self, file) -> None:
-        files, path = file
-        files.delete(path, False)
+    def _files(self):
+        return self._path(self.root).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _stored_schema(self, name: str) -> T.StructType | None:
-        text = self._stored(self._file("_schemas", name))
-        return None if text is None else T.StructType.fromJson(json.loads(text))
+    def _file(self, name: str, number: int):
+        return self._path(f"{self.root.rstrip('/')}/_tables/{self.prefix}{name}/{number:012d}.json")
 
-    def _store_schema(self, name: str, schema: T.StructType) -> None:
-        self._store(self._file("_schemas", name), schema.json())
+    def _numbers(self, name: str) -> list[int]:
+        files, folder = self._files(), self._file(name, 0).getParent()
+        if not files.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(folder)]
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith("."))
 
-    def _widen(self, name: str, schema: T.StructType) -> None:
-        known = self._stored_schema(name)
-        have = {field.name.lower() for field in known.fields} if known else set()
-        fresh = [field for field in schema.fields if field.name.lower() not in have]
-        if fresh:
-            self._store_schema(name, T.StructType((known.fields if known else []) + fresh))
+    def _read(self, path) -> str:
+        stream = self._files().open(path)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
 
     def _writer(self, df: DataFrame, partition_by: Sequence[str]):
         """Rebalanced by partition: no task-by-partition file explosion, and a large one is split."""
@@ -203,6 +270,13 @@ class Lake:
         return df.hint("rebalance", *[F.col(c) for c in partition_by]).write.partitionBy(*partition_by)
 
 
+def _widened(before: Snapshot | None, schema: T.StructType) -> T.StructType:
+    """The table's columns, followed by those it does not have yet; names are compared without case."""
+    known = list(before.schema.fields) if before else []
+    have = {field.name.lower() for field in known}
+    return T.StructType(known + [field for field in schema.fields if field.name.lower() not in have])
+
+
 def listed_partitions(partitions: DataFrame) -> list[dict[str, object]]:
     """Partition values for the driver, which lists the folders of a table to plan its scan anyway."""
     return [row.asDict() for row in partitions.collect()]

@@ -5,6 +5,7 @@ import json
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import dicts, match
 
 from scorebook.operators import documents as docs
@@ -116,15 +117,81 @@ def test_prefix_keeps_table_sets_apart(spark, lake):
     assert smoke.path("t").endswith("/smoke_t") and smoke.exists("t") and not lake.exists("t")
 
 
-@pytest.mark.parametrize("broken", ["_overwrite", "_empty", "_forget"])
-def test_a_broken_change_is_finished_from_its_journal(spark, lake, monkeypatch, broken):
+@pytest.mark.parametrize("change", ["replace", "append", "replace_partitions", "compact"])
+@pytest.mark.parametrize("broken", ["_writer", "_switch"])
+def test_a_broken_change_leaves_the_table(spark, lake, monkeypatch, change, broken):
     rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("c", 4)], "part string, v int")
     lake.replace("t", rows, ["part"])
+    lake.append("t", rows.where("v = 1"), ["part"])
+    read = lambda: sorted((r["part"] or "", r["v"]) for r in lake.load("t").collect())
+    before, numbers = read(), lake.snapshots("t")
     touched = [{"part": "a"}, {"part": "b"}, {"part": None}]
     after = lake.load("t").where("part in ('a', 'b')").selectExpr("'a' as part", "v * 10 as v")
+    calls = {
+        "replace": lambda: lake.replace("t", after, ["part"]),
+        "append": lambda: lake.append("t", after.withColumn("more", F.lit(1)), ["part"]),
+        "replace_partitions": lambda: lake.replace_partitions("t", after, ["part"], touched),
+        "compact": lambda: lake.compact("t", 1),
+    }
     with monkeypatch.context() as patch:
         patch.setattr(type(lake), broken, lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError, match="lost"):
-            lake.replace_partitions("t", after, ["part"], touched)
-    assert sorted((r["part"], r["v"]) for r in lake.load("t").collect()) == [("a", 10), ("a", 20), ("c", 4)]
-    assert lake._stored(lake._file("_journal", "t")) is None
+            calls[change]()
+    assert read() == before and lake.snapshots("t") == numbers and lake.load("t").columns == ["part", "v"]
+    calls[change]()
+    wanted = {
+        "replace": [("a", 10), ("a", 10), ("a", 20)], "append": sorted([*before, ("a", 10), ("a", 10), ("a", 20)]),
+        "replace_partitions": [("a", 10), ("a", 10), ("a", 20), ("c", 4)], "compact": before,
+    }
+    assert read() == wanted[change]
+    lake.expire("t", -1)
+    assert read() == wanted[change] and len(lake.snapshots("t")) == 1
+
+
+def test_earlier_snapshots_stay_readable_until_they_expire(spark, lake, tmp_path):
+    values = lambda **at: sorted(r["v"] for r in lake.load("t", **at).collect())
+    lake.replace("t", spark.createDataFrame([("a", 1), ("b", 2)], "part string, v int"), ["part"])
+    held = lake.load("t")
+    lake.replace_partitions("t", spark.createDataFrame([("b", 3)], "part string, v int"), ["part"], [{"part": "b"}])
+    lake.append("t", spark.createDataFrame([("b", 4, "x")], "part string, v int, note string"), ["part"])
+    lake.replace_partitions("t", lake.load("t").where("false"), ["part"], [{"part": "a"}])
+    assert lake.snapshots("t") == [1, 2, 3, 4] and sorted(r["v"] for r in held.collect()) == [1, 2]
+    assert [values(number=n) for n in lake.snapshots("t")] == [[1, 2], [1, 3], [1, 3, 4], [3, 4]]
+    assert lake.load("t", number=2).columns == ["part", "v"] and lake.load("t").columns == ["part", "v", "note"]
+    assert lake.expire("t", 3600) == 0 and len(lake.snapshots("t")) == 4
+    assert lake.expire("t", -1) == 3 and lake.snapshots("t") == [4] and values() == [3, 4]
+    with pytest.raises(ValueError, match="no snapshot 1"):
+        lake.load("t", number=1)
+    # Only the folders that the last snapshot lists are left.
+    assert len([f for f in (tmp_path / "lake" / "t").iterdir() if f.is_dir()]) == 2
+    assert lake.tables() == ["t"]
+
+
+def test_two_changes_of_one_snapshot_do_not_both_win(spark, lake, monkeypatch):
+    from scorebook.sources.tables import Lake
+
+    lake.replace("t", spark.range(1))
+    write, other = Lake._write, Lake(spark, lake.root)
+
+    def late(self, name, df, by):
+        parts = write(self, name, df, by)
+        if self is lake:
+            other.append("t", spark.range(1, 2))
+        return parts
+
+    monkeypatch.setattr(Lake, "_write", late)
+    with pytest.raises(OSError, match="another run"):
+        lake.append("t", spark.range(5, 6))
+    assert sorted(r["id"] for r in other.load("t").collect()) == [0, 1]
+
+
+def test_compaction_after_appends(spark, lake):
+    for i in range(5):
+        lake.append("log", spark.range(i, i + 1))
+        lake.append("t", spark.createDataFrame([("a", i), *([("b/c", i)] if i < 2 else [])], "part string, v int"), ["part"])
+    assert len(lake.snapshot("log").parts) == 5 and len(lake.snapshot("t").parts) == 7
+    assert lake.compact("log", 5) == 0 and lake.compact("log", 4) == 1 and lake.compact("t", 2) == 1
+    assert len(lake.snapshot("log").parts) == 1 and len(lake.snapshot("t").parts) == 3
+    assert sorted(r["id"] for r in lake.load("log").collect()) == list(range(5))
+    assert sorted((r["part"], r["v"]) for r in lake.load("t").collect()) == [*[("a", i) for i in range(5)], ("b/c", 0), ("b/c", 1)]
+    assert lake.compact("absent") == 0
