@@ -168,7 +168,10 @@ def build_matches(parsed: DataFrame) -> DataFrame:
 
 
 def build_deliveries(parsed: DataFrame) -> DataFrame:
-    """One row per ball. Matches, innings and overs without balls stay visible as one row of NULLs."""
+    """One row per ball. Matches, innings and overs without balls stay visible as one row of NULLs.
+
+    Numbers go by position; a text that continues a match carries those it goes on from.
+    """
     league = F.col("info.event.name")
     head = parsed.select(
         "match_id",
@@ -180,8 +183,8 @@ def build_deliveries(parsed: DataFrame) -> DataFrame:
     balls = explode_path(
         head,
         [
-            Level("innings", "inning", {"batting_team": "team"}),
-            Level("inning.overs", "over", {"over_number": "over"}),
+            Level("innings", "inning", {"batting_team": "team", "carried_index": "index"}),
+            Level("inning.overs", "over", {"over_number": "over", "carried_first": "first"}),
             Level("over.deliveries", "delivery"),
         ],
     )
@@ -189,13 +192,17 @@ def build_deliveries(parsed: DataFrame) -> DataFrame:
     scores = {"batter_runs": "batter", "extras_runs": "extras", "total_runs": "total"}
     return (
         balls.withColumnRenamed("inning_index", "innings_index")
+        .withColumns({
+            "innings_index": F.coalesce("carried_index", "innings_index"),
+            "delivery_index": F.col("delivery_index") + F.coalesce("carried_first", F.lit(0)),
+        })
         .withColumns({
             "innings_number": F.col("innings_index") + 1,
             "delivery_sequence": F.col("delivery_index") + 1,
             **{name: F.col(f"delivery.{name}") for name in same_name},
             **{name: F.col(f"delivery.runs.{source}") for name, source in scores.items()},
         })
-        .drop("over_index", "delivery")
+        .drop("over_index", "delivery", "carried_index", "carried_first")
     )
 
 

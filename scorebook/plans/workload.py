@@ -13,16 +13,20 @@ import zipfile
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scorebook.operators import documents as docs
+from scorebook.operators.numbering import positions
 from scorebook.plans.daily_run import DELIVERIES, MATCHES, RAW, WICKETS
 from scorebook.session import shared_dir
 from scorebook.sources.tables import Lake
 
 RUN_ID = "load-1"
 SECOND = "second_delivery"
+#: Balls in one text of a match, and the table of the texts that continue one.
+PART = 1024
+LATER = "bronze_later_parts"
 
 # Market segment -> competition; a segment that is not listed has no competition.
 COMPETITIONS = {
@@ -114,37 +118,47 @@ def _ball() -> Column:
 
 def balls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as balls, with the innings and over they belong to."""
-    order = F.struct("l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag", _ball().alias("ball"))
+    entry = F.struct("l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag", _ball().alias("ball"))
     return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("key"), F.col("l_linestatus").alias("side"), (F.col("l_linenumber") - 1).alias("over"), order.alias("entry")
+        F.col("l_orderkey").alias("key"), F.col("l_linestatus").alias("side"), (F.col("l_linenumber") - 1).alias("over"), entry.alias("entry")
     )
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(source_path, raw_json, key)``: one text per match, also for orders without items.
-
-    A match is one file and so one row, whatever its size; nothing else is gathered by key.
-    """
-    collected = balls(spark, sf_dir).groupBy("key").agg(
-        F.sort_array(F.collect_list(F.struct("side", "over", "entry"))).alias("entries")
-    )
-    joined = matches_wide(spark, sf_dir).join(collected, "key", "left")
-    entries = F.coalesce("entries", F.array())
+def numbered_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balls with their position in the match (``at``) and in their over (``nth``)."""
+    order = ["key", "side", "over", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag"]
+    rows = balls(spark, sf_dir).select("key", "side", "over", "entry.*")
+    return positions(rows, {"at": ["key"], "nth": ["key", "side", "over"]}, order)
 
-    def over(side: Column, number: Column) -> Column:
-        chosen = F.filter(entries, lambda e: (e["side"] == side) & (e["over"] == number))
-        return F.struct(number.alias("over"), F.transform(chosen, lambda e: e["entry"]["ball"]).alias("deliveries"))
 
-    def innings(side: Column) -> Column:
-        numbers = F.array_distinct(F.transform(F.filter(entries, lambda e: e["side"] == side), lambda e: e["over"]))
-        team = F.concat("n_name", F.when(side == "F", " A").otherwise(" B"))
-        return F.struct(team.alias("team"), F.transform(numbers, lambda number: over(side, number)).alias("overs"))
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(source_path, raw_json, key, part)``: the texts of each match, also of orders without items.
 
-    sides = F.array_distinct(F.transform(entries, lambda e: e["side"]))
-    shaped = F.transform(sides, innings)
-    name = F.concat(F.lit("file:/landing/"), "key", F.lit(".json"))
+    Every match is cut after each ``PART`` balls, so no text grows with a match; nearly all have one part. Part 0 is the
+    match's document. The others continue it: they say which innings of the match theirs are, and which ball of its over
+    the first of a cut over is.
+    """
+    numbered = numbered_balls(spark, sf_dir).withColumn("part", F.floor(F.col("at") / PART))
+    # Groups below are those of one part at most.
+    dealt = numbered.select("key", "part", "side", "over", "nth", "ball").repartition("key", "part")
+    overs = dealt.groupBy("key", "part", "side", "over").agg(F.sort_array(F.collect_list(F.struct("nth", "ball"))).alias("held"))
+    first = F.get("held", F.lit(0))["nth"].cast("int")
+    over = F.struct("over", F.transform("held", lambda b: b["ball"]).alias("deliveries"), F.when(first > 0, first).alias("first"))
+    innings = overs.groupBy("key", "part", "side").agg(F.sort_array(F.collect_list(over)).alias("overs"))
+    sides = numbered.select("key", "side").distinct()
+    ranked = sides.withColumn("index", F.row_number().over(Window.partitionBy("key").orderBy("side")) - 1)
+    placed = innings.join(ranked, ["key", "side"]).withColumn("index", F.when(F.col("part") > 0, F.col("index")))
+    parts = placed.groupBy("key", "part").agg(F.sort_array(F.collect_list(F.struct("side", "overs", "index"))).alias("sides"))
+    joined = matches_wide(spark, sf_dir).join(parts, "key", "left").withColumn("part", F.coalesce("part", F.lit(0)))
+
+    def shape(one: Column) -> Column:
+        team = F.concat("n_name", F.when(one["side"] == "F", " A").otherwise(" B"))
+        return F.struct(team.alias("team"), one["overs"].alias("overs"), one["index"].alias("index"))
+
+    shaped = F.transform(F.coalesce("sides", F.array()), shape)
+    name = F.concat(F.lit("file:/landing/"), "key", F.when(F.col("part") > 0, F.concat(F.lit("-"), "part")).otherwise(""), F.lit(".json"))
     text = F.to_json(F.struct("meta", "info", shaped.alias("innings")))
-    return joined.select(name.alias("source_path"), text.alias("raw_json"), "key")
+    return joined.select(name.alias("source_path"), text.alias("raw_json"), "key", "part")
 
 
 def revised_documents(raw: DataFrame) -> DataFrame:
@@ -173,9 +187,13 @@ def demo_lake(spark: SparkSession, sf_dir: str) -> Lake:
 
 
 def build_raw(lake: Lake, sf_dir: str) -> None:
-    lake.replace("documents", documents(lake.spark, sf_dir))
-    texts = lake.load("documents").select("source_path", "raw_json")
-    lake.replace(RAW, docs.shape_raw(docs.parse_documents(texts), RUN_ID))
+    lake.replace("document_parts", documents(lake.spark, sf_dir))
+    parts = lake.load("document_parts")
+    lake.replace("documents", parts.where("part = 0").drop("part"))
+    # A later part belongs to the match that its name begins with.
+    later = parts.where("part > 0").select("source_path", "raw_json", F.col("key").cast("string").alias("match_id_candidate"))
+    for name, texts in ((RAW, lake.load("documents").select("source_path", "raw_json")), (LATER, later)):
+        lake.replace(name, docs.shape_raw(docs.parse_documents(texts), RUN_ID))
 
 
 def second_delivery(lake: Lake) -> DataFrame:
@@ -188,7 +206,7 @@ def second_delivery(lake: Lake) -> DataFrame:
 def build_silver(lake: Lake) -> None:
     parsed = lake.load(RAW)
     lake.replace(MATCHES, docs.build_matches(parsed), ["season"])
-    lake.replace(DELIVERIES, docs.build_deliveries(parsed), ["season"])
+    lake.replace(DELIVERIES, docs.build_deliveries(parsed.unionByName(lake.load(LATER))), ["season"])
     lake.replace(WICKETS, docs.build_wickets(lake.load(DELIVERIES)), ["season"])
 
 

@@ -25,8 +25,9 @@ DELIVERY = _struct(
     extras=EXTRAS,
     wickets=T.ArrayType(WICKET),
 )
-OVER = _struct(over=_INT, deliveries=T.ArrayType(DELIVERY))
-INNINGS = _struct(team=_TEXT, overs=T.ArrayType(OVER))
+# ``first`` and ``index`` stand in texts that continue a match: the place of the first ball in its over, and of the innings.
+OVER = _struct(over=_INT, deliveries=T.ArrayType(DELIVERY), first=_INT)
+INNINGS = _struct(team=_TEXT, overs=T.ArrayType(OVER), index=_INT)
 META = _struct(data_version=_TEXT, created=_TEXT, revision=_INT)
 INFO = _struct(
     balls_per_over=_INT,

@@ -1,14 +1,18 @@
 from __future__ import annotations
 
 import datetime
+import json
+import random
+from collections import Counter
 
 import pytest
 from helpers import dicts
 from pyspark.sql import functions as F
 
-from scorebook.operators import documents as docs
 from scorebook.operators import gold
+from scorebook.operators.numbering import positions
 from scorebook.plans import workload
+from scorebook.sources.tables import Lake
 
 
 @pytest.fixture
@@ -24,7 +28,7 @@ def folder(spark, tmp_path):
             "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
         ),
         "lineitem": (
-            [(1, 7, 3, 1, 4.0, 1.0, 0.1, 0.0, "N", "F", day)] * 60 + [(2, n, n, 1 + n % 3, 1.0, 1.0, 0.0, 0.0, "A", "O", day) for n in range(5)],
+            [(1, 7, 3, 1, 4.0, 1.0, 0.1, 0.0, "N", "F", day)] * 60 + [(1, 9, 2, 1 + n % 2, 2.0, 1.0, 0.0, 0.0, "N", "O", day) for n in range(20)] + [(2, n, n, 1 + n % 3, 1.0, 1.0, 0.0, 0.0, "A", "O", day) for n in range(5)],
             "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
             "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
         ),
@@ -34,13 +38,56 @@ def folder(spark, tmp_path):
     return str(tmp_path)
 
 
-def test_a_large_order_stays_one_document(spark, folder):
-    made = workload.documents(spark, folder).persist()
-    assert {r["key"]: r["n"] for r in dicts(made.groupBy("key").agg(F.count("*").alias("n")))} == {1: 1, 2: 1, 3: 1}
-    rows = docs.shape_raw(docs.parse_documents(made.select("source_path", "raw_json")), "r")
-    balls = docs.build_deliveries(rows)
+def silver(spark, folder, name):
+    """Silver tables of the folder's documents, as rows without what tells of the texts themselves."""
+    lake = Lake(spark, f"file:{folder}/{name}")
+    workload.build_raw(lake, folder)
+    workload.build_silver(lake)
+    told = {"source_file", "ingestion_timestamp", "match_record_hash"}
+    return lake, {
+        table: Counter(json.dumps({k: v for k, v in row.items() if k not in told}, default=str, sort_keys=True) for row in dicts(lake.load(table)))
+        for table in (workload.MATCHES, workload.DELIVERIES, workload.WICKETS)
+    }
+
+
+@pytest.mark.parametrize("part", [1, 7, 24])
+def test_every_cut_gives_the_same_silver_tables(spark, folder, monkeypatch, part):
+    """One order holds most items: cut into parts of any size, its innings, overs and balls keep their numbers."""
+    _, whole = silver(spark, folder, "whole")
+    monkeypatch.setattr(workload, "PART", part)
+    lake, cut = silver(spark, folder, "cut")
+    assert cut == whole
+    sizes = {(r["key"], r["part"]) for r in dicts(lake.load("document_parts"))}
+    assert {p for k, p in sizes if k == 1} == set(range(-(-80 // part))) and (3, 0) in sizes
+    balls = lake.load(workload.DELIVERIES)
     per_match = gold.real_balls(balls).groupBy("match_id").agg(F.count("*").alias("n"), F.max("delivery_sequence").alias("last"))
-    assert {r["match_id"]: (r["n"], r["last"]) for r in dicts(per_match)} == {"1": (60, 60), "2": (5, 2)}
-    summary = {r["match_id"]: (r["team_runs"], r["wickets_lost"]) for r in dicts(gold.team_match_summary(balls))}
-    assert summary["1"] == (240, 60)
-    assert docs.build_matches(rows).count() == 3
+    assert {r["match_id"]: (r["n"], r["last"]) for r in dicts(per_match)} == {"1": (80, 60), "2": (5, 2)}
+    summary = {(r["match_id"], r["team"]): (r["team_runs"], r["wickets_lost"]) for r in dicts(gold.team_match_summary(balls).withColumnRenamed("batting_team", "team"))}
+    assert summary["1", "N A"] == (240, 60)
+    assert lake.load(workload.MATCHES).count() == 3 and lake.load(workload.RAW).count() == 3
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 8])
+def test_positions_equal_a_plain_count(spark, ranges):
+    rng = random.Random(ranges)
+    rows = [(rng.choice([None, 1, 1, 1, 1, 2, 3]), rng.choice(["a", "b", None]), rng.randrange(3), i) for i in range(400)] + [(1, "b", 1, 1000 + i) for i in range(300)]
+    before = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        made = positions(spark.createDataFrame(rows, "g int, h string, v int, n int"), {"in_g": ["g"], "in_gh": ["g", "h"], "all": []}, ["g", "h", "v"])
+        got = dicts(made)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(got) == len(rows)
+    rank = lambda x: (x is not None, x if x is not None else 0)
+    for name, columns in (("in_g", ("g",)), ("in_gh", ("g", "h")), ("all", ())):
+        groups = {}
+        for row in got:
+            groups.setdefault(tuple(row[c] for c in columns), []).append((row[name], (rank(row["g"]), (row["h"] is not None, row["h"] or ""), row["v"])))
+        for held in groups.values():
+            held.sort()
+            assert [n for n, _ in held] == list(range(len(held))) and [o for _, o in held] == sorted(o for _, o in held)
+    with pytest.raises(ValueError, match="leading part"):
+        positions(made, {"n": ["h"]}, ["g", "h"])
