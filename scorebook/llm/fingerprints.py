@@ -3,8 +3,9 @@
 Terms are pairs of adjacent words (a single word if there is no other), weighted by how often they occur. Each occurrence
 votes on every bit of the fingerprint by the bits of its hash; a bit is set if more than half of the votes are for it.
 Votes are counted 2 bits to a long, 64 sums in one aggregation, which combines a document's terms in the task that
-splits its text. Fingerprints within a Hamming radius are found over block tables: the bits are cut into few, long blocks,
+splits its text. Fingerprints within a Hamming radius are found over block tables: the bits are cut into blocks,
 and each query is looked up in every table under all values a few bits away, so that no pair within the radius is missed.
+How many blocks there are follows the number of fingerprints and queries.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from scorebook.llm.common import Scratch, let, whole, words
 #: A text with 1% of its words replaced differs in 2% of its pairs, which is 8 of 128 bits on average; 94 to 97% of such
 #: copies are within 12 bits, 2 to 5% within 3 (measured, see README).
 RADIUS = 12
-#: Values one query may be looked up under, over all block tables.
+#: Values one query may be looked up under, over all block tables; they stand in the plan.
 PROBES = 1200
 _HALF = 32
 _LANES = (1 << _HALF) | 1
@@ -94,7 +95,10 @@ def successors(rows: DataFrame, scratch: Scratch) -> DataFrame:
     )
     following = F.lead(F.struct("h1", "h2")).over(Window.partitionBy("part").orderBy(*order))
     joined = ranged.withColumn("next", following).join(F.broadcast(after), "part")
-    return joined.select("doc_id", "h1", "h2", "times", *[F.coalesce(F.col(f"next.h{i}"), F.col(f"head.h{i}")).alias(f"n{i}") for i in (1, 2)])
+    out = joined.select("doc_id", "h1", "h2", "times", *[F.coalesce(F.col(f"next.h{i}"), F.col(f"head.h{i}")).alias(f"n{i}") for i in (1, 2)])
+    followed = scratch.keep(out, "next")
+    scratch.drop(ranged)
+    return followed
 
 
 def edited(rows: DataFrame, following: DataFrame) -> DataFrame:
@@ -119,28 +123,46 @@ def edited(rows: DataFrame, following: DataFrame) -> DataFrame:
     )
 
 
-def reach(radius: int) -> list[tuple[int, int, int]]:
-    """(first bit, end bit, bits that may differ) of each block; the longest blocks that need at most ``PROBES`` values.
+def cut_blocks(radius: int, blocks: int) -> list[tuple[int, int, int]]:
+    """(first bit, end bit, bits that may differ) of each block.
 
     If two fingerprints differ in more bits than allowed in every block, they differ in more than ``radius``: the numbers
     allowed, plus one each, add up to ``radius`` + 1. A block that allows -1 is not looked up.
     """
-    for blocks in range(2, max(2, radius + 1) + 1):
-        edges = [128 * i // blocks for i in range(blocks + 1)]
-        each, more = divmod(radius + 1, blocks)
-        cut = [(a, b, each - (i >= more)) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
-        if sum(comb(b - a, k) for a, b, t in cut for k in range(t + 1)) <= PROBES:
-            break
-    return cut
+    edges = [128 * i // blocks for i in range(blocks + 1)]
+    each, more = divmod(radius + 1, blocks)
+    return [(a, b, each - (i >= more)) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
+
+
+def reach(radius: int, prints: int, queries: int) -> list[tuple[int, int, int]]:
+    """The blocks that make the fewest rows for so many fingerprints and queries; every choice finds all pairs.
+
+    Few long blocks are selective but have to be probed under many values; many short ones hold each fingerprint in more
+    tables and let more of them meet by chance. Counted are the rows dealt out and the chance meetings.
+    """
+
+    prints, queries = max(1, prints), max(1, queries)
+
+    def tables(cut: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+        """Width of each block that is looked up, and the values it is probed under."""
+        return [(b - a, sum(comb(b - a, k) for k in range(t + 1))) for a, b, t in cut if t >= 0]
+
+    def rows(cut: list[tuple[int, int, int]]) -> float:
+        return sum(prints + queries * values * (1 + prints / 2.0**width) for width, values in tables(cut))
+
+    cuts = [cut_blocks(radius, n) for n in range(2, max(2, radius + 1) + 1)]
+    return min((cut for cut in cuts if cut is cuts[-1] or sum(values for _, values in tables(cut)) <= PROBES), key=rows)
 
 
 def near_pairs(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``q1``, ``q2``, ``apart`` and all columns of ``prints``: every row of it within ``radius`` bits of a distinct query.
 
-    ``queries`` has ``q1``, ``q2``; ``prints`` has ``f1``, ``f2``, one row each. A pair that meets in several tables comes
-    from the first.
+    ``queries`` has ``q1``, ``q2``; ``prints`` has ``f1``, ``f2``, one row each; both are counted first. A pair that meets in
+    several tables comes from the first. Both sides are dealt out by block value: neither is ever broadcast, as the probes
+    grow with the queries by a factor that size estimates do not see.
     """
-    cut = reach(radius)
+    asked = queries.select("q1", "q2").distinct()
+    cut = reach(radius, prints.count(), asked.count())
 
     def block(f1: str, f2: str, i: int) -> Column:
         """Bits of block i, which may reach over both halves."""
@@ -160,17 +182,17 @@ def near_pairs(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -> D
         return F.split(F.lit(",".join(str(x - (1 << 64) if x >> 63 else x) for x in flips)), ",").cast("array<long>")
 
     def entry(i: int, value: Column, b: str, v: str) -> Column:
-        return F.struct(F.lit(i).alias(b), value.alias(v))
+        return F.struct(F.lit(i).cast("byte").alias(b), value.alias(v))
 
     def probes(i: int) -> Column:
         return F.transform(masks(i), lambda m: entry(i, block("q1", "q2", i).bitwiseXOR(m), "b", "v"))
 
     used = [i for i, (_, _, allowed) in enumerate(cut) if allowed >= 0]
-    asked = queries.select("q1", "q2").distinct().select("*", F.inline(F.concat(*[probes(i) for i in used])))
+    probed = asked.select("*", F.inline(F.concat(*[probes(i) for i in used])))
     held = prints.select("*", F.inline(F.array(*[entry(i, block("f1", "f2", i), "pb", "pv") for i in used])))
     agree = [F.when(F.bit_count(block("q1", "q2", i).bitwiseXOR(block("f1", "f2", i))) <= cut[i][2], F.lit(i)) for i in used]
     close = distance(("q1", "q2"), ("f1", "f2")) <= radius
-    met = asked.join(held, (F.col("b") == F.col("pb")) & (F.col("v") == F.col("pv")) & close & (F.coalesce(*agree) == F.col("b")))
+    met = probed.hint("merge").join(held, (F.col("b") == F.col("pb")) & (F.col("v") == F.col("pv")) & close & (F.coalesce(*agree) == F.col("b")))
     return met.select("q1", "q2", distance(("q1", "q2"), ("f1", "f2")).alias("apart"), *prints.columns)
 
 
@@ -194,7 +216,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = keyed(docs, id_col, text_col)
     times = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("times"))
     members = scratch.keep(times.join(simhash(rows, keys).select("h1", "h2", "f1", "f2"), ["h1", "h2"]), "members")
-    prints = members.groupBy("f1", "f2").agg(F.sum("times").alias("times"))
+    prints = scratch.keep(members.groupBy("f1", "f2").agg(F.sum("times").alias("times")), "prints")
     asked = members.filter(F.col("doc_id") % every == 0).select(F.col("f1").alias("q1"), F.col("f2").alias("q2"))
     others = F.col("times") - F.when(F.col("apart") == 0, 1).otherwise(0)
     found = near_pairs(asked, prints, radius).withColumn("n_near", others).filter("n_near > 0")
@@ -210,7 +232,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     scratch = Scratch(docs.sparkSession, "prints")
     rows = keyed(docs, id_col, text_col)
-    following = scratch.keep(successors(rows, scratch), "next")
+    following = successors(rows, scratch)
     keys = ["h1", "h2"]
     own = scratch.keep(simhash(rows, keys), "own")
     changed = edited(rows, following)
@@ -219,7 +241,8 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     new = simhash(digests, marked).select(*marked, F.col("f1").alias("e1"), F.col("f2").alias("e2"))
     nexts = own.select(F.col("h1").alias("n1"), F.col("h2").alias("n2"), F.col("f1").alias("g1"), F.col("f2").alias("g2"))
     joined = scratch.keep(following.join(own, keys).join(new, keys).join(nexts, ["n1", "n2"]), "joined")
-    prints = joined.groupBy("f1", "f2").agg(F.sum("times").alias("times"))
+    scratch.drop(following, own)
+    prints = scratch.keep(joined.groupBy("f1", "f2").agg(F.sum("times").alias("times")), "prints")
     asked = joined.filter(F.col("doc_id") % every == 0)
     found = near(asked.select(F.col("f1").alias("q1"), F.col("f2").alias("q2")), prints, radius)
     counted = joined.join(found.select(F.col("q1").alias("f1"), F.col("q2").alias("f2"), "n_near"), ["f1", "f2"], "left")
