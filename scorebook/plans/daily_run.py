@@ -42,6 +42,7 @@ CARDS = (FACTS, PLAYER_CARDS, TEAM_CARDS)
 COUNTED = (RAW, MATCHES, DELIVERIES, WICKETS, BATTING, BOWLING, SUMMARY, LEAGUES, *CARDS)
 
 TASKS = (
+    ("Bronze", "extract_archives"),
     ("Bronze", "ingest_raw"),
     ("Silver", "build_facts"),
     ("Silver", "build_dimensions"),
@@ -117,12 +118,31 @@ def _task(lake: Lake, run: Run, name: str) -> Iterator[dict[str, int]]:
 # ---------------------------------------------------------------------- bronze
 
 
+@dataclass(frozen=True)
+class Extracted:
+    """What new archives held: match documents, and the rows of the people and names files if there were any."""
+
+    documents: DataFrame
+    register: DataFrame | None
+    names: DataFrame | None
+
+
 def ingest_archives(lake: Lake, run: Run, folder: str) -> DataFrame:
-    """Open the archives not opened before; returns their match documents and logs archives and files.
+    """Match documents of the archives not opened before, see ``open_archives``."""
+    return open_archives(lake, run, folder).documents
+
+
+def open_archives(lake: Lake, run: Run, folder: str) -> Extracted:
+    """Open the archives not opened before; logs the task, its progress, archives and files.
 
     An archive counts as opened only if its run also took its documents into the history: archives of a
-    run that failed before are opened again.
+    run that failed before are opened again. Of several people or names files the one in the archive written last counts.
     """
+    with _task(lake, run, "extract_archives") as counts:
+        return _open_archives(lake, run, folder, counts)
+
+
+def _open_archives(lake: Lake, run: Run, folder: str, counts: dict[str, int]) -> Extracted:
     ingested = lake.load_or_empty("task_log", schemas.TASK_LOG).where("task_name = 'ingest_raw' AND status = 'SUCCEEDED'")
     known = lake.load_or_empty("archive_log", schemas.ARCHIVE_LOG).join(ingested.select("run_id"), "run_id", "left_semi")
     hashed = materialise(zips.hash_archives(zips.list_archives(lake.spark, folder)), "archives")
@@ -153,14 +173,28 @@ def ingest_archives(lake: Lake, run: Run, folder: str) -> DataFrame:
         "error_message": F.coalesce(F.col("fault.error_message"), F.col("error_message")),
     }).fillna(0, ["json_file_count", "register_file_count", "invalid_file_count"])
     progress = runlog.archive_progress(members.where(F.col("extraction_status") != "invalid")).select(
-        F.lit(run.run_id).alias("run_id"), F.lit("ingest_raw").alias("task_name"), F.col("zip_path").alias("current_item"),
+        F.lit(run.run_id).alias("run_id"), F.lit("extract_archives").alias("task_name"), F.col("zip_path").alias("current_item"),
         "processed_count", "total_count", "percent_complete", "status", F.lit(None).cast("string").alias("message"),
         F.current_timestamp().alias("updated_at"),
     )
-    lake.append("progress_log", progress)
+    skipped = listed.where(F.col("status") == "skipped_already_processed").select(
+        F.lit(run.run_id).alias("run_id"), F.lit("extract_archives").alias("task_name"), F.col("zip_path").alias("current_item"),
+        F.lit(0).cast("bigint").alias("processed_count"), F.lit(0).cast("bigint").alias("total_count"),
+        runlog.percent_complete(F.lit(0), F.lit(0), F.lit("SKIPPED")).alias("percent_complete"), F.lit("SKIPPED").alias("status"),
+        F.lit("content of the archive was processed before").alias("message"), F.current_timestamp().alias("updated_at"),
+    )
+    lake.append("progress_log", progress.unionByName(skipped))
     lake.append("file_log", files.select(*_columns(schemas.FILE_LOG)))
     lake.append("archive_log", opened.select(*_columns(schemas.ARCHIVE_LOG)))
-    return zips.member_documents(members)
+    seen = members.groupBy("extraction_status").count().collect()
+    by = {row["extraction_status"]: row["count"] for row in seen}
+    states = {row["status"]: row["count"] for row in listed.groupBy("status").count().collect()}
+    counts.update(
+        input_count=sum(states.values()), output_count=by.get("extracted", 0),
+        skipped_count=states.get("skipped_already_processed", 0), quarantine_count=by.get("invalid", 0) + by.get("failed", 0),
+    )
+    register, other_names = (zips.newest_register(members, hashed, file) for file in ("people.csv", "names.csv"))
+    return Extracted(zips.member_documents(members), register, other_names)
 
 
 ROW = "row_id"
@@ -451,14 +485,17 @@ def validate(lake: Lake, run: Run, layer: str, touched: list[dict[str, object]])
 def run_lake(
     lake: Lake,
     run: Run,
-    documents: DataFrame,
+    documents: DataFrame | None = None,
     register: DataFrame | None = None,
     focus_config: DataFrame | None = None,
     names: DataFrame | None = None,
+    archives: str | None = None,
 ) -> DataFrame:
     """The whole run; returns its one-row summary. Starting a failed run again completes it.
 
-    ``register`` and ``names`` are the rows of the people and names files, if they arrived.
+    ``documents`` are scanned match documents, with their lineage if ``docs.attach_lineage`` has added it. ``register`` and
+    ``names`` are the rows of the people and names files, if they arrived. ``archives`` is a folder of zips whose members
+    are taken in as well; a register given apart goes before one in an archive.
     """
     spark = lake.spark
     started = _now()
@@ -467,13 +504,14 @@ def run_lake(
     if focus_config is None:
         focus_config = empty_table(spark, schemas.FOCUS_CONFIG)
     try:
+        documents, register, names = _arrived(lake, run, documents, register, names, archives)
         focus = materialise(segments.focus_leagues(focus_config, run.focus), "focus")
         renewed = _settings(lake, run, focus)
         taken = ingest_raw(lake, run, documents)
         changed = _changed(lake, run, taken, pending)
         unchanged = changed.isEmpty()
         if unchanged and not (renewed and lake.exists(FACTS)):
-            for _, task in TASKS[1:]:
+            for _, task in TASKS[2:]:
                 with _task(lake, run, task):
                     if task == "build_dimensions":
                         _people(lake, run, register, names)
@@ -499,6 +537,23 @@ def run_lake(
     return summary
 
 
+def _arrived(
+    lake: Lake, run: Run, documents: DataFrame | None, register: DataFrame | None, names: DataFrame | None, archives: str | None
+) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """What was handed over and what the archives hold."""
+    if archives is not None:
+        found = open_archives(lake, run, archives)
+        documents = found.documents if documents is None else documents.unionByName(found.documents, allowMissingColumns=True)
+        return documents, register if register is not None else found.register, names if names is not None else found.names
+    if documents is None:
+        raise ValueError("neither documents nor archives")
+    recorded = runlog.latest_task_rows(lake.load_or_empty("task_log", schemas.TASK_LOG), run.run_id)
+    if recorded.where("task_name = 'extract_archives'").isEmpty():  # a caller may have opened archives for this run
+        with _task(lake, run, "extract_archives"):
+            pass
+    return documents, register, names
+
+
 def tidy(lake: Lake, run: Run) -> None:
     """Join what appends have scattered, and let old snapshots go."""
     for name in lake.tables():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorebook.functions import names
@@ -13,9 +13,9 @@ from scorebook.operators import upsert
 from scorebook.plans import daily_run
 from scorebook.plans.queries_runs import _KEY, _delivered
 from scorebook.plans.registry import ORACLES, query
-from scorebook.plans.workload import demo_lake, table
+from scorebook.plans.workload import demo_lake, table, write_archives
 from scorebook.session import shared_dir
-from scorebook.sources import files
+from scorebook.sources import archives, files
 from scorebook.sources.tables import Lake
 
 
@@ -50,6 +50,50 @@ def register_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_register(spark, folder, "people.csv")
 
 
+def _register_archives(spark: SparkSession, rows: DataFrame, member: str) -> DataFrame:
+    """``(slice, header, line)`` rows as CSV members of zips, one file for each slice; returns the extracted members."""
+    folder = _folder(spark, "register-zips")
+    text = F.concat(F.first("header"), F.lit("\r\n"), F.array_join(F.collect_list("line"), "\r\n"), F.lit("\r\n"))
+    files_of = rows.groupBy("slice", "header").agg(text.alias("text"))
+    write_archives(files_of.select(F.concat(F.lit("register/"), "slice", F.lit(f"/{member}")).alias("member"), "text"), folder)
+    return archives.explode_archives(archives.hash_archives(archives.list_archives(spark, folder)))
+
+
+def _quoted(*values: Column) -> Column:
+    """A CSV line; every value is quoted but an absent one."""
+    return F.concat_ws(",", *[F.coalesce(F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"')), F.lit("")) for v in values])
+
+
+@query("""
+SELECT 'id' || c_custkey AS identifier, c_name || ', "' || c_mktsegment || '"' || chr(10) || 'x' AS name, CASE WHEN c_custkey % 3 = 0 THEN 'p' || c_custkey END AS key_phone,
+  CASE WHEN c_custkey // 1000 % 2 = 1 THEN 'n' || c_nationkey END AS key_nation, 'people.csv' AS source_file FROM customer
+""")
+def archive_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People files inside zips, each with a header of its own: quotes, commas and line breaks in values, absent values."""
+    key = F.col("c_custkey")
+    who = table(spark, sf_dir, "customer").withColumn("slice", F.floor(key / 1000))
+    name = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"\nx'))
+    phone, nation = F.when(key % 3 == 0, F.concat(F.lit("p"), key)), F.concat(F.lit("n"), "c_nationkey")
+    odd = F.col("slice") % 2 == 1
+    header = F.when(odd, "key_nation,identifier,name,key_phone").otherwise("identifier,name,key_phone")
+    ident = F.concat(F.lit("id"), key)
+    line = F.when(odd, _quoted(nation, ident, name, phone)).otherwise(_quoted(ident, name, phone))
+    members = _register_archives(spark, who.select("slice", header.alias("header"), line.alias("line")), "people.csv")
+    return archives.register_table(archives.register_rows(members, "people.csv"), "people.csv")
+
+
+@query("""
+SELECT DISTINCT 'id' || o_custkey AS identifier, o_orderpriority || ' "x"' AS name, 'names.csv' AS source_file FROM orders
+""")
+def person_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Other names of people from names files inside zips; equal rows count once."""
+    named = table(spark, sf_dir, "orders")
+    line = _quoted(F.concat(F.lit("id"), "o_custkey"), F.concat("o_orderpriority", F.lit(' "x"')))
+    rows = named.select(F.floor(F.col("o_orderkey") / 1000).alias("slice"), F.lit("identifier,name").alias("header"), line.alias("line"))
+    members = _register_archives(spark, rows, "names.csv")
+    return docs.person_names(archives.register_table(archives.register_rows(members, "names.csv"), "names.csv"))
+
+
 @query("""
 SELECT event_type, CASE WHEN value >= 50 THEN 'high' END AS note, count(*) AS n FROM events GROUP BY 1, 2
 """)

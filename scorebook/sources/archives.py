@@ -1,14 +1,18 @@
 """Zip archives as Spark jobs: list, hash, list members, read members.
 
-No task ever holds a whole archive. Hashing streams it, listing reads its directory only, and the
-members of one archive are spread over many tasks by their size, so one archive may hold any share of
-all data.
+No task ever holds a whole archive. Hashing streams it, listing reads its directory, once, and notes where each member
+is stored. The members of one archive are spread over many tasks by their size, so one archive may hold any share of
+all data; a task goes straight to its members and never sees the directory.
 """
 
 from __future__ import annotations
 
+import csv
 import hashlib
+import io
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,17 +43,26 @@ _LISTED = pa.schema([
     ("file_size_bytes", pa.int64()),
     ("file_crc", pa.int64()),
     ("bytes_before", pa.int64()),
+    ("stored_at", pa.int64()),
+    ("stored_bytes", pa.int64()),
+    ("compression", pa.int32()),
+    ("flags", pa.int32()),
     ("error_class", pa.string()),
     ("error_message", pa.string()),
 ])
 _LISTED_DDL = (
     "zip_path string, zip_sha256 string, member_index bigint, member string, file_size_bytes bigint, "
-    "file_crc bigint, bytes_before bigint, error_class string, error_message string"
+    "file_crc bigint, bytes_before bigint, stored_at bigint, stored_bytes bigint, compression int, flags int, error_class string, error_message string"
 )
 _READ_DDL = _LISTED_DDL + ", content binary"
 _READ = _LISTED.append(pa.field("content", pa.binary()))
 
-_FAULTS = (OSError, RuntimeError, ValueError, NotImplementedError, zipfile.BadZipFile)
+_STORED = ("bytes_before", "stored_at", "stored_bytes", "compression", "flags")
+
+_FAULTS = (OSError, RuntimeError, ValueError, EOFError, NotImplementedError, zipfile.BadZipFile, zlib.error)
+
+# Fixed values of the archive format: signature and length of the header before a member, and the flag of an encrypted one.
+_SIGNATURE, _HEADER, _ENCRYPTED = b"PK\x03\x04", 30, 1
 
 
 def _open(path: str):
@@ -136,6 +149,10 @@ def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                             "file_size_bytes": info.file_size,
                             "file_crc": info.CRC,
                             "bytes_before": before,
+                            "stored_at": info.header_offset,
+                            "stored_bytes": info.compress_size,
+                            "compression": info.compress_type,
+                            "flags": info.flag_bits,
                         })
                         before += info.file_size
                         if len(rows) == 10_000:
@@ -162,9 +179,26 @@ def _width(spark: SparkSession, total_bytes: int = 0, task_bytes: int = TASK_BYT
     return max(spark.sparkContext.defaultParallelism, -(-total_bytes // task_bytes))
 
 
+def _read_member(handle, row: dict) -> bytes:
+    """Content of one member from where it is stored; reading to the end checks its CRC."""
+    if row["flags"] & _ENCRYPTED:
+        raise RuntimeError(f"{row['member']} is encrypted")
+    handle.seek(row["stored_at"])
+    header = handle.read(_HEADER)
+    if len(header) < _HEADER or not header.startswith(_SIGNATURE):
+        raise zipfile.BadZipFile(f"no member at byte {row['stored_at']}")
+    handle.seek(row["stored_at"] + _HEADER + sum(struct.unpack("<HH", header[26:30])))
+    info = zipfile.ZipInfo(row["member"])
+    info.compress_type, info.compress_size, info.file_size, info.CRC = (row[c] for c in ("compression", "stored_bytes", "file_size_bytes", "file_crc"))
+    with zipfile.ZipExtFile(handle, "r", info) as member:
+        content = member.read()
+    if len(content) != row["file_size_bytes"]:
+        raise zipfile.BadZipFile(f"{row['member']} ends early")
+    return content
+
+
 def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    handle = archive = opened = None
-    infos: list = []
+    handle = opened = None
     rows: list = []
     held = 0
     try:
@@ -173,16 +207,12 @@ def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 row["content"] = None
                 try:
                     if row["zip_path"] != opened:
-                        if archive is not None:
-                            archive.close()
+                        if handle is not None:
                             handle.close()
-                        opened = None
+                        handle = opened = None
                         handle = _open(row["zip_path"])
-                        archive = zipfile.ZipFile(handle)
-                        infos = archive.infolist()
                         opened = row["zip_path"]
-                    # Reading to the end checks the stored CRC.
-                    row["content"] = archive.read(infos[row["member_index"]])
+                    row["content"] = _read_member(handle, row)
                 except _FAULTS as error:
                     row["error_class"], row["error_message"] = type(error).__name__, str(error)
                 rows.append(row)
@@ -193,8 +223,7 @@ def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=_READ)
     finally:
-        if archive is not None:
-            archive.close()
+        if handle is not None:
             handle.close()
 
 
@@ -235,7 +264,7 @@ def explode_archives(archives: DataFrame, task_bytes: int = TASK_BYTES) -> DataF
             "file_extension": identity.file_extension(cleaned),
             "file_sha256": F.sha2("content", 256),
         })
-        .drop("bytes_before")
+        .drop(*_STORED)
     )
 
 
@@ -274,3 +303,58 @@ def member_documents(members: DataFrame) -> DataFrame:
     )
 
 
+_ROWS = pa.schema([("source_path", pa.string()), ("zip_path", pa.string()), ("entries", pa.map_(pa.string(), pa.string()))])
+_ROWS_DDL = "source_path string, zip_path string, entries map<string,string>"
+
+
+def _register_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, archive, content in zip(*(batch.column(i) for i in range(3)), strict=True):
+            lines = io.TextIOWrapper(io.BytesIO(content.as_py()), "utf-8-sig", "replace", newline="")
+            header, rows = None, []
+            for values in csv.reader(lines, quoting=csv.QUOTE_NOTNULL):
+                if not values:
+                    continue
+                if header is None:
+                    header = [name or "" for name in values]
+                    continue
+                entries = dict(zip(header, values, strict=False))
+                rows.append({"source_path": path.as_py(), "zip_path": archive.as_py(), "entries": list(entries.items())})
+                if len(rows) == 10_000:
+                    yield pa.RecordBatch.from_pylist(rows, schema=_ROWS)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema=_ROWS)
+
+
+def register_rows(members: DataFrame, name: str) -> DataFrame:
+    """Rows of the extracted register files called ``name``: ``source_path``, ``zip_path`` and ``entries`` by column name.
+
+    Every file has a header of its own. Quotes are doubled inside quoted values, which may hold line breaks; an empty
+    value without quotes is NULL, and a short row lacks its last columns.
+    """
+    wanted = members.where((F.col("extraction_status") == "extracted") & (F.col("source_filename") == name))
+    return wanted.select(F.concat_ws("/", "zip_path", "relative_member_path").alias("source_path"), "zip_path", "content").mapInArrow(_register_rows, _ROWS_DDL)
+
+
+def register_table(rows: DataFrame, name: str) -> DataFrame:
+    """Register rows with a column for each name that any header has, and ``source_file``; all columns are text.
+
+    The rows are written first, as their headers decide the columns. Only these names go to the driver.
+    """
+    held = materialise(rows, "register")
+    columns = sorted(row[0] for row in held.select(F.explode(F.map_keys("entries"))).distinct().collect())
+    return held.select(*[F.try_element_at("entries", F.lit(c)).alias(c) for c in columns], F.lit(name).alias("source_file"))
+
+
+def newest_register(members: DataFrame, archives: DataFrame, name: str) -> DataFrame | None:
+    """The register file called ``name`` of the archive written last (``zip_path``, ``zip_modified_at``), if any has one."""
+    files = members.where((F.col("extraction_status") == "extracted") & (F.col("source_filename") == name))
+    found = files.join(archives.select("zip_path", "zip_modified_at"), "zip_path").select(
+        F.max(F.struct("zip_modified_at", "zip_path", "relative_member_path")).alias("last")
+    )
+    last = found.first()["last"]
+    if last is None:
+        return None
+    chosen = members.where((F.col("zip_path") == last["zip_path"]) & (F.col("relative_member_path") == last["relative_member_path"]))
+    return register_table(register_rows(chosen, name), name)

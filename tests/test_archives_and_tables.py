@@ -4,9 +4,10 @@ import hashlib
 import json
 import zipfile
 
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 from helpers import dicts, match
+from pyspark.sql import functions as F
 
 from scorebook.operators import documents as docs
 from scorebook.operators import runlog
@@ -77,6 +78,33 @@ def test_damaged_member(spark, tmp_path):
     assert got == {"1.json": ("failed", "BadZipFile"), "2.json": ("extracted", None)}
 
 
+@pytest.mark.parametrize("compression", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA])
+def test_members_are_read_from_where_they_are_stored(tmp_path, monkeypatch, compression):
+    """The directory is opened once, by the listing; data before the archive shifts all places."""
+    path = tmp_path / "a.zip"
+    bodies = {f"dir/{i}.json": ("é" * i + "x" * (1000 * i)).encode() for i in range(6)}
+    with zipfile.ZipFile(path, "w", compression) as z:
+        for name, body in bodies.items():
+            z.writestr(name, body)
+    path.write_bytes(b"some data before" + path.read_bytes())
+    opened = []
+
+    class Counted(zipfile.ZipFile):
+        def __init__(self, *args, **kwargs):
+            opened.append(args)
+            super().__init__(*args, **kwargs)
+
+    monkeypatch.setattr(archives.zipfile, "ZipFile", Counted)
+    batch = pa.RecordBatch.from_pylist([{"zip_path": str(path), "zip_sha256": "h"}])
+    listed = list(archives._list_members(iter([batch])))
+    assert len(opened) == 1
+    read = [row for part in archives._read_members(iter([listed[0].slice(3), listed[0].slice(0, 3)])) for row in part.to_pylist()]
+    assert len(opened) == 1 and {r["member"]: r["content"] for r in read} == bodies and not any(r["error_class"] for r in read)
+    faults = [{**row, **change} for row, change in zip(listed[0].to_pylist(), ({"flags": 1}, {"stored_at": 5}, {"stored_at": 10**9}, {"file_crc": 1}, {"file_size_bytes": 10**6}), strict=False)]
+    broken = [row for part in archives._read_members(iter([pa.RecordBatch.from_pylist(faults[:3] + faults[3:5], schema=archives._LISTED)])) for row in part.to_pylist()]
+    assert [r["error_class"] for r in broken] == ["RuntimeError", "BadZipFile", "BadZipFile", "BadZipFile", "BadZipFile"] and not any(r["content"] for r in broken)
+
+
 def test_partition_folders():
     assert partition_folder({"season": "2007/08", "b": "0001"}) == "season=2007%2F08/b=0001"
     assert partition_folder({"season": None}) == "season=__HIVE_DEFAULT_PARTITION__"

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 import zipfile
 
 import pytest
@@ -122,6 +123,50 @@ def test_archives_to_facts(spark, lake, tmp_path):
     }
 
 
+def test_a_run_takes_matches_and_registers_from_archives(spark, lake, tmp_path):
+    folder = tmp_path / "zips"
+    folder.mkdir()
+    people = 'identifier,name,unique_name,key_x\r\nid-a1,"Ann ""A"", B",Ann,7\r\nid-zz,Zed,,\r\n'
+    with zipfile.ZipFile(folder / "a.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("101.json", json.dumps(G1))
+        z.writestr("register/people.csv", people)
+        z.writestr("register/names.csv", "identifier,name\nid-a1,A. B.\nid-a1,A. B.\nid-a1,Annie\n")
+    more = documents(spark, FIRST[1])
+    summary = dr.run_lake(lake, dr.Run("r1", buckets=4), more, archives=str(folder)).first()
+    assert (summary["status"], summary["json_files_extracted"], summary["bronze_inserted_matches"]) == ("SUCCEEDED", 1, 2)
+    assert rows(lake, dr.RAW, "match_id") == ["Row(match_id='101')", "Row(match_id='102')"]
+    assert {(r["identifier"], r["name"], r["unique_name"]) for r in dicts(lake.load("dim_people"))} == {("id-a1", 'Ann "A", B', "Ann"), ("id-zz", "Zed", None)}
+    assert [(r["person_id"], r["external_source"], r["external_id"]) for r in dicts(lake.load("bridge_person_external_ids"))] == [("id-a1", "x", "7")]
+    assert {(r["identifier"], r["name"]) for r in dicts(lake.load("dim_person_names"))} == {("id-a1", "A. B."), ("id-a1", "Annie")}
+    assert "id-a1" not in str(dicts(lake.load("unresolved_people")))
+    task = runlog.latest_task_rows(lake.load("task_log"), "r1").where("task_name = 'extract_archives'").first()
+    assert (task["status"], task["input_count"], task["output_count"], task["skipped_count"]) == ("SUCCEEDED", 1, 3, 0)
+
+    # The same archives again are skipped, which the progress says; the people stay.
+    again = dr.run_lake(lake, dr.Run("r2", buckets=4), archives=str(folder)).first()
+    assert again["status"] == "SUCCEEDED" and lake.load("dim_people").count() == 2
+    progress = dicts(lake.load("progress_log").where("run_id = 'r2'"))
+    assert [(r["task_name"], r["status"], r["percent_complete"], r["total_count"]) for r in progress] == [("extract_archives", "SKIPPED", 100.0, 0)]
+    assert dicts(lake.load("task_log").where("run_id = 'r2' AND task_name = 'extract_archives'"))[0]["skipped_count"] == 1
+
+    # A newer archive has the newer register.
+    with zipfile.ZipFile(folder / "b.zip", "w") as z:
+        z.writestr("people.csv", "identifier,name,unique_name\nid-b1,Bob,Bob\n")
+    os.utime(folder / "b.zip", (2_000_000_000, 2_000_000_000))
+    dr.run_lake(lake, dr.Run("r3", buckets=4), archives=str(folder))
+    assert {r["identifier"] for r in dicts(lake.load("dim_people"))} == {"id-b1"}
+    with pytest.raises(ValueError, match="neither"):
+        dr.run_lake(lake, dr.Run("r4", buckets=4))
+
+
+def test_a_run_leaves_tidy_tables(spark, lake):
+    for i in range(3):
+        run(lake, f"r{i}", FIRST[: i + 1], folders=2, keep_days=-1)
+    assert len(lake.snapshots("task_log")) == 1 and len(lake.snapshot("task_log").parts) <= 2
+    assert len(lake.snapshots(dr.RAW)) == 1 and lake.load(dr.RAW).count() == 3
+    assert lake.load("task_log").where("task_name = 'ingest_raw'").count() == 3
+
+
 def test_stream_runs_the_refresh(spark, lake, tmp_path):
     folder = tmp_path / "landing"
     folder.mkdir()
