@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scorebook.functions import identity, names
 from scorebook.operators.nested import Level, explode_map, explode_path
@@ -36,18 +39,76 @@ def attach_lineage(documents: DataFrame, manifest: DataFrame) -> DataFrame:
     return keyed.join(one_each, "extracted_path", "left").drop("extracted_path")
 
 
+BROKEN, UNFIT = "text is not a match document", "fields that do not fit their types are NULL"
+
+
 def parse_documents(documents: DataFrame) -> DataFrame:
-    """Parse ``raw_json`` once into ``meta``, ``info``, ``innings``; bad text is marked, not dropped."""
+    """Parse ``raw_json`` once into ``meta``, ``info``, ``innings``.
+
+    Text that is no JSON object is marked malformed, not dropped. In a valid document a field that does not fit its type is
+    NULL and everything else stays; ``parse_error`` says so, and ``field_warnings`` which fields they are. Only texts that
+    did not parse in full are looked at twice, to tell the two apart.
+    """
     record = F.from_json("raw_json", DOCUMENT, {"columnNameOfCorruptRecord": CORRUPT})
-    broken = F.col(f"record.{CORRUPT}").isNotNull() | F.col("raw_json").isNull()
-    return documents.select("*", record.alias("record")).select(
+    amiss = F.col(f"record.{CORRUPT}").isNotNull()
+    whole = F.coalesce(F.schema_of_variant(F.try_parse_json(F.col("raw_json"))).startswith("OBJECT"), F.lit(False))
+    broken = F.when(F.col("record").isNull(), True).when(amiss, ~whole).otherwise(False)
+    return documents.select("*", record.alias("record")).select("*", broken.alias("_broken")).select(
         *documents.columns,
-        F.when(broken, "malformed").otherwise("valid").alias("record_status"),
-        F.when(broken, F.lit("text is not a match document")).alias("parse_error"),
-        *[F.col(f"record.{name}").alias(name) for name in PARSED],
+        F.when(F.col("_broken"), "malformed").otherwise("valid").alias("record_status"),
+        F.when(F.col("_broken"), F.lit(BROKEN)).when(amiss, F.lit(UNFIT)).alias("parse_error"),
+        *[F.when(~F.col("_broken"), F.col(f"record.{name}")).alias(name) for name in PARSED],
     )
 
 
+_WARNING = "match_id string, source_file_sha256 string, path string, expected string, value string"
+
+
+def _unfit(value: object, kind: T.DataType, path: str) -> Iterator[tuple[str, str, object]]:
+    """(path, type, value) of what in ``value`` does not fit ``kind``; anything can be read as text, and null fits all."""
+    if value is None or isinstance(kind, T.StringType):
+        return
+    if isinstance(kind, T.StructType):
+        if not isinstance(value, dict):
+            yield path, "object", value
+            return
+        for field in kind.fields:
+            yield from _unfit(value.get(field.name), field.dataType, f"{path}.{field.name}" if path else field.name)
+    elif isinstance(kind, T.ArrayType):
+        if not isinstance(value, list):
+            yield path, "list", value
+            return
+        for item in value:
+            yield from _unfit(item, kind.elementType, path)
+    elif isinstance(kind, T.MapType):
+        if not isinstance(value, dict):
+            yield path, "object", value
+            return
+        for item in value.values():
+            yield from _unfit(item, kind.valueType, path)
+    elif isinstance(value, bool) or not isinstance(value, int) or not -(2**31) <= value < 2**31:
+        yield path, kind.simpleString(), value
+
+
+def _warn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [name.split()[0] for name in _WARNING.split(", ")]
+    for batch in batches:
+        rows = []
+        for match_id, digest, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            for path, kind, value in _unfit(json.loads(text, strict=False), DOCUMENT, ""):
+                rows.append((match_id, digest, path, kind, json.dumps(value)[:200]))
+        yield pa.RecordBatch.from_arrays([pa.array([row[i] for row in rows], pa.string()) for i in range(len(names))], names=names)
+
+
+def field_warnings(raw: DataFrame) -> DataFrame:
+    """One row per field that did not fit its type: ``match_id``, ``source_file_sha256``, ``path``, ``expected``, ``value``.
+
+    ``raw`` has the shaped rows with their text; only those marked by ``parse_documents`` are read again.
+    """
+    marked = raw.where((F.col("record_status") == "valid") & (F.col("parse_error") == UNFIT))
+    return marked.select("match_id", "source_file_sha256", "raw_json").mapInArrow(_warn, _WARNING)
+
+
 def _with_lineage(documents: DataFrame) -> DataFrame:
     absent = {name: F.lit(None).cast("string") for name in _LINEAGE if name not in documents.columns}
     return documents.withColumns(absent) if absent else documents

@@ -242,6 +242,7 @@ def ingest_raw(lake: Lake, run: Run, documents: DataFrame) -> DataFrame:
         classified = materialise(
             upsert.classify_batch(latest, valid, "match_id", "source_file_sha256", "source_revision"), "classified"
         )
+        lake.append("field_warnings", docs.field_warnings(batch).withColumn("run_id", F.lit(run.run_id)))
         # Compared as unknown, stored as 0.
         shown = {"source_revision": F.coalesce("source_revision", F.lit(0))}
         taken = classified.where(F.col("change").isin("new", "revised"))

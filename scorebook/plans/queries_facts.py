@@ -13,6 +13,7 @@ from scorebook.operators.upsert import latest_by_key
 from scorebook.plans import oracle as sql
 from scorebook.plans.daily_run import DELIVERIES, MATCHES, RAW, WICKETS
 from scorebook.plans.registry import query
+from scorebook.session import materialise
 from scorebook.plans.workload import RUN_ID, demo_lake, table
 from scorebook.sources import files
 
@@ -64,6 +65,31 @@ def raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+{sql.with_(sql.BALLS)},
+n AS (SELECT m.match_id, CAST(m.match_id AS BIGINT) AS key, count(d.match_id) AS balls FROM m LEFT JOIN d ON d.match_id = m.match_id GROUP BY m.match_id),
+w AS (
+  SELECT 'innings.overs.deliveries.runs.total' AS path, 'int' AS expected, balls AS fields, balls FROM n WHERE key % 5 = 0 AND balls > 0
+  UNION ALL SELECT 'meta.revision', 'int', 1, balls FROM n WHERE key % 7 = 0
+  UNION ALL SELECT 'info.teams', 'list', 1, balls FROM n WHERE key % 11 = 0
+)
+SELECT path, expected, {sql.big('sum(fields)', 'warnings')}, {sql.big('count(*)', 'matches')}, {sql.big('sum(balls)', 'balls')} FROM w GROUP BY path, expected
+""")
+def field_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with fields of another type: which fields, in how many matches, and the balls these keep in the facts."""
+    key = F.element_at(F.split(F.regexp_extract("source_path", "([0-9]+)[.]json", 1), "/"), 1).cast("bigint")
+    text = F.col("raw_json")
+    for divisor, found, put in ((5, '"total":([0-9]+)', '"total":$1.5'), (7, '"revision":1', '"revision":"one"'), (11, '"teams":\\[[^\\]]*\\]', '"teams":"two"')):
+        text = F.when(key % divisor == 0, F.regexp_replace(text, found, put)).otherwise(text)
+    changed = _texts(spark, sf_dir).select("source_path", text.alias("raw_json"))
+    raw = materialise(docs.shape_raw(docs.parse_documents(changed), RUN_ID), "warned")
+    warned = docs.field_warnings(raw).groupBy("path", "expected", "match_id").agg(F.count("*").alias("fields"))
+    balls = docs.build_deliveries(raw.where("record_status = 'valid'")).groupBy("match_id").agg(F.count("batter").alias("balls"))
+    return warned.join(balls, "match_id", "left").groupBy("path", "expected").agg(
+        F.sum("fields").alias("warnings"), F.count("*").alias("matches"), F.sum(F.coalesce("balls", F.lit(0))).alias("balls")
+    )
+
+
 @query(f"""
 {sql.with_(sql.MATCHES)},
 j AS (

@@ -73,6 +73,30 @@ def test_malformed_text_is_marked(spark):
     ]
 
 
+def test_fields_of_another_type_are_null_and_named(spark):
+    """The rest of such a document stays in the facts; text that is no object does not."""
+    one = match(innings("A", [ball("A1", "B1", 1), ball("A1", "B1", 2)], [ball("A1", "B1", 4)]))
+    one["innings"][0]["overs"][0]["deliveries"][1]["runs"]["batter"] = 1.5
+    two = match(innings("A", [ball("A1", "B1", 1)]))
+    two["info"]["teams"], two["meta"]["revision"], two["info"]["outcome"]["by"]["runs"] = "X", "7", 3_000_000_000
+    three = match(innings("A", [ball("A1", "B1", 1)]))
+    three["innings"][0]["overs"], three["info"]["registry"]["people"], three["info"]["venue"] = {"a": 1}, [1], 12
+    rows = parsed(spark, ("1.json", one), ("2.json", two), ("3.json", three), ("4.json", "[1]"), ("5.json", "3"), ("6.json", ""), ("7.json", "{}"))
+    status = {r["match_id"]: (r["record_status"], r["parse_error"]) for r in dicts(rows)}
+    assert {k: v[0] for k, v in status.items()} == {"1": "valid", "2": "valid", "3": "valid", "4": "malformed", "5": "malformed", "6": "malformed", "7": "valid"}
+    assert {k for k, v in status.items() if v[1] == docs.UNFIT} == {"1", "2", "3"} and status["7"][1] is None
+    valid = rows.where("record_status = 'valid'")
+    balls = dicts(docs.build_deliveries(valid).where("match_id = '1'"), "over_number", "delivery_index")
+    assert [(r["batter_runs"], r["total_runs"]) for r in balls] == [(1, 1), (None, 2), (4, 4)]
+    facts = {r["match_id"]: r for r in dicts(docs.build_matches(valid))}
+    assert facts["2"]["teams"] is None and facts["2"]["win_by_runs"] is None and facts["2"]["season"] == "2024" and facts["3"]["venue"] == "12"
+    assert sorted((r["match_id"], r["path"], r["expected"], r["value"]) for r in dicts(docs.field_warnings(rows))) == [
+        ("1", "innings.overs.deliveries.runs.batter", "int", "1.5"),
+        ("2", "info.outcome.by.runs", "int", "3000000000"), ("2", "info.teams", "list", '"X"'), ("2", "meta.revision", "int", '"7"'),
+        ("3", "info.registry.people", "object", "[1]"), ("3", "innings.overs", "list", '{"a": 1}'),
+    ]
+
+
 def test_league_filter_and_change_feed(spark):
     rows = parsed(spark, ("1.json", match(event="Cup")), ("2.json", match()), ("3.json", match(event=None)))
     assert [r["match_id"] for r in dicts(docs.in_leagues(rows, ["Cup"]))] == ["1"]
