@@ -469,14 +469,20 @@ def validate(lake: Lake, run: Run, layer: str, touched: list[dict[str, object]])
     with _task(lake, run, f"validate_{layer}") as counts:
         pick = lambda name: in_partitions(lake.load(name), touched)
         if layer == "silver":
-            checks = quality.silver_checks(pick(MATCHES), pick(DELIVERIES), pick(WICKETS))
             arrived = docs.changed_in_run(lake.load(RAW), [run.run_id])
-            checks.append(quality.check_latest_revision(arrived, lake.load(VERSIONS), "bronze_current_is_newest", RAW))
+            entries = [quality.delivery_entries(pick(DELIVERIES), gold=False), *quality.silver_entries(pick(MATCHES), pick(WICKETS))]
+            checks = list(quality.SILVER)
+            if lake.exists("dim_people"):
+                named = lake.load(REGISTRY).join(arrived.select("match_id"), "match_id", "left_semi")
+                entries += quality.register_entries(named, lake.load("dim_people"))
+                checks += quality.REGISTER
+            found = [quality.fused_results(entries, checks), quality.check_latest_revision(arrived, lake.load(VERSIONS), "bronze_current_is_newest", RAW)]
         else:
-            checks = quality.gold_checks(pick(DELIVERIES), pick(BATTING), pick(BOWLING), pick(SUMMARY))
-        results = materialise(quality.run_checks(checks, run.run_id), "quality")
+            checks = list(quality.GOLD)
+            found = [quality.fused_results([quality.season_entries(pick(DELIVERIES)), *quality.gold_entries(pick(BATTING), pick(BOWLING), pick(SUMMARY))], checks)]
+        results = materialise(quality.run_checks(found, run.run_id), "quality")
         lake.append("quality_log", results)
-        counts.update(input_count=len(checks), output_count=len(checks))
+        counts.update(input_count=len(checks) + len(found) - 1, output_count=len(checks) + len(found) - 1)
         quality.gate(results, layer)
 
 

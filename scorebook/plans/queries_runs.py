@@ -17,7 +17,7 @@ from scorebook.operators import gold, quality, runlog, segments, upsert
 from scorebook.plans import oracle as sql
 from scorebook.plans.daily_run import DELIVERIES, MATCHES, RAW, WICKETS
 from scorebook.plans.queries_facts import big
-from scorebook.plans.registry import query
+from scorebook.plans.registry import ORACLES, query
 from scorebook.plans.workload import demo_lake, second_delivery, table, write_archives
 from scorebook.session import materialise, observed, shared_dir
 from scorebook.sources import archives
@@ -174,37 +174,90 @@ def dq_nonnegative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.run_checks(checks, "check").drop("checked_at", "sample_failure_json")
 
 
-@query(f"""
-{sql.with_(sql.BALLS)},
-k AS (SELECT match_id, innings_number, over_number, delivery_sequence FROM d GROUP BY ALL HAVING count(*) > 1),
-c AS (
-  SELECT 'silver_delivery_key_unique' AS check_name, 'silver_deliveries' AS table_name, 'CRITICAL' AS severity, (SELECT count(*) FROM k) AS n
-  UNION ALL SELECT 'silver_delivery_runs_nonnegative', 'silver_deliveries', 'CRITICAL', (SELECT count(*) FROM d WHERE total_runs < 0 OR batter_runs < 0)
-  UNION ALL SELECT 'silver_match_id_unique', 'silver_matches', 'CRITICAL', (SELECT count(*) - count(DISTINCT match_id) FROM m)
-  UNION ALL SELECT 'silver_delivery_match_known', 'silver_deliveries', 'WARNING', (SELECT count(DISTINCT l_orderkey) FROM lineitem WHERE l_orderkey NOT IN (SELECT k FROM m))
-  UNION ALL SELECT 'silver_delivery_score_adds_up', 'silver_deliveries', 'WARNING', (SELECT count(*) FROM d WHERE batter_runs + extras_runs <> total_runs)
-  UNION ALL SELECT 'silver_wicket_totals_agree', 'silver_wickets', 'WARNING', 0
-  UNION ALL SELECT 'gold_batting_runs_agree', 'gold_player_batting_stats', 'WARNING', 0
-  UNION ALL SELECT 'gold_bowling_runs_agree', 'gold_bowler_stats', 'WARNING', 0
-  UNION ALL SELECT 'gold_team_runs_agree', 'gold_team_match_summary', 'WARNING', 0
-  UNION ALL SELECT 'gold_legal_balls_agree', 'gold_bowler_stats', 'WARNING', 0
-  UNION ALL SELECT 'serving_split_complete', 'gold_ai_match_facts', 'CRITICAL', 0
-)
-SELECT check_name, table_name, severity, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, CAST(n AS BIGINT) AS failed_record_count FROM c
-""")
+def _check_sql(tables: str) -> str:
+    """All layer checks over the named tables v_d, v_m, v_w, v_b, v_o, v_t, v_x, v_r, v_p (deliveries to people), counted one by one."""
+    agree = lambda left, right: f"(SELECT count(*) FROM ({left}) a FULL JOIN ({right}) b ON a.k IS NOT DISTINCT FROM b.k WHERE coalesce(a.n, 0) <> coalesce(b.n, 0))"
+    total = lambda table, value, key="season": f"SELECT {key} AS k, sum({value}) AS n FROM {table} GROUP BY 1"
+    rows = [
+        ("silver_delivery_key_unique", "silver_deliveries", "CRITICAL", "(SELECT count(*) FROM (SELECT 1 FROM v_d GROUP BY match_id, innings_number, over_number, delivery_sequence HAVING count(*) > 1))"),
+        ("silver_delivery_runs_nonnegative", "silver_deliveries", "CRITICAL", "(SELECT count(*) FROM v_d WHERE total_runs < 0 OR batter_runs < 0)"),
+        ("silver_match_id_unique", "silver_matches", "CRITICAL", "(SELECT count(*) FROM (SELECT 1 FROM v_m GROUP BY match_id HAVING count(*) > 1))"),
+        ("silver_delivery_match_known", "silver_deliveries", "WARNING", "(SELECT count(*) FROM m WHERE match_id NOT IN (SELECT match_id FROM v_m))"),
+        ("silver_delivery_score_adds_up", "silver_deliveries", "WARNING", "(SELECT count(*) FROM v_d WHERE batter_runs + extras_runs <> total_runs)"),
+        ("silver_wicket_totals_agree", "silver_wickets", "WARNING", agree(total("v_d", "fallen", "match_id"), total("v_w", "1", "match_id"))),
+        ("silver_register_ids_known", "silver_player_registry", "WARNING", "(SELECT count(DISTINCT id) FROM v_r WHERE id NOT IN (SELECT id FROM v_p))"),
+        ("gold_batting_runs_agree", "gold_player_batting_stats", "WARNING", agree(total("v_d", "batter_runs"), total("v_b", "runs"))),
+        ("gold_bowling_runs_agree", "gold_bowler_stats", "WARNING", agree(total("v_d", "total_runs"), total("v_o", "runs_conceded"))),
+        ("gold_team_runs_agree", "gold_team_match_summary", "WARNING", agree(total("v_d", "total_runs"), total("v_t", "team_runs"))),
+        ("gold_legal_balls_agree", "gold_bowler_stats", "WARNING", agree(total("v_b", "balls_faced"), total("v_o", "legal_balls"))),
+        ("serving_split_complete", "gold_ai_match_facts", "CRITICAL", agree(total("v_m", "1", "league_name"), total("v_x", "1", "league_name"))),
+    ]
+    union = " UNION ALL ".join(f"SELECT '{name}' AS check_name, '{table}' AS table_name, '{severity}' AS severity, {count} AS n" for name, table, severity, count in rows)
+    return f"""{sql.with_(sql.BALLS, sql.BATTING, sql.bowling(False), sql.SUMMARY)}, {tables}, c AS ({union})
+SELECT check_name, table_name, severity, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, CAST(n AS BIGINT) AS failed_record_count FROM c"""
+
+
+def _check_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Silver tables of the workload, and the gold tables written once as a run does."""
+    lake = demo_lake(spark, sf_dir)
+    balls, registry = lake.load(DELIVERIES), docs.build_person_registry(lake.load(RAW))
+    made = {"batting": gold.batting_stats(balls), "bowling": gold.bowling_stats(balls), "summary": gold.team_match_summary(balls)}
+    buyers = table(spark, sf_dir, "customer").select(F.explode(F.transform(F.array(*[F.lit(i) for i in range(4)]), lambda i: F.concat(F.lit("id"), F.col("c_custkey") * 4 + i))).alias("identifier"))
+    return {"matches": lake.load(MATCHES), "deliveries": balls, "wickets": lake.load(WICKETS), "registry": registry, "people": buyers} | {k: materialise(v, k) for k, v in made.items()}
+
+
+def _all_checks(t: dict[str, DataFrame], facts: DataFrame, parts: list[DataFrame]) -> DataFrame:
+    """Every layer check in one aggregation over one scan of each table."""
+    entries = [
+        quality.delivery_entries(t["deliveries"], gold=True), *quality.silver_entries(t["matches"], t["wickets"]), *quality.register_entries(t["registry"], t["people"]),
+        *quality.gold_entries(t["batting"], t["bowling"], t["summary"]), *quality.split_entries(facts, parts),
+    ]
+    checks = (*quality.SILVER, *quality.REGISTER, *quality.GOLD, *quality.SPLIT)
+    return quality.run_checks([quality.fused_results(entries, checks)], "check").drop("run_id", "checked_at", "sample_failure_json")
+
+
+_REGISTRY_SQL = "v_r AS (SELECT 'id' || (buyer * 4 + i) AS id FROM m, (SELECT unnest([0, 1, 2, 3]) AS i))"
+_PEOPLE_SQL = "v_p AS (SELECT 'id' || (c_custkey * 4 + i) AS id FROM customer, (SELECT unnest([0, 1, 2, 3]) AS i){})"
+
+
+@query(_check_sql(f"v_d AS (SELECT * FROM d), v_m AS (SELECT * FROM m), v_w AS (SELECT * FROM d WHERE fallen = 1), v_b AS (SELECT * FROM bat), v_o AS (SELECT * FROM bowl), v_t AS (SELECT * FROM tm), v_x AS (SELECT * FROM m), {_REGISTRY_SQL}, {_PEOPLE_SQL.format('')}"))
 def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layer checks on the workload tables."""
-    lake = demo_lake(spark, sf_dir)
-    matches, balls = lake.load(MATCHES), lake.load(DELIVERIES)
-    stats = gold.batting_stats(balls), gold.bowling_stats(balls), gold.team_match_summary(balls)
-    facts = docs.match_facts(matches)
-    parts = list(segments.split_segments(facts, segments.DEFAULT_FOCUS).values())
-    checks = [
-        *quality.silver_checks(matches, balls, lake.load(WICKETS)),
-        *quality.gold_checks(balls, *stats),
-        quality.check_split(facts, parts, "serving_split_complete", "gold_ai_match_facts"),
-    ]
-    return quality.run_checks(checks, "check").drop("run_id", "checked_at", "sample_failure_json")
+    t = _check_tables(spark, sf_dir)
+    facts = docs.match_facts(t["matches"])
+    return _all_checks(t, facts, list(segments.split_segments(facts, segments.DEFAULT_FOCUS).values()))
+
+
+@query(_check_sql(f"""v_d AS (SELECT * FROM d UNION ALL BY NAME SELECT * REPLACE (-1 AS total_runs) FROM d WHERE k % 5 = 0),
+v_m AS (SELECT * FROM m WHERE k % 7 <> 0 UNION ALL SELECT * FROM m WHERE k % 11 = 0), v_w AS (SELECT * FROM d WHERE fallen = 1 AND k % 3 <> 0),
+v_b AS (SELECT * REPLACE (balls_faced + 1 AS balls_faced, runs + 1 AS runs) FROM bat WHERE season <> '1996'), v_o AS (SELECT * FROM bowl WHERE season <> '1995'),
+v_t AS (SELECT * FROM tm WHERE season <> '1997'), v_x AS (SELECT * FROM m WHERE league_name IS NOT NULL), {_REGISTRY_SQL}, {_PEOPLE_SQL.format(' WHERE c_custkey % 2 = 0')}"""))
+def dq_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same checks on tables that break every one of them."""
+    t = _check_tables(spark, sf_dir)
+    key = F.col("match_id").cast("bigint")
+    matches = t["matches"]
+    wrong = t | {
+        "deliveries": t["deliveries"].unionByName(t["deliveries"].where((key % 5 == 0) & F.col("delivery_index").isNotNull()).withColumn("total_runs", F.lit(-1))),
+        "matches": matches.where(key % 7 != 0).unionByName(matches.where(key % 11 == 0)),
+        "wickets": t["wickets"].where(key % 3 != 0),
+        "batting": t["batting"].where("season <> '1996'").withColumns({"balls_faced": F.col("balls_faced") + 1, "runs": F.col("runs") + 1}),
+        "bowling": t["bowling"].where("season <> '1995'"),
+        "summary": t["summary"].where("season <> '1997'"),
+        "people": t["people"].where(F.floor(F.substring("identifier", 3, 20).cast("bigint") / 4) % 2 == 0),
+    }
+    facts = docs.match_facts(wrong["matches"])
+    return _all_checks(wrong, facts, [docs.match_facts(matches).where("league_name IS NOT NULL")])
+
+
+_GATE_SQL = "SELECT '{}' AS tables, count(*) FILTER (severity = 'CRITICAL' AND status = 'FAIL') AS critical_failed, count(*) FILTER (severity = 'CRITICAL' AND status = 'FAIL') > 0 AS blocked FROM ({})"
+
+
+@query(f"{_GATE_SQL.format('sound', ORACLES['dq_results'])} UNION ALL {_GATE_SQL.format('broken', ORACLES['dq_failures'])}")
+def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gate says of sound tables and of broken ones."""
+    said = lambda name, build: quality.verdict(build(spark, sf_dir)).select(F.lit(name).alias("tables"), "critical_failed", "blocked")
+    return said("sound", dq_results).unionByName(said("broken", dq_failures))
 
 
 @query(f"""

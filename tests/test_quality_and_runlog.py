@@ -4,6 +4,7 @@ import datetime
 
 import pytest
 from helpers import ball, dicts, innings, match, parsed
+from pyspark.sql import functions as F
 
 from scorebook.operators import documents as docs
 from scorebook.operators import gold, quality, runlog
@@ -57,6 +58,40 @@ def test_layer_checks_and_gate(spark):
         quality.gate(twice, "silver")
 
 
+def test_checks_in_one_pass_equal_single_ones(spark, tmp_path):
+    games = [match(innings("A", [ball(runs=i), ball(wickets=[{"kind": "lbw"}]), ball("A2", runs=1)]), season=s) for i, s in enumerate(["2024", "2024", "2023", None])]
+    rows = parsed(spark, *[(f"{i}.json", g) for i, g in enumerate([*games, match()])])
+    matches, balls = docs.build_matches(rows), docs.build_deliveries(rows)
+    wickets = docs.build_wickets(balls)
+    registry = docs.build_person_registry(rows)
+    people = spark.createDataFrame([("id-a1",), (None,)], "identifier string")
+    some = lambda df, *ids: df.where(F.col("match_id").isin(*ids))
+    bad_balls = balls.unionByName(some(balls, "1").withColumn("total_runs", F.lit(-3))).unionByName(some(balls, "2").withColumn("match_id", F.lit(None).cast("string")))
+    bad_matches = some(matches, "0", "1", "3").unionByName(some(matches, "0"))
+    for number, (m, d, w, p) in enumerate([(matches, balls, wickets, people), (bad_matches, bad_balls, some(wickets, "0", "2"), people), (matches.limit(0), balls.limit(0), wickets.limit(0), people.limit(0))]):
+        tables = {"m": m, "d": d, "w": w, "b": gold.batting_stats(balls), "o": gold.bowling_stats(balls.where("season = '2024'")), "t": gold.team_match_summary(balls), "r": registry, "p": p}
+        for name, df in tables.items():
+            df.write.parquet(f"{tmp_path}/{number}{name}")
+        m, d, w, b, o, t, r, p = (spark.read.schema(df.schema).parquet(f"{tmp_path}/{number}{name}") for name, df in tables.items())
+        facts = docs.match_facts(m)
+        single = [
+            *quality.silver_checks(m, d, w), quality.check_reference(r, p.withColumnRenamed("identifier", "person_id"), ["person_id"], "silver_register_ids_known", "silver_player_registry"),
+            *quality.gold_checks(d, b, o, t), quality.check_split(facts, [facts.where("season = '2024'")], "serving_split_complete", "gold_ai_match_facts"),
+        ]
+        entries = [quality.delivery_entries(d, gold=True), *quality.silver_entries(m, w), *quality.register_entries(r, p), *quality.gold_entries(b, o, t)]
+        checks = (*quality.SILVER, *quality.REGISTER, *quality.GOLD, *quality.SPLIT)
+        fused = quality.fused_results([*entries, *quality.split_entries(facts, [facts.where("season = '2024'")])], checks)
+        got, want = dicts(fused), dicts(quality.run_checks(single, "r").drop("run_id", "checked_at"))
+        assert got == want
+        if number == 1:
+            assert sum(x["status"] == "FAIL" for x in got) == len(checks)
+            assert quality.verdict(fused).first()["critical_failed"] == 4
+        alone = quality.fused_results([quality.season_entries(d), *quality.gold_entries(b, o, t)], quality.GOLD)
+        assert dicts(alone) == [x for x in want if x["check_name"].startswith("gold_")]
+    plan = quality.fused_results(entries, checks)._jdf.queryExecution().optimizedPlan().toString()
+    assert all(plan.count(f"{tmp_path}/2{name}") <= 1 for name in tables) and plan.count("Relation [") == 8
+
+
 AUDIT = "run_id string, task_name string, status string, recorded_at timestamp, duration_seconds double, input_count bigint, output_count bigint, inserted_count bigint, updated_count bigint"
 
 
