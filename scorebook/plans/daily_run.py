@@ -447,8 +447,6 @@ def refresh_gold(lake: Lake, run: Run, touched: list[dict[str, object]], renewed
 def split_tables(lake: Lake, run: Run, focus: DataFrame | list[str], touched: list[dict[str, object]]) -> None:
     """Focus and other tables of the three cards, for the touched seasons."""
     with _task(lake, run, "split_segments") as counts:
-        if run.focus_match == "normalised" and isinstance(focus, DataFrame):
-            focus = [row["league_name"] for row in focus.collect()]
         for name in CARDS:
             for segment, rows in segments.split_segments(in_partitions(lake.load(name), touched), focus, run.focus_match).items():
                 lake.replace_partitions(f"{name}_{segment}", rows, ["season"], touched, reads_itself=False)

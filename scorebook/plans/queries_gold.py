@@ -271,3 +271,24 @@ def latest_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last row per key on the conversation table."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.length("text").cast("bigint").alias("n"))
     return latest_by_key(turns, ["conv_id"], [F.col("turn").desc(), F.col("role").asc()])
+
+
+_NORMAL = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
+
+
+@query(f"""
+WITH c AS (SELECT p_name || ' #' || p_partkey % 40 AS shown, min(p_size) AS priority FROM part GROUP BY 1),
+e AS (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) || ' ' || p_partkey % 400 || ' Cup' WHEN p_partkey % 5 > 0 THEN split_part(p_name, ' ', 2) || '-' || p_partkey % 40 END AS event FROM part),
+n AS (SELECT DISTINCT event, {_NORMAL.format('event')} AS x FROM e WHERE event IS NOT NULL),
+h AS (SELECT n.event, arg_min(c.shown, (c.priority, c.shown)) AS hit FROM n JOIN c
+  ON contains(n.x, {_NORMAL.format('c.shown')}) OR contains({_NORMAL.format('c.shown')}, n.x) GROUP BY n.event)
+SELECT p_partkey, coalesce(h.hit, e.event, 'Unknown') AS bucket, h.hit IS NOT NULL AS is_focus FROM e LEFT JOIN h ON h.event = e.event
+""")
+def bucket_by_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names against a table of configured names that contain them or are contained, the first by priority."""
+    part, key = table(spark, sf_dir, "part"), F.col("p_partkey")
+    config = part.groupBy(F.concat("p_name", F.lit(" #"), key % 40).alias("league_name")).agg(F.min("p_size").alias("priority"))
+    full = F.concat(F.upper("p_name"), F.lit(" "), key % 400, F.lit(" Cup"))
+    short = F.when(key % 5 > 0, F.concat(F.element_at(F.split("p_name", " "), 2), F.lit("-"), key % 40))
+    named = part.select("p_partkey", F.when(key % 2 == 0, full).otherwise(short).alias("league_name"))
+    return segments.bucket_by_table(named, config).drop("league_name")

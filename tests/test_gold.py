@@ -7,6 +7,7 @@ from helpers import ball, dicts, innings, match, parsed
 from pyspark.sql import functions as F
 from test_documents import G1
 
+from scorebook.functions import names
 from scorebook.functions.names import DEFAULT_FOCUS
 from scorebook.operators import documents as docs
 from scorebook.operators import gold, segments
@@ -156,3 +157,31 @@ def test_default_dimensions(spark):
     assert dicts(segments.ensure_dimensions(bare)) == [{"league_name": "Big Bash League", "league_group": "Big Bash", "gender": "unknown"}]
     full = bare.withColumns({"league_group": F.lit("g"), "gender": F.lit("f")})
     assert dicts(segments.ensure_dimensions(full))[0]["league_group"] == "g"
+
+
+def test_names_by_table_equal_names_by_list(spark):
+    """The same answer as the list compared one by one, in both directions, with ties, odd names and priority."""
+    rng = random.Random(5)
+    parts = ["cup", "League", "of", "the", "Big-Bash", "T20", "a", "x", "Ünion", "2024"]
+    name = lambda: " ".join(rng.choice(parts) for _ in range(rng.randrange(1, 4)))
+    config = list(dict.fromkeys(name() for _ in range(60))) + ["cup!", "CUP", "??"]
+    events = [name() for _ in range(120)] + ["", None, "!!", "a", "cu", "cup", "qqq"]
+    order = {shown: i for i, shown in enumerate(config)}
+    listed = [shown for shown in config if shown != "??"]  # a name without letters or digits matches nothing in the table form
+    df = spark.createDataFrame([(i, e, "k") for i, e in enumerate(events)], "id int, league_name string, wanted string")
+    table = spark.createDataFrame([(n, order[n]) for n in config], "league_name string, priority int")
+    by_list = df.select("id", names.competition_bucket(F.col("league_name"), listed).alias("f")).select("id", "f.bucket", "f.is_focus")
+    by_table = segments.bucket_by_table(df, table)
+    assert by_table.columns == ["id", "league_name", "wanted", "bucket", "is_focus"]
+    got = {r["id"]: (r["bucket"], r["is_focus"]) for r in dicts(by_table)}
+    assert got == {r["id"]: (r["bucket"], r["is_focus"]) for r in dicts(by_list)} and sum(f for _, f in got.values()) > 50
+    labelled = {r["id"]: r["league_segment"] == segments.FOCUS for r in dicts(segments.with_segment(df, table, match="normalised"))}
+    assert labelled == {i: f for i, (_, f) in got.items()}
+    assert dicts(segments.bucket_by_table(df, table.limit(0)).where("is_focus")) == [] and segments.bucket_by_table(df.limit(0), table).count() == 0
+
+
+def test_many_configured_names(spark):
+    config = spark.range(10_000).select(F.concat(F.lit("the common league "), F.col("id")).alias("league_name"))
+    df = spark.createDataFrame([(1, "The Common League 777 (men)"), (2, "league 99999"), (3, "common"), (4, "league 999")], "id int, league_name string")
+    got = {r["id"]: (r["bucket"], r["is_focus"]) for r in dicts(segments.bucket_by_table(df, config))}
+    assert got == {1: ("the common league 7", True), 2: ("league 99999", False), 3: ("the common league 0", True), 4: ("the common league 999", True)}
