@@ -11,12 +11,14 @@ from scorebook.functions import names
 from scorebook.operators import documents as docs
 from scorebook.operators import upsert
 from scorebook.plans import daily_run
+from scorebook.plans import oracle as sql
 from scorebook.plans.queries_runs import _KEY, _delivered
 from scorebook.plans.registry import ORACLES, query
-from scorebook.plans.workload import demo_lake, table, write_archives
+from scorebook.plans.workload import demo_lake, table, write_archives, write_files
 from scorebook.session import shared_dir
 from scorebook.sources import archives, files
 from scorebook.sources.tables import Lake
+from scorebook.streaming.ingest import ingest_stream, stream_batch
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -24,18 +26,34 @@ def _folder(spark: SparkSession, name: str) -> str:
 
 
 @query("""
-SELECT CAST(page_id % 64 AS VARCHAR) AS bucket, count(*) AS lines, CAST(sum(page_id) AS BIGINT) AS total FROM pages GROUP BY 1
+SELECT page_id, sha256(html) AS sha256, CAST(length(html) AS BIGINT) AS n_chars, page_id || '.html' AS file_name FROM pages
 """)
 def file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages listed in files of many lines; each file is one value, cut into its lines again."""
+    """Every page as a file of its own in hashed folders, scanned whole: name, digest and length of each."""
     folder = _folder(spark, "files")
-    page = F.col("page_id")
-    listed = table(spark, sf_dir, "pages").select((page % 64).alias("bucket"), page.cast("string").alias("value"))
-    listed.repartition("bucket").write.partitionBy("bucket").text(folder)
-    scanned = files.read_documents(spark, folder)
-    bucket = F.regexp_extract("source_path", "bucket=([0-9]+)", 1).alias("bucket")
-    lines = scanned.select(bucket, F.explode(F.array_remove(F.split("raw_json", "\n"), "")).alias("page_id"))
-    return lines.groupBy("bucket").agg(F.count("*").alias("lines"), F.sum(F.col("page_id").cast("bigint")).alias("total"))
+    write_files(table(spark, sf_dir, "pages").select(F.concat("page_id", F.lit(".html")).alias("name"), F.col("html").alias("text")), folder)
+    scanned = files.read_documents(spark, f"{folder}/*")
+    name = F.element_at(F.split("source_path", "/"), -1)
+    return scanned.select(
+        F.regexp_extract(name, "^([0-9]+)", 1).cast("bigint").alias("page_id"), F.sha2("raw_json", 256).alias("sha256"),
+        F.length("raw_json").cast("bigint").alias("n_chars"), name.alias("file_name"),
+    )
+
+
+@query(f"""
+{sql.with_(sql.BALLS)}
+SELECT m.match_id, 1::BIGINT AS revision, count(d.match_id) AS balls, coalesce(sum(d.total_runs), 0)::BIGINT AS runs FROM m LEFT JOIN d ON d.match_id = m.match_id GROUP BY m.match_id
+""")
+def stream_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All match documents through the stream in bounded batches, the first one handed over again: the facts of one whole run."""
+    base = _folder(spark, "stream")
+    texts = demo_lake(spark, sf_dir).load("documents").select("source_path", "raw_json")
+    texts.repartition(4, "source_path").write.parquet(f"{base}/landing")
+    lake = Lake(spark, f"{base}/lake")
+    ingest_stream(lake, f"{base}/landing", f"{base}/checkpoint", max_files=2, form="parquet", buckets=2).awaitTermination()
+    stream_batch(lake, f"{base}/checkpoint", "stream", {})(texts.limit(0), 0)
+    balls = lake.load(daily_run.DELIVERIES).groupBy("match_id").agg(F.count("batter").alias("balls"), F.coalesce(F.sum("total_runs"), F.lit(0)).cast("bigint").alias("runs"))
+    return lake.load(daily_run.RAW).select("match_id", F.col("source_revision").cast("bigint").alias("revision")).join(balls, "match_id")
 
 
 @query("""

@@ -244,3 +244,27 @@ def write_archives(texts: DataFrame, folder: str, limit: int = 8 << 20) -> None:
             yield store()
 
     texts.select("member", "text").mapInArrow(pack, "path string").write.mode("overwrite").parquet(f"{folder}/_packed")
+
+
+def write_files(texts: DataFrame, folder: str) -> None:
+    """Write ``(name, text)`` rows as a file each below ``folder``, in sub-folders by a hash of the name.
+
+    The number of sub-folders follows the number of files: about a thousand in each. A repeated task writes the same files.
+    """
+    local = "/" + folder.removeprefix("file:").lstrip("/") if folder.startswith(("file:", "/")) else None
+    shards = max(1, texts.count() // 1000)
+
+    def put(batches):
+        filesystem, base = (fs.LocalFileSystem(), local) if local else fs.FileSystem.from_uri(folder)
+        made = set()
+        for batch in batches:
+            for name, text, shard in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if shard not in made:
+                    filesystem.create_dir(f"{base}/{shard:05d}", recursive=True)
+                    made.add(shard)
+                with filesystem.open_output_stream(f"{base}/{shard:05d}/{name}") as sink:
+                    sink.write(text.encode())
+            yield pa.RecordBatch.from_pydict({"files": [batch.num_rows]})
+
+    rows = texts.select("name", "text", F.pmod(F.xxhash64("name"), F.lit(shards)).cast("int").alias("shard"))
+    rows.mapInArrow(put, "files bigint").agg(F.sum("files")).collect()

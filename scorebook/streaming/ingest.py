@@ -12,22 +12,33 @@ from scorebook.plans.daily_run import Run, run_lake
 from scorebook.sources.tables import Lake
 
 
+#: Shape of the rows in files of documents.
+ROWS = "source_path string, raw_json string"
+LEDGER = "stream_log"
+_LEDGER = "stream string, checkpoint string, batch_id bigint, run_id string, committed_at timestamp"
+
+
 def stream_documents(
     spark: SparkSession,
     folder: str,
     checkpoint: str,
     handle: Callable[[DataFrame, int], None],
     max_files: int | None = None,
+    form: str = "text",
 ) -> StreamingQuery:
     """Hand every file not seen before to ``handle(batch, batch_id)`` and stop when none is left.
 
-    The checkpoint remembers the files. A batch may be handed over twice after a failure; upserting by
-    content hash makes the second time a no-op.
+    ``form`` ``text``: a file is a document. ``parquet``: a file holds many (``source_path``, ``raw_json``). A batch has at
+    most ``max_files`` files. The checkpoint remembers the files. A batch may be handed over twice after a failure.
     """
-    reader = spark.readStream.format("text").option("wholetext", True)
+    reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    files = reader.load(folder).select(F.col("_metadata.file_path").alias("source_path"), F.col("value").alias("raw_json"))
+    if form == "parquet":
+        files = reader.schema(ROWS).parquet(folder)
+    else:
+        texts = reader.format("text").option("wholetext", True).load(folder)
+        files = texts.select(F.col("_metadata.file_path").alias("source_path"), F.col("value").alias("raw_json"))
     return (
         files.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
@@ -36,9 +47,26 @@ def stream_documents(
     )
 
 
-def ingest_stream(lake: Lake, folder: str, checkpoint: str, name: str = "stream", **options: object) -> StreamingQuery:
-    """Run the whole refresh for each batch of new files."""
+def stream_batch(lake: Lake, checkpoint: str, name: str, options: dict[str, object]) -> Callable[[DataFrame, int], None]:
+    """What is done with a batch: the whole refresh, and then a row in the ledger.
+
+    A batch that the ledger has for this checkpoint is done already and skipped. One whose run broke off before that row is
+    run again under the same run id, which completes it.
+    """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        run_lake(lake, Run(run_id=f"{name}-{batch_id}", **options), batch)
+        done = lake.load_or_empty(LEDGER, _LEDGER).where((F.col("stream") == name) & (F.col("checkpoint") == checkpoint) & (F.col("batch_id") == batch_id))
+        if not done.isEmpty():
+            return
+        run_id = f"{name}-{batch_id}"
+        run_lake(lake, Run(run_id=run_id, **options), batch)
+        values = [F.lit(name).alias("stream"), F.lit(checkpoint).alias("checkpoint"), F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(run_id).alias("run_id")]
+        lake.append(LEDGER, lake.spark.range(0, 1, 1, 1).select(*values, F.current_timestamp().alias("committed_at")))
 
-    return stream_documents(lake.spark, folder, checkpoint, handle)
+    return handle
+
+
+def ingest_stream(
+    lake: Lake, folder: str, checkpoint: str, name: str = "stream", max_files: int | None = None, form: str = "text", **options: object
+) -> StreamingQuery:
+    """Run the whole refresh for each batch of new files; ``options`` are those of ``Run``."""
+    return stream_documents(lake.spark, folder, checkpoint, stream_batch(lake, checkpoint, name, options), max_files, form)

@@ -11,7 +11,7 @@ from test_documents import G1
 from scorebook.operators import gold, quality, runlog
 from scorebook.plans import daily_run as dr
 from scorebook.sources.tables import Lake
-from scorebook.streaming.ingest import ingest_stream, stream_documents
+from scorebook.streaming.ingest import ingest_stream, stream_batch, stream_documents
 
 FIRST = [
     ("101.json", G1),
@@ -180,6 +180,23 @@ def test_stream_runs_the_refresh(spark, lake, tmp_path):
     assert [(r["run_id"], r["input_count"]) for r in dicts(ingest, "run_id")] == [("stream-0", 2)]
 
 
+def test_a_replayed_batch_is_skipped_and_a_broken_one_completed(spark, lake, tmp_path, monkeypatch):
+    checkpoint = f"{tmp_path}/checkpoint"
+    handle = stream_batch(lake, checkpoint, "s", {"buckets": 4})
+    with monkeypatch.context() as patch:
+        patch.setattr(dr, "build_facts", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            handle(documents(spark, *FIRST[:2]), 0)
+    assert not lake.exists("stream_log")
+    handle(documents(spark, *FIRST[:2]), 0)
+    assert rows(lake, dr.MATCHES, "match_id") == ["Row(match_id='101')", "Row(match_id='102')"]
+    handle(documents(spark, FIRST[2]), 0)  # the ledger has the batch: what is handed over now is not looked at
+    assert lake.load(dr.RAW).count() == 2
+    assert [(r["stream"], r["batch_id"], r["run_id"]) for r in dicts(lake.load("stream_log"))] == [("s", 0, "s-0")]
+    stream_batch(lake, f"{tmp_path}/other", "s", {"buckets": 4})(documents(spark, FIRST[2]), 0)
+    assert lake.load(dr.RAW).count() == 3
+
+
 def test_stream_takes_new_files_only(spark, tmp_path):
     folder, seen = tmp_path / "landing", []
     folder.mkdir()
