@@ -195,15 +195,15 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
     bitmaps are the built side of the join, so the texts move once and are not sorted.
     """
     kept, lost = fresh(docs, "kept_text"), fresh(docs, "n_dropped")
-    right = bitmaps.select(
-        F.col("doc_id").alias("__doc"), F.col("mark").alias("__mark"), F.col("n_dropped").alias("__lost"), F.col("keep_bitmap").alias("__bits"),
-    ).hint("shuffle_hash")
-    text = whole(docs[text_col])
-    joined = docs.join(right, docs[id_col].cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64(text) == F.col("__mark")), "left")
-    cut = _kept(F.when(F.col("__bits").isNotNull(), text), F.col("__bits"))
+    packed = fresh(docs, "packed")
+    # One column of a fresh name, so that no column of the table can be mistaken for one of the bitmaps.
+    right = bitmaps.select(F.struct(F.col("doc_id").alias("doc"), "mark", F.col("n_dropped").alias("lost"), F.col("keep_bitmap").alias("bits")).alias(packed)).hint("shuffle_hash")
+    text, found = whole(F.col(f"`{text_col}`")), lambda name: F.col(f"{packed}.{name}")
+    joined = docs.join(right, F.col(f"`{id_col}`").cast("long").eqNullSafe(found("doc")) & (F.xxhash64(text) == found("mark")), "left")
+    cut = _kept(F.when(found("bits").isNotNull(), text), found("bits"))
     small_batches(docs)
     return joined.select(
-        *[docs[f"`{name}`"] for name in docs.columns], F.coalesce(cut, text).alias(kept), F.coalesce(F.col("__lost"), F.lit(0)).cast("long").alias(lost)
+        *[F.col(f"`{name}`") for name in docs.columns], F.coalesce(cut, text).alias(kept), F.coalesce(found("lost"), F.lit(0)).cast("long").alias(lost)
     )
 
 

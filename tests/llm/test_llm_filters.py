@@ -216,3 +216,12 @@ def test_line_key_matches_contract():
     assert line_dedup.line_key("ÀÀÀÀÀÀÀÀÀÀÀÀÀÀÀÀÀÀÀ".encode(), 20) is None
     assert line_dedup.line_key("ÀÀÀÀÀÀÀÀÀÀÀÀÀÀÀÀÀÀÀÀ".encode(), 20) is not None
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_lines_of_a_table_with_clashing_names(spark):
+    rows = [(i, f"a line that many documents share\nown {i}", "s") for i in range(5)]
+    table = docs(spark, rows).withColumns({name: F.lit(1) for name in ("__doc", "__mark", "__lost", "__bits", "packed", "bits", "doc", "kept_text", "N_Dropped", "mark", "pos", "lo")})
+    out = line_dedup.apply_bitmaps(table, line_dedup.keep_bitmaps(table))
+    assert out.columns == [*table.columns, "_kept_text", "_n_dropped"]
+    assert {r["doc_id"]: (r["_kept_text"], r["_n_dropped"]) for r in out.collect()} == {i: (t if i == 4 else f"own {i}", int(i != 4)) for i, t, _ in rows}
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(table).collect()} == {i: t if i == 4 else f"own {i}" for i, t, _ in rows}
