@@ -13,6 +13,7 @@ After that every pair of classes in a bucket is either in one group or was compa
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 from scorebook.llm.common import Scratch, small_batches, whole
 from scorebook.llm.graph import components
 
-#: Registers, as bands of rows. At a similarity of 0.85, a pair shares no band with a probability of 8e-7.
-BANDS, ROWS = 24, 5
+#: Registers of a signature, and the largest probability that two sets just similar enough share no band of theirs.
+REGISTERS, MISS = 120, 1e-4
 #: Shingles in one block of a bucket.
 BLOCK = 400_000
 
@@ -69,7 +70,7 @@ def superminhash(sets: list[np.ndarray], registers: int) -> np.ndarray:
     sizes = np.array([len(s) for s in sets])
     elements, owner = np.concatenate(sets) if n else np.empty(0, np.uint64), np.repeat(np.arange(n), sizes)
     best = np.full(n * registers, np.iinfo(np.uint64).max, np.uint64)
-    order = None
+    order, small = None, np.uint8 if registers <= 256 else np.uint16
     for step in range(registers):
         if not len(elements):
             break
@@ -79,13 +80,13 @@ def superminhash(sets: list[np.ndarray], registers: int) -> np.ndarray:
             place = pick
         else:
             if order is None:  # the permutations after the first step
-                order = np.tile(np.arange(registers, dtype=np.uint8), (len(elements), 1))
+                order = np.tile(np.arange(registers, dtype=small), (len(elements), 1))
                 rows = np.arange(len(elements))
-                order[rows, first], order[:, 0] = 0, first.astype(np.uint8)
+                order[rows, first], order[:, 0] = 0, first.astype(small)
             rows = np.arange(len(elements))
             place = order[rows, pick].astype(np.int64)
             order[rows, pick] = order[:, step]
-            order[:, step] = place.astype(np.uint8)
+            order[:, step] = place.astype(small)
         value = (np.uint64(step) << np.uint64(53)) | (draw >> np.uint64(11))
         np.minimum.at(best, owner * registers + place, value)
         # A later offer is at least step + 1: sets whose registers are all below that are done.
@@ -100,30 +101,46 @@ def superminhash(sets: list[np.ndarray], registers: int) -> np.ndarray:
     return best.reshape(n, registers)
 
 
-def _bands(signatures: np.ndarray) -> np.ndarray:
-    parts = signatures.reshape(len(signatures), BANDS, ROWS)
-    out = np.tile(np.arange(BANDS, dtype=np.uint64), (len(signatures), 1))
-    for i in range(ROWS):
+def cut_bands(percent: int, registers: int = REGISTERS, miss: float = MISS) -> tuple[int, int]:
+    """Bands and rows for a similarity of ``percent``: the longest bands that miss a pair with at most ``miss``.
+
+    Longer bands let fewer sets meet by chance. Registers are added where even bands of one row would miss more.
+    """
+    if not 0 < percent <= 100:
+        raise ValueError("percent is above 0 and at most 100")
+    missed = lambda bands, rows: (1 - (percent / 100) ** rows) ** bands
+    for rows in range(5, 0, -1):
+        if missed(registers // rows, rows) <= miss:
+            return registers // rows, rows
+    return math.ceil(math.log(miss) / math.log(1 - percent / 100)), 1
+
+
+def _bands(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    parts = signatures.reshape(len(signatures), bands, rows)
+    out = np.tile(np.arange(bands, dtype=np.uint64), (len(signatures), 1))
+    for i in range(rows):
         out = mix(out * _STEP + parts[:, :, i])
     return out.view(np.int64)
 
 
-def _profile(width: int) -> Callable:
+def _profile(width: int, percent: int) -> Callable:
+    n_bands, n_rows = cut_bands(percent)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
             sets = [shingles(text.as_py(), known, width) for text in batch.column(2)]
-            bands = np.zeros((len(sets), BANDS), np.int64)
+            bands = np.zeros((len(sets), n_bands), np.int64)
             start = 0
             while start < len(sets):  # as many sets at once as have about 100,000 shingles
                 end, total = start, 0
                 while end < len(sets) and (end == start or total + len(sets[end]) <= 100_000):
                     total += len(sets[end])
                     end += 1
-                bands[start:end] = _bands(superminhash(sets[start:end], BANDS * ROWS))
+                bands[start:end] = _bands(superminhash(sets[start:end], n_bands * n_rows), n_bands, n_rows)
                 start = end
             nodes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-            listed = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * BANDS, pa.int32()), pa.array(bands.ravel()))
+            listed = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * n_bands, pa.int32()), pa.array(bands.ravel()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()), listed],
                 names=["doc_id", "mark", "n_shingles", "node", "bands"],
@@ -183,19 +200,20 @@ def _check(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``mark`` for every row of ``docs``.
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``mark``, ``component`` for every row of ``docs``.
 
     Texts are linked if 100 * intersection >= ``percent`` * union of their sets of ``width``-word shingles, A-Z
     lower-cased; a shorter text is one shingle. ``component_id`` is the smallest id reachable over links, ``kept`` says
     that it is the row's own. Null, empty and blank texts have no shingles and are linked with nothing. Rows that repeat
     an id are separate texts with the same id. A row with a null id takes part; its component is the smallest id
-    that is not null, and it is kept only if there is none. ``mark`` is a hash of the text.
+    that is not null, and it is kept only if there is none. ``mark`` is a hash of the text, ``component``
+    names the group also where no member has an id; null without shingles. Other columns are dropped.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
     small_batches(docs)
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(whole(text_col)).alias("mark"), whole(text_col).cast("binary").alias("text"))
-    profiles = scratch.keep(keyed.mapInArrow(_profile(width), "doc_id long, mark long, n_shingles long, node binary, bands array<long>"), "profiles")
+    profiles = scratch.keep(keyed.mapInArrow(_profile(width, percent), "doc_id long, mark long, n_shingles long, node binary, bands array<long>"), "profiles")
     classes = scratch.keep(
         profiles.filter("node is not null")
         .groupBy("node")
@@ -250,7 +268,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     nodes = classes.select("node", "low").join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     lows = nodes.groupBy("root").agg(F.min("low").alias("component_id"))
-    final = nodes.select("node", "root").join(lows, "root").select("node", "component_id")
+    final = nodes.select("node", "root").join(lows, "root").select("node", "component_id", F.lower(F.hex("root")).alias("component"))
     out = profiles.select("doc_id", "n_shingles", "node", "mark").join(final, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "mark")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "mark", "component")

@@ -52,7 +52,7 @@ def family(rng, start, size, most):
     return rows
 
 
-@pytest.mark.parametrize(("width", "percent"), [(3, 85), (5, 80)])
+@pytest.mark.parametrize(("width", "percent"), [(3, 85), (5, 80), (3, 50)])
 def test_near_duplicates_equal_brute_force(spark, width, percent):
     rng = random.Random(width)
     rows = awkward() + family(rng, 100, 60, 9) + family(rng, 300, 40, 3) + [(500 + i, "the same text again and again", "s") for i in range(30)]
@@ -112,3 +112,18 @@ def test_components_of_long_paths_and_stars(spark):
     edges = spark.createDataFrame([(name(a), name(b)) for a, b in pairs], "a binary, b binary").repartition(7)
     found = {int.from_bytes(r.node, "big"): int.from_bytes(r.root, "big") for r in graph.components(edges, Scratch(spark, "test")).collect()}
     assert found == {i: 0 for i in range(201)} | {1000 + i: 1000 for i in range(300)}
+
+
+@pytest.mark.parametrize("percent", [2, 20, 50, 70, 80, 85, 100])
+def test_bands_miss_no_more_than_stated(percent):
+    bands, rows = near_dedup.cut_bands(percent)
+    assert (1 - (percent / 100) ** rows) ** bands <= near_dedup.MISS
+    sets = [near_dedup.mix(np.arange(n, dtype=np.uint64) + np.uint64(77 * n)) for n in (1, 5, 40)]
+    signatures = near_dedup.superminhash(sets, bands * rows)
+    assert signatures.shape == (3, bands * rows) and (signatures == near_dedup.superminhash(sets[:2], bands * rows)[:1]).all(axis=1)[0]
+
+
+def test_bands_refuse_no_similarity():
+    for percent in (0, 101):
+        with pytest.raises(ValueError):
+            near_dedup.cut_bands(percent)
