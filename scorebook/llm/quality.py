@@ -56,12 +56,8 @@ def _covered(p: Column) -> Column:
     )
 
 
-def _few_positions(k: Column, repeated: Column) -> Column:
-    return F.filter(F.sequence(F.lit(0), F.size(k) - 1), lambda i: F.array_contains(repeated, F.get(k, i)))
-
-
-def _many_positions(k: Column) -> Column:
-    """By sorting keys with their positions: for texts in which many different windows repeat."""
+def _positions(k: Column) -> Column:
+    """Sorted positions of the keys that occur twice or more, by sorting keys with their positions."""
     pairs = F.sort_array(F.transform(k, lambda x, i: F.struct(x.alias("k"), i.alias("i"))))
     key = lambda s, j: F.get(s, j)["k"]
     equal = lambda s: F.filter(
@@ -73,22 +69,13 @@ def _many_positions(k: Column) -> Column:
 def _repeated(tokens: Column) -> Column:
     """Words inside windows of three words that the text holds twice or more, the first included.
 
-    Windows are compared by 64-bit hashes. The two ways to find their positions give the same; which one is
-    cheaper depends on how many different windows repeat.
+    Windows are compared by 64-bit hashes; a text without repeated windows, the usual case, is not sorted.
     """
     none = F.lit(0).cast("long")
     keys = lambda h: F.transform(
         F.sequence(F.lit(0), F.size(h) - 3), lambda i: F.xxhash64(F.get(h, i), F.get(h, i + 1), F.get(h, i + 2))
     )
-    twice = lambda s: F.array_distinct(
-        F.filter(s, lambda x, j: x == F.get(s, j - 1))
-    )
-    found = lambda k: F.when(F.size(F.array_distinct(k)) == F.size(k), none).otherwise(
-        let(
-            let(F.sort_array(k), twice),
-            lambda r: let(F.when(F.size(r) <= 16, _few_positions(k, r)).otherwise(_many_positions(k)), _covered),
-        )
-    )
+    found = lambda k: F.when(F.size(F.array_distinct(k)) == F.size(k), none).otherwise(let(_positions(k), _covered))
     hashed = lambda h: F.when(F.size(h) < 3, none).otherwise(let(keys(h), found))
     return let(F.transform(tokens, lambda w: F.xxhash64(w)), hashed)
 

@@ -50,6 +50,27 @@ def op2_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
     return chat.summary(chat.conversations(chat.chain(rows)))
 
 
+@query(r"""
+WITH RECURSIVE t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+q AS (SELECT *, CASE WHEN n > 1 THEN n - CASE WHEN n % 3 = 0 THEN 2 ELSE 1 END END AS parent, length(text) % 7 AS score FROM t),
+l AS (SELECT conv_id, n FROM q WHERE (conv_id, n) NOT IN (SELECT conv_id, parent FROM q WHERE parent IS NOT NULL)),
+p AS (SELECT conv_id, n AS leaf, n FROM l UNION ALL SELECT p.conv_id, p.leaf, q.parent FROM p JOIN q ON q.conv_id = p.conv_id AND q.n = p.n WHERE q.parent IS NOT NULL),
+e AS (SELECT p.leaf, q.*, regexp_replace(q.text, '<(\\*)\|', '<\1\\|', 'g') AS body FROM p JOIN q ON q.conv_id = p.conv_id AND q.n = p.n),
+b AS (SELECT conv_id, leaf, sum(score)::DOUBLE AS score, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+  sum(12 + length(role) + 1 + length(body) + 10 + 1)::BIGINT AS formatted_chars FROM e GROUP BY conv_id, leaf),
+r AS (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, leaf))::INTEGER AS branch FROM b)
+SELECT conv_id, branch, score, n_turns, turns_sha256, formatted_chars FROM r WHERE branch <= 2
+""")
+def op2_branches(spark: SparkSession, folder: str) -> DataFrame:
+    """Trees with real branches: each third message answers the one before the last; the two best branches of each tree."""
+    linear = chat.chain(table(spark, folder, "conversations"))
+    back = F.when(F.col("msg") % 3 == 0, 2).otherwise(1)
+    trees = linear.withColumns({"parent": F.when(F.col("msg") > 1, F.col("msg") - back), "score": F.length(F.coalesce("text", F.lit(""))) % 7})
+    formatted = chat.conversations(trees, per_tree=2)
+    digests = chat.summary(formatted.withColumn("tree", F.struct("tree", "branch", "score")))
+    return digests.select("conv_id.tree", "conv_id.branch", "conv_id.score", "n_turns", "turns_sha256", "formatted_chars").withColumnRenamed("tree", "conv_id")
+
+
 @query(rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT rid, doc_id, text, list_filter(string_split_regex(text, '{_SPACES}+'), lambda x: x <> '') AS w,
@@ -64,14 +85,28 @@ a AS (SELECT m.*, coalesce(c.n_repeat_words, 0) AS n_repeat_words FROM m LEFT JO
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM a)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
   CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
-  NOT (base_failed OR 10 * n_symbols > n_words OR 100 * n_upper > 30 * word_chars OR 10 * n_shouts > n_words
-       OR 100 * n_dup_lines > 50 * n_lines OR word_chars > 20 * n_words) AS kept
-FROM b
+  failed::INTEGER AS failed, failed = 0 AS kept
+FROM (SELECT *, (n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT + 8 * (100 * n_upper > 30 * word_chars)::INT
+  + 16 * (10 * n_shouts > n_words)::INT + 32 * (100 * n_dup_lines > 50 * n_lines)::INT + 64 * (word_chars > 20 * n_words)::INT AS failed FROM b)
 """)
 def op5_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.apply_policy(quality.ledger(table(spark, folder, "documents")))
     base = F.col("failed").bitwiseAND(F.lit(quality.mask("base"))) != 0
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept")
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "failed", "kept")
+
+
+@query(f"""
+WITH l AS ({ORACLES["op5_quality_ledger"].replace("SELECT doc_id, CAST(n_words", "SELECT CAST(n_words")}),
+p AS (SELECT * FROM (VALUES ('base', 3), ('v1', 39), ('v2', 127)) AS p(policy, bits)),
+r AS (SELECT * FROM (VALUES ('few_words', 1), ('repeated_words', 2), ('symbols', 4), ('upper_case', 8), ('shouting', 16), ('duplicate_lines', 32), ('long_words', 64)) AS r(rule, one))
+SELECT policy, rule, count(*) FILTER (WHERE failed & one <> 0) AS failing, count(*) FILTER (WHERE failed & bits = one) AS alone,
+  count(*) FILTER (WHERE failed & bits = 0) AS kept, count(*) FILTER (WHERE failed & (bits - one) = 0) AS kept_without,
+  coalesce(bit_or(CASE WHEN failed & one <> 0 THEN failed & bits ELSE 0 END), 0)::INTEGER AS together
+FROM p JOIN r ON bits & one <> 0, l GROUP BY policy, rule
+""")
+def op5_ablations(spark: SparkSession, folder: str) -> DataFrame:
+    """What each rule of each policy decides, from the failure bits alone."""
+    return quality.ablations(quality.ledger(table(spark, folder, "documents")))
 
 
 @query(rf"""
@@ -106,7 +141,7 @@ SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(o.doc_id) AS com
 FROM d JOIN r ON r.a = d.rid JOIN d o ON o.rid = r.b LEFT JOIN n ON n.rid = d.rid GROUP BY d.rid, d.doc_id
 """)
 def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, folder, "documents"), width=3, percent=85).drop("mark")
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), width=3, percent=85).drop("mark", "component")
 
 
 @query(rf"""
