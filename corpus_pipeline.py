@@ -6,35 +6,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorebook.llm import line_dedup, mixing, near_dedup, packing, quality
-from scorebook.llm.common import Scratch
+from scorebook.llm.common import WORD, Scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass every rule of the current policy, as they are."""
+    """Documents that pass every rule of the current policy, as they are; columns other than those of documents are dropped."""
     return quality.keep_good(docs.select(*COLUMNS))
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in three documents stay in the largest id only; ``n_chars`` follows the text, no document goes."""
+    """Lines found in three documents stay in the largest id only; ``n_chars`` follows the text, no document goes, other columns do."""
     cut = line_dedup.dedup_lines(docs.select(*COLUMNS))
     return cut.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long"))
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, 0.8): the smallest id.
+    """One document of each group of near duplicates (five words, 0.8): the smallest id, then the smallest hash of a text.
 
-    Rows that repeat this id with the same text are one document and stay together.
+    Exactly one row of a group stays, also if rows repeat an id, or id and text, or have no id; of rows equal in both, the one
+    with the smallest other columns. Texts without words are in no group, and all their rows stay. Columns other than those
+    of documents are dropped.
     """
-    own = docs.select(*COLUMNS)
-    found = near_dedup.near_duplicates(own).filter("kept").select(F.col("doc_id").alias("__kept"), F.col("mark").alias("__mark")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__kept")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__mark"))
-    return own.join(found.hint("shuffle_hash"), same).select(*COLUMNS)
+    mark = F.xxhash64(F.coalesce("text", F.lit("")))
+    keys = lambda: [F.xxhash64(F.lit(i), F.col("doc_id").isNull(), "doc_id", "mark").alias(f"k{i}") for i in (1, 2)]
+    found = near_dedup.near_duplicates(docs.select(*COLUMNS)).filter("component IS NOT NULL")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("kept")
+    chosen = found.groupBy("component").agg(first).select("kept.doc_id", "kept.mark").select(*keys())
+    # Equal rows meet before they are dealt out, so that one repeated row is no hot key.
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    own = docs.select(*COLUMNS).filter(worded).withColumn("mark", mark).select(*keys(), F.struct(*COLUMNS).alias("row"))
+    one_each = own.groupBy("k1", "k2").agg(F.min("row").alias("row"))
+    grouped = one_each.join(chosen.hint("shuffle_hash"), ["k1", "k2"], "left_semi").select("row.*")
+    return grouped.unionByName(docs.select(*COLUMNS).filter(~worded))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated or left out so that sources reach their weights."""
+    """Documents repeated or left out so that sources reach their weights, with the columns of documents."""
     return mixing.mix(docs.select(*COLUMNS))
 
 

@@ -6,10 +6,11 @@ from collections import Counter
 
 import pytest
 from compare import connect, difference
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from scorebook.llm import mixing, near_dedup, packing, quality, queries
+from scorebook.llm import mixing, packing, quality, queries
 from test_llm_filters import awkward, brute_lines, docs
 from test_llm_near import brute
 
@@ -23,7 +24,7 @@ def test_query_equals_sql(spark, name):
 
 def test_all_operators_are_registered():
     names = contract.queries()
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 14)}
 
 
 def test_stages_equal_a_plain_version(spark):
@@ -69,4 +70,21 @@ def test_stages_on_awkward_and_empty_rows(spark):
             out.collect()
         corpus_pipeline.quality_rules(spark, table, FOLDER).collect()
         corpus_pipeline.sequence_packing(spark, table, FOLDER).collect()
-    assert near_dedup.BANDS * near_dedup.ROWS == 120
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Groups of null ids only, near-equal texts under one id, rows repeated whole, and texts without words."""
+    base = [f"w{i}" for i in range(60)]
+    near = lambda i: " ".join([*base, f"x{i}"])
+    other = " ".join(f"v{i}" for i in range(40))
+    rows = [
+        (None, other, "a"), (None, other + " z", "a"), (None, other, "b"),
+        (7, near(1), "a"), (7, near(2), "a"), (7, near(1), "c"), (9, near(3), "a"), (None, near(4), "a"),
+        (11, "alone in the world", "a"), (12, "", "a"), (12, "", "a"), (12, None, "b"), (None, " \n", "c"),
+    ]
+    for extra in (None, "__kept", "mark", "component"):
+        table = docs(spark, rows) if extra is None else docs(spark, rows).withColumn(extra, F.lit(1))
+        out = [(r.doc_id, r.text, r.source) for r in corpus_pipeline.near_deduplication(spark, table, FOLDER).collect()]
+        kept = Counter((i, (t or "").split()[:1] and t.split()[0]) for i, t, _ in out if (t or "").strip())
+        assert kept == Counter({(None, "v0"): 1, (7, "w0"): 1, (11, "alone"): 1})
+        assert Counter(r for r in out if not (r[1] or "").strip()) == Counter({(12, "", "a"): 2, (12, None, "b"): 1, (None, " \n", "c"): 1})
