@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scorebook.llm.common import fresh, let
+
 DAY = 86_400
 
 #: Actions of list entries by what wins when one entry has several at the same moment.
@@ -84,19 +86,20 @@ def judge(captures: DataFrame, log: DataFrame, url_col: str = "url", at_col: str
 
     ``log`` has ``entry`` (a domain, or host/path prefix), ``action`` (see ``ACTIONS``) and ``at``; times are epoch seconds. The most
     specific active entry decides; without one these are null and the capture is not blocked. So it is for a null or
-    unreadable URL and a null time. Equal pairs of URL and time are judged once. Columns of ``captures`` named like the
-    new ones must be renamed first; they raise ``ValueError``.
+    unreadable URL and a null time. Equal pairs of URL and time are judged once. A new column whose name ``captures`` has
+    already gets underscores in front.
     """
-    clash = {"host", "entry", "action", "listed_at", "blocked"} & {name.lower() for name in captures.columns}
-    if clash:
-        raise ValueError(f"columns already there: {sorted(clash)}")
-    pairs = captures.select(F.col(url_col).alias("__url"), F.col(at_col).cast("long").alias("__at")).filter("__url is not null and __at is not null").distinct()
-    keys = pairs.select("__url", F.col("__at").alias("at"), F.posexplode(entries_for(F.col("__url"))).alias("place", "entry"))
+    names = {name: fresh(captures, name) for name in ("host", "entry", "action", "listed_at", "blocked", "judged")}
+    url, at = F.col(f"`{url_col}`"), F.col(f"`{at_col}`").cast("long")
+    pairs = captures.select(url.alias("url"), at.alias("at")).filter("url is not null and at is not null").distinct()
+    keys = pairs.select("url", "at", F.posexplode(entries_for(F.col("url"))).alias("place", "entry"))
     found = keys.join(active(keys, intervals(log)), ["entry", "at"])
-    best = found.groupBy("__url", F.col("at").alias("__at")).agg(F.min(F.struct("place", "entry", "action", "valid_from")).alias("best"))
-    joined = captures.join(best, (captures[url_col] == best["__url"]) & (captures[at_col].cast("long") == best["__at"]), "left")
+    best = found.groupBy("url", "at").agg(F.min(F.struct("place", "entry", "action", "valid_from")).alias("best"))
+    judged = best.select(F.struct("url", "at", "best").alias(names["judged"]))
+    of = lambda name: F.col(f"{names['judged']}.{name}")
+    joined = captures.join(judged, (url == of("url")) & (at == of("at")), "left")
     return joined.select(
-        *[captures[f"`{name}`"] for name in captures.columns],
-        host_of(captures[url_col]).alias("host"), F.col("best.entry").alias("entry"), F.col("best.action").alias("action"),
-        F.col("best.valid_from").alias("listed_at"), F.coalesce(F.col("best.action") == "block", F.lit(False)).alias("blocked"),
+        *[F.col(f"`{name}`") for name in captures.columns],
+        host_of(url).alias(names["host"]), of("best.entry").alias(names["entry"]), of("best.action").alias(names["action"]),
+        of("best.valid_from").alias(names["listed_at"]), F.coalesce(of("best.action") == "block", F.lit(False)).alias(names["blocked"]),
     )
