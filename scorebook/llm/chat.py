@@ -1,9 +1,9 @@
 """Conversations from reply trees.
 
 Messages point to the message they answer. Iterative self-joins double the reach of these pointers, so that a thread of
-depth d takes log2(d) joins; from each leaf the pointers then enumerate all its ancestors. Branches are ranked within
-their tree by the sum of their scores, and each chosen path becomes one conversation of marked turns, with the spans a
-language model is trained on. Only ids and scores travel while paths are built; texts join the chosen paths once.
+depth d takes log2(d) joins, and add up scores on the way. Branches are ranked within their tree by the sum of their scores;
+from the chosen leaves the pointers enumerate the path to the root, and each path becomes one conversation of marked turns,
+with the spans a language model is trained on. Only numbers travel while paths are built; texts join the chosen paths once.
 """
 
 from __future__ import annotations
@@ -95,31 +95,42 @@ def _summary(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFra
     return pd.DataFrame(rows, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256"])
 
 
-def paths(links: DataFrame, scratch: Scratch) -> DataFrame:
-    """``leaf``, ``node``, ``up`` (steps above the leaf) for every node of every root-to-leaf path.
+def climb(nodes: DataFrame, scratch: Scratch) -> tuple[list[DataFrame], DataFrame]:
+    """Doubled pointers, and ``node``, ``total`` (sum of scores from it to its root) of every node that has a root.
 
-    ``links`` has one row per ``node`` with its ``parent``; a null, unknown or own parent makes a root. Paths through a
-    cycle have no root and are left out.
+    ``nodes`` has one row per ``node`` with its ``parent`` (null: a root, as is one that is not a node or is the node itself)
+    and ``score``. Pointer table k has ``node`` and its ancestor ``to`` 2^k steps above, where there is one. The sum up to that
+    ancestor grows with the pointer; a node whose pointer reaches a root has its total. Nodes that run into a cycle have none.
     """
-    nodes = scratch.keep(links.select("node", "parent"), "nodes")
     known = nodes.select(F.col("node").alias("parent"))
-    jump = scratch.keep(nodes.filter("parent != node").join(known, "parent", "left_semi").select("node", F.col("parent").alias("to")), "jump")
-    total = nodes.count()
-    jumps = []
-    while not jump.isEmpty():
-        jumps.append(jump)
-        if 1 << len(jumps) > 2 * total:  # longer than any path: these nodes run into a cycle
+    real = nodes.filter("parent != node").join(known, "parent", "left_semi")
+    steps = scratch.keep(real.select("node", F.col("parent").alias("to"), F.col("score").alias("sum")), "steps")
+    totals = scratch.keep(nodes.join(steps.select("node"), "node", "left_anti").select("node", F.col("score").alias("total")), "roots")
+    count, pointers = nodes.count(), []
+    while not steps.isEmpty():
+        pointers.append(steps)
+        done = totals.select(F.col("node").alias("to"), F.col("total").alias("beyond"))
+        reached = steps.join(done, "to").select("node", (F.col("sum") + F.col("beyond")).alias("total"))
+        totals_next = scratch.keep(totals.unionByName(reached), "totals")
+        if 1 << len(pointers) > 2 * count:  # longer than any path: what is left runs into a cycle
+            totals = totals_next
             break
-        further = jump.select(F.col("node").alias("to"), F.col("to").alias("beyond"))
-        jump = scratch.keep(jump.join(further, "to").select("node", F.col("beyond").alias("to")), "jump")
-    parents = jumps[0].select(F.col("to").alias("node")).distinct() if jumps else None
-    leaves = nodes.select("node") if parents is None else nodes.select("node").join(parents, "node", "left_anti")
-    if jumps and 1 << len(jumps) > 2 * total:
-        leaves = leaves.join(jumps.pop().select("node"), "node", "left_anti")
-    reached = leaves.select(F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up"))
-    for power in reversed(range(len(jumps))):
-        over = reached.join(jumps[power], "node").select("leaf", F.col("to").alias("node"), (F.col("up") + (1 << power)).alias("up"))
-        reached = scratch.keep(reached.unionByName(over), "reached")
+        further = steps.select(F.col("node").alias("to"), F.col("to").alias("over"), F.col("sum").alias("more"))
+        steps = scratch.keep(steps.join(further, "to").select("node", F.col("over").alias("to"), (F.col("sum") + F.col("more")).alias("sum")), "steps")
+        scratch.drop(totals)
+        totals = totals_next
+    return pointers, totals
+
+
+def ancestors(chosen: DataFrame, pointers: list[DataFrame], scratch: Scratch) -> DataFrame:
+    """``leaf``, ``node``, ``up`` (steps above the leaf) for every node from each ``leaf`` of ``chosen`` to its root."""
+    reached = chosen.select("leaf", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("up"))
+    for power in reversed(range(len(pointers))):
+        over = reached.join(pointers[power], "node").select("leaf", F.col("to").alias("node"), (F.col("up") + (1 << power)).alias("up"))
+        wider = scratch.keep(reached.unionByName(over), "reached")
+        if hasattr(reached, "_scratch_path"):
+            scratch.drop(reached)
+        reached = wider
     return reached
 
 
@@ -127,27 +138,42 @@ def conversations(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     """Formatted branches: ``tree``, ``branch``, ``score``, ``text``, ``loss_starts``, ``loss_ends``.
 
     ``messages`` has ``tree``, ``msg``, ``parent`` (a ``msg`` of the tree), ``role``, ``text``, ``score``; further columns are
-    not read. The ``per_tree`` branches of a tree with the largest sum of scores are formatted, ties by the leaf. A null
-    text or role is empty, a null score 0; a null ``tree`` is a tree of its own. Of rows that repeat a message id the
-    first by parent, score, role and text counts. Branches with a cycle are left out. No messages give no rows.
+    not read. The ``per_tree`` branches of a tree with the largest sum of scores are formatted, ties by the leaf's ``msg``.
+    A null text or role is empty, a null score 0; a null ``tree`` is a tree of its own. Of rows that repeat a message id the
+    first by parent, score, role and hash of the text counts. Branches with a cycle are left out. No messages give no rows.
+
+    Branches are ranked before they are enumerated, so a thread with an answer at each of its d steps costs d log d small
+    rows, and only the chosen branches meet their texts. A conversation is one value: its texts together have to fit into a
+    task, as must any row; there is no limit below that, and nothing is cut.
     """
     scratch = Scratch(messages.sparkSession, "chat")
     small_batches(messages)
+    key = lambda name: F.unhex(digest("tree", name))
     given = messages.select(
-        digest("tree", "msg").alias("node"), F.when(F.col("parent").isNotNull(), digest("tree", "parent")).alias("parent"), F.col("tree"),
+        key("msg").alias("key"), F.when(F.col("parent").isNotNull(), key("parent")).alias("above"), "tree", "msg",
         F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"), whole("role").alias("role"), whole("text").alias("text"),
     )
-    first = F.min(F.struct("parent", "score", "role", "text", "tree")).alias("m")
-    kept = scratch.keep(given.groupBy("node").agg(first).select("node", "m.*"), "messages")
-    found = paths(kept.select("node", "parent"), scratch)
-    narrow = kept.select("node", "tree", "score")
-    scored = found.join(narrow, "node").groupBy("leaf").agg(F.sum("score").alias("score"), F.first("tree").alias("tree"))
-    place = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("score"), "leaf"))
-    chosen = scored.withColumn("branch", place).filter(F.col("branch") <= per_tree)
-    picked = found.join(chosen, "leaf").select("leaf", "node", "up", "tree", "branch", "score")
-    turns = picked.join(kept.select("node", "role", "text"), "node")
+    # Rows get a number in a written table; from here on it stands for the message.
+    rows = scratch.keep(given.withColumn("node", F.monotonically_increasing_id()), "messages")
+    first = F.min(F.struct("above", "score", "role", F.xxhash64("text").alias("mark"), "node", "tree", "msg")).alias("m")
+    kept = rows.groupBy("key").agg(first).select("key", "m.above", "m.score", "m.node", "m.tree", "m.msg")
+    kept = scratch.keep(kept, "kept")
+    parents = kept.select(F.col("key").alias("above"), F.col("node").alias("parent"))
+    nodes = scratch.keep(kept.join(parents, "above", "left").select("node", "parent", "score"), "nodes")
+    pointers, totals = climb(nodes, scratch)
+    answered = nodes.filter("parent != node").select(F.col("parent").alias("node")).distinct()
+    leaves = totals.join(answered, "node", "left_anti")
+    ranked = leaves.join(kept.select("node", "tree", "msg"), "node")
+    place = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "msg"))
+    best = ranked.withColumn("branch", place).filter(F.col("branch") <= per_tree)
+    chosen = scratch.keep(best.select(F.col("node").alias("leaf"), "tree", "branch", F.col("total").alias("score")), "chosen")
+    scratch.drop(kept, nodes, totals)
+    found = ancestors(chosen, pointers, scratch)
+    if pointers:
+        scratch.drop(*pointers)
+    turns = rows.select("node", "role", "text").join(found.hint("shuffle_hash"), "node")
     parts = F.sort_array(F.collect_list(F.struct((-F.col("up")).alias("at"), "role", "text")))
-    listed = turns.groupBy("leaf").agg(*[F.first(c).alias(c) for c in ("tree", "branch", "score")], parts.alias("turns"))
+    listed = turns.groupBy("leaf").agg(parts.alias("turns")).join(chosen, "leaf")
     rendered = listed.select("tree", "branch", "score", _render("turns").alias("r"))
     return rendered.select("tree", "branch", "score", "r.text", F.col("r.starts").alias("loss_starts"), F.col("r.ends").alias("loss_ends"))
 
