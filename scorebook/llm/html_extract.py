@@ -11,7 +11,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,6 +24,7 @@ from scorebook.llm.common import small_batches, whole
 #: Weights of the classifier, as log-odds for content.
 WEIGHTS = {
     "base": -0.5,  # every block
+    "no_main": -0.95,  # the page has no article or main element: a block needs evidence of its own, or neighbours with it
     "main": 3.0,  # inside the article or main element
     "outside_main": -3.0,  # the page has such an element and the block is not in it
     "container": -12.0,  # inside a menu, header, footer, sidebar, form and the like
@@ -34,12 +35,14 @@ WEIGHTS = {
     "links_in_main": -2.0,  # the same inside the main element
     "heading": 0.8,  # a heading
 }
-#: Capacity between neighbouring blocks, divided by 1 + their distance in the tree.
-ADJACENT, RELATED = 1.0, 0.8
+#: Capacity between siblings that follow each other, its share for each further step in the tree, and between the blocks of
+#: one parent element that others stand between. Of the order of the weights, so that clear neighbours decide about a
+#: block without clear evidence; two such neighbours together stay below the evidence of an element's name or kind.
+ADJACENT, DECAY, RELATED = 1.5, 0.2, 0.5
 
 # Element names by their role in a page.
-HIDDEN = frozenset("script style noscript template iframe svg canvas object head title textarea select option button math audio video".split())
-RAW = frozenset("script style textarea title noscript iframe template".split())
+HIDDEN = frozenset("script style template iframe svg head title textarea select option button audio video".split())
+RAW = frozenset("script style textarea title iframe template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINERS = frozenset("nav footer aside form menu dialog fieldset".split())
 BLOCKS = frozenset(
@@ -76,6 +79,7 @@ class Node:
     container: bool
     named: bool
     hidden: bool
+    block: Node | None = None  # the nearest block element, itself included
 
 
 @dataclass
@@ -97,31 +101,40 @@ def _open(tag: str, attributes: str, up: Node) -> Node:
                 role = value.strip().lower()
                 named |= role in ROLES
             else:
-                named |= not NAMES.isdisjoint(_NAME.findall(_CAMEL.sub(" ", value).lower()))
+                words = NAMES.intersection(_NAME.findall(_CAMEL.sub(" ", value).lower()))
+                # Inside the article a header is its own, as the element is.
+                named |= bool(words - {"header"} if up.main else words)
     main = up.main or tag in ("article", "main") or role in ("main", "article")
     if tag in ("html", "body", "article", "main"):
         named = False  # the name tells of the page, not of a part of it
     # A header belongs to the article it stands in; elsewhere it is the page's.
     container = tag in CONTAINERS or (tag == "header" and not up.main)
-    return Node(tag, up, up.depth + 1, main, up.container or container, up.named or named, up.hidden or tag in HIDDEN)
+    node = Node(tag, up, up.depth + 1, main, up.container or container, up.named or named, up.hidden or tag in HIDDEN, up.block)
+    if tag in BLOCKS:
+        node.block = node
+    return node
 
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks of a page in order, with references decoded and white space joined; broken markup is read leniently."""
     node = Node("", None, 0, False, False, False, False)
+    node.block = node
     out: list[Block] = []
     now: Block | None = None
     links, at, end = 0, 0, len(page)
+    opened: Counter[str] = Counter()  # elements open now, so that a stray end is known without a walk
+
+    def leave() -> None:
+        nonlocal node
+        opened[node.tag] -= 1
+        node = node.parent
 
     def say(text: str) -> None:
         nonlocal now
         if node.hidden or not text:
             return
         if now is None:
-            holder = node
-            while holder.parent is not None and holder.tag not in BLOCKS:
-                holder = holder.parent
-            now = Block(holder, holder.tag in HEADINGS)
+            now = Block(node.block, node.block.tag in HEADINGS)
             out.append(now)
         text = html.unescape(text) if "&" in text else text
         now.parts.append(text)
@@ -142,48 +155,43 @@ def blocks_of(page: str) -> list[Block]:
         if tag in BLOCKS:
             now = None
         if closing:
-            up = node
-            while up.parent is not None and up.tag != tag:
-                up = up.parent
-            if up.parent is not None:
-                node = up.parent
+            if opened[tag]:
+                while node.tag != tag:
+                    leave()
+                leave()
             if tag == "a" and links:
                 links -= 1
             continue
         if tag == "br":
             say(" ")
-        if tag in VOID or attributes.endswith("/"):
+        if tag in VOID:  # a slash at the end closes no other element
             continue
         if tag in RAW:
             close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = close.end() if close else end
             continue
         if tag in BLOCKS:
-            while node.tag == "p" or (node.tag and node.tag not in BLOCKS and _inside_p(node)):
-                node = node.parent
+            if node.block.tag == "p":  # a new block ends an open paragraph
+                paragraph = node.block
+                while node is not paragraph:
+                    leave()
+                leave()
             if tag in _CLOSES and node.tag in _CLOSES[tag]:
-                node = node.parent
+                leave()
         links += tag == "a"
         if tag in BLOCKS:
             links = 0
         node = _open(tag, attributes, node)
+        opened[tag] += 1
     for block in out:
         block.text = _SPACE.sub(" ", "".join(block.parts)).strip()
     return [block for block in out if block.text]
 
 
-def _inside_p(node: Node) -> bool:
-    """Whether only inline elements stand between ``node`` and an open paragraph, which a new block ends."""
-    while node.parent is not None and node.tag not in BLOCKS:
-        node = node.parent
-    return node.tag == "p"
-
-
 def log_odds(block: Block, has_main: bool) -> float:
     node, text = block.node, block.text
     total = WEIGHTS["base"] + WEIGHTS["words"] * min(60, text.count(" ") + 1)
-    if has_main:
-        total += WEIGHTS["main"] if node.main else WEIGHTS["outside_main"]
+    total += WEIGHTS["no_main" if not has_main else "main" if node.main else "outside_main"]
     total += WEIGHTS["container"] * node.container + WEIGHTS["named"] * node.named + WEIGHTS["heading"] * block.heading
     total += WEIGHTS["links_in_main" if node.main else "links"] * min(1.0, block.linked / len(text))
     return total + WEIGHTS["sentence"] * (text[-1] in ".!?…\"'”»")
@@ -207,10 +215,10 @@ def edges_of(blocks: list[Block]) -> list[tuple[int, int, float]]:
     last: dict[int, int] = {}
     for i, block in enumerate(blocks):
         if i:
-            out.append((i - 1, i, ADJACENT / (1 + tree_distance(blocks[i - 1].node, block.node))))
+            out.append((i - 1, i, ADJACENT * DECAY ** max(0, tree_distance(blocks[i - 1].node, block.node) - 2)))
         parent = id(block.node.parent)
         if parent in last and last[parent] != i - 1:
-            out.append((last[parent], i, RELATED / 3))
+            out.append((last[parent], i, RELATED))
         last[parent] = i
     return out
 

@@ -58,6 +58,59 @@ def test_a_weak_block_follows_its_neighbours():
     assert html_extract.min_cut([-3.0, 0.5, -3.0], [(0, 1, 1.0), (1, 2, 1.0)]) == [False, False, False]
 
 
+PAGES = "/root/testdata/sf0.01/pages.parquet"
+
+
+def _labels(page):
+    blocks = html_extract.blocks_of(page)
+    odds = [html_extract.log_odds(b, any(x.node.main for x in blocks)) for b in blocks]
+    edges = html_extract.edges_of(blocks)
+    return blocks, odds, edges, html_extract.min_cut(odds, edges)
+
+
+def test_the_cut_decides_on_pages_without_an_article(spark):
+    """The given pages with their article and their advert unnamed: the cut is mostly right where the signs are not."""
+    pages = [r.html for r in spark.read.parquet(PAGES).select("html").collect()]
+    right, signs, moved = 0, 0, 0
+    for page in pages:
+        truth = html_extract.extract(page)
+        bare = page.replace("<article>", "<div>").replace("</article>", "</div>").replace(' class="ad"', "")
+        blocks, odds, _, labels = _labels(bare)
+        join = lambda kept, blocks=blocks: "\n".join(b.text for b, stays in zip(blocks, kept, strict=True) if stays)
+        right += join(labels) == truth
+        signs += join([x > 0 for x in odds]) == truth
+        moved += sum(stays != (x > 0) for stays, x in zip(labels, odds, strict=True))
+    assert right >= 0.85 * len(pages) and signs <= 0.3 * len(pages) and moved >= len(pages)
+
+
+def test_min_cut_is_minimal_on_real_blocks(spark):
+    pages = [r.html for r in spark.read.parquet(PAGES).select("html").collect()]
+    tried = 0
+    for page in pages:
+        for variant in (page, page.replace("<article>", "<div>").replace("</article>", "</div>").replace(' class="ad"', "")):
+            blocks, odds, edges, labels = _labels(variant)
+            if len(blocks) > 11:
+                continue
+            tried += 1
+            energy = lambda x, odds=odds, edges=edges: sum(abs(o) for o, c in zip(odds, x, strict=True) if c != (o > 0)) + sum(w for i, j, w in edges if x[i] != x[j])
+            assert energy(labels) <= min(map(energy, itertools.product((False, True), repeat=len(blocks)))) + 1e-9
+    assert tried >= 20
+
+
+def test_extract_drops_no_text_of_the_article():
+    page = """<body><nav><a href=/a/>menu</a></nav><article><div class="header"><h1>The title</h1></div><p>Sum <math><mi>x</mi>=<mn>2</mn></math> holds.</p>
+    <p>Seen <object>here</object><canvas>or there</canvas> <noscript>always</noscript>.<p><a href=x/>linked</a> and plain text.<div/>inside<p>last</article><footer>end</footer>"""
+    assert html_extract.extract(page) == "The title\nSum x=2 holds.\nSeen hereor there always.\nlinked and plain text.\ninside\nlast"
+
+
+def test_deep_and_broken_markup_is_linear():
+    pages = ["<div>" * 20_000 + "</span>x" * 5_000 + "</div>" * 20_000, "<span>" * 20_000 + "<p>x" * 5_000, "<p>" + "<b>" * 10_000 + "x<br>" * 5_000 + "</i>" * 10_000, "<div>x" * 10_000 + "</div>y" * 10_000]
+    began = time.process_time()
+    for page in pages:
+        html_extract.extract(page)
+    assert time.process_time() - began < 20
+
+
 def test_main_text_of_awkward_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (2, "v", ""), (3, "w", "<p>" + "long sentence here. " * 50_000)]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")
@@ -105,6 +158,51 @@ def test_deep_thread(spark):
     assert [t for _, t in chat.read_back(only.text)] == [f"text {i}" for i in range(70)] and len(only.loss_starts) == 35
 
 
+def test_a_thread_with_an_answer_at_each_step(spark, monkeypatch):
+    """Only the chosen branches are enumerated, not leaves times ancestors."""
+    depth = 40
+    rows = [("t", i, i - 1 if i else None, "user", f"text {i}", 0.5, "") for i in range(depth)]
+    rows += [("t", 1000 + i, i, "assistant", f"answer {i}", float(i == 20) * 100, "") for i in range(depth)]
+    enumerated = []
+    plain = chat.ancestors
+
+    def counted(*args):
+        found = plain(*args)
+        enumerated.append(found.count())
+        return found
+
+    monkeypatch.setattr(chat, "ancestors", counted)
+    best, second = sorted(chat.conversations(spark.createDataFrame(rows, MESSAGES), per_tree=2).collect(), key=lambda r: r.branch)
+    assert [t for _, t in chat.read_back(best.text)] == [*[f"text {i}" for i in range(21)], "answer 20"] and best.score == 110.5
+    assert [t for _, t in chat.read_back(second.text)] == [*[f"text {i}" for i in range(depth)], "answer 39"] and second.score == 20
+    assert enumerated == [22 + depth + 1]
+
+
+def test_random_trees_equal_brute_force(spark):
+    rng = random.Random(8)
+    rows = []
+    for tree in range(12):
+        for msg in range(rng.randrange(1, 25)):
+            parent = rng.choice([None, msg, 999, *range(max(0, msg - 3), msg + 1), *([msg + 1] if rng.random() < 0.1 else [])])
+            rows.append((f"t{tree}", msg, parent, rng.choice(["user", "assistant"]), f"m{msg}", float(rng.randrange(4)), ""))
+    want = {}
+    for tree in {r[0] for r in rows}:
+        own = {r[1]: r for r in rows if r[0] == tree}
+        parents = {m: r[2] for m, r in own.items() if r[2] in own and r[2] != m}
+        branches = []
+        for leaf in own.keys() - set(parents.values()):
+            path, at = [leaf], leaf
+            while at in parents and len(path) <= len(own):
+                at = parents[at]
+                path.append(at)
+            if len(path) <= len(own):
+                branches.append((-sum(own[m][5] for m in path), leaf, [own[m][4] for m in reversed(path)]))
+        for n, (score, _, texts) in enumerate(sorted(branches)[:3], 1):
+            want[tree, n] = (-score, texts)
+    got = chat.conversations(spark.createDataFrame(rows, MESSAGES), per_tree=3).collect()
+    assert {(r.tree, r.branch): (r.score, [t for _, t in chat.read_back(r.text)]) for r in got} == want
+
+
 def test_chain_summary(spark):
     rows = [(1, 1, "assistant", "b<|x"), (1, 0, "user", "a"), (1, 1, "assistant", "b<|x"), (None, None, None, None), (2, 5, "assistant", None)]
     got = {r.conv_id: r for r in chat.summary(chat.conversations(chat.chain(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))).collect()}
@@ -400,8 +498,10 @@ def test_url_lists_equal_brute_force(spark):
         want = brute_verdict(r.url, r.fetched_at, log)
         assert (None if r.entry is None else (r.entry, r.action, r.listed_at)) == want, r
         assert r.blocked == (want is not None and want[1] == "block") and r.host == url_filter_host(r.url)
-    with pytest.raises(ValueError):
-        url_filter.judge(table.withColumn("Host", F.lit(1)), table)
+    clashing = table.withColumns({name: F.lit(1) for name in ("Host", "entry", "at", "url_", "best", "judged", "blocked", "__url")})
+    again = url_filter.judge(clashing, spark.createDataFrame(log, "entry string, action string, at long"))
+    assert again.columns == [*clashing.columns, "_host", "_entry", "action", "listed_at", "_blocked"]
+    assert Counter((r["url"], r["_entry"], r["_blocked"]) for r in again.collect()) == Counter((r.url, r.entry, r.blocked) for r in found)
     none = spark.createDataFrame([], "entry string, action string, at long")
     assert url_filter.judge(table, none).filter("entry is not null").count() == 0
     assert url_filter.judge(table.limit(0), none).count() == 0
