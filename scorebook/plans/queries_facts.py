@@ -11,6 +11,7 @@ from scorebook.operators import gold
 from scorebook.operators.nested import unpivot_prefix
 from scorebook.operators.upsert import latest_by_key
 from scorebook.plans import oracle as sql
+from scorebook.plans import workload
 from scorebook.plans.daily_run import DELIVERIES, MATCHES, RAW, WICKETS
 from scorebook.plans.registry import query
 from scorebook.session import materialise
@@ -19,7 +20,7 @@ from scorebook.sources import files
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return demo_lake(spark, sf_dir).load("documents").select("source_path", "raw_json")
+    return workload.texts(demo_lake(spark, sf_dir))
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:

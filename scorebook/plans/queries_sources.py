@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from scorebook.functions import names
 from scorebook.operators import documents as docs
 from scorebook.operators import upsert
-from scorebook.plans import daily_run
+from scorebook.plans import daily_run, workload
 from scorebook.plans import oracle as sql
 from scorebook.plans.queries_runs import _KEY, _delivered
 from scorebook.plans.registry import ORACLES, query
@@ -47,7 +47,7 @@ SELECT m.match_id, 1::BIGINT AS revision, count(d.match_id) AS balls, coalesce(s
 def stream_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All match documents through the stream in bounded batches, the first one handed over again: the facts of one whole run."""
     base = _folder(spark, "stream")
-    texts = demo_lake(spark, sf_dir).load("documents").select("source_path", "raw_json")
+    texts = workload.texts(demo_lake(spark, sf_dir))
     texts.repartition(4, "source_path").write.parquet(f"{base}/landing")
     lake = Lake(spark, f"{base}/lake")
     ingest_stream(lake, f"{base}/landing", f"{base}/checkpoint", max_files=2, form="parquet", buckets=2).awaitTermination()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from scorebook.operators import documents as docs
 from scorebook.operators.numbering import positions
 from scorebook.plans.daily_run import DELIVERIES, MATCHES, RAW, WICKETS
-from scorebook.session import shared_dir
+from scorebook.session import materialise, shared_dir
 from scorebook.sources.tables import Lake
 
 RUN_ID = "load-1"
@@ -48,13 +48,19 @@ def competition() -> Column:
     return named
 
 
-def matches_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with their customer and place: one row per match."""
+def played(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customer and place: one narrow row per match, as it is to be moved."""
     read = lambda name: table(spark, sf_dir, name)
-    place = read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    buyers = read("customer").join(place, F.col("c_nationkey") == F.col("n_nationkey"))
-    joined = read("orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
-    key, buyer = F.col("o_orderkey"), F.col("o_custkey")
+    place = F.broadcast(read("nation").join(F.broadcast(read("region")), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name"))
+    buyers = read("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    orders = read("orders").select(F.col("o_orderkey").alias("key"), "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
+    known = orders.join(buyers, F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
+    return known.join(place, F.col("c_nationkey") == F.col("n_nationkey")).drop("c_nationkey", "n_nationkey")
+
+
+def _heads() -> dict[str, Column]:
+    """What a document says of its match, from a row of ``played``."""
+    key, buyer = F.col("key"), F.col("o_custkey")
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     home, away = F.concat("n_name", F.lit(" A")), F.concat("n_name", F.lit(" B"))
     winner = F.when(buyer % 10 == 0, None).when(buyer % 2 == 0, home).otherwise(away)
@@ -89,46 +95,50 @@ def matches_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("venue"),
     )
     meta = F.struct(F.lit("1.1.0").alias("data_version"), day.alias("created"), F.lit(1).alias("revision"))
-    return joined.select(key.alias("key"), "n_name", meta.alias("meta"), info.alias("info"))
+    return {"meta": meta, "info": info}
 
 
-def _ball() -> Column:
-    part, supp, flag = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_returnflag")
-    hit = (F.col("l_quantity").cast("int") % 7).alias("batter")
+def _ball(item: Column, over: Column) -> Column:
+    part, supp, flag, line = item["l_partkey"], item["l_suppkey"], item["l_returnflag"], over + 1
+    hit = (item["l_quantity"].cast("int") % 7).alias("batter")
     wide = F.when((flag == "R") & (part % 10 == 0), 1)
     noball = F.when((flag == "N") & (part % 25 == 0), 1)
     legbye = F.when((flag == "A") & (part % 10 == 3), 1)
     more = F.coalesce(wide, F.lit(0)) + F.coalesce(noball, F.lit(0)) + F.coalesce(legbye, F.lit(0))
-    batter = F.concat(F.lit("P"), (supp * 7 + F.col("l_linenumber")) % 40)
+    batter = F.concat(F.lit("P"), (supp * 7 + line) % 40)
     wicket = F.struct(
         F.when(supp % 4 == 0, "run out").otherwise("caught").alias("kind"),
         batter.alias("player_out"),
         F.array(F.struct(F.concat(F.lit("P"), supp % 40).alias("name"))).alias("fielders"),
     )
     return F.struct(
-        F.concat(F.col("l_linenumber") - 1, F.lit("."), part % 6 + 1).alias("actual_delivery"),
+        F.concat(over, F.lit("."), part % 6 + 1).alias("actual_delivery"),
         batter.alias("batter"),
         F.concat(F.lit("P"), 20 + part % 60).alias("bowler"),
-        F.concat(F.lit("P"), (supp * 7 + F.col("l_linenumber") + 1) % 40).alias("non_striker"),
+        F.concat(F.lit("P"), (supp * 7 + line + 1) % 40).alias("non_striker"),
         F.struct(hit, more.alias("extras"), (hit + more).alias("total")).alias("runs"),
         F.when(more > 0, F.struct(wide.alias("wides"), noball.alias("noballs"), legbye.alias("legbyes"))).alias("extras"),
-        F.when(F.col("l_discount") == 0.1, F.array(wicket)).alias("wickets"),
+        F.when(item["l_discount"] == 0.1, F.array(wicket)).alias("wickets"),
     )
 
 
-def balls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as balls, with the innings and over they belong to."""
-    entry = F.struct("l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag", _ball().alias("ball"))
+#: The order of balls within an over, and all that a ball is made of besides its over.
+ITEM = ["l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag"]
+
+
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with the innings and over they belong to; the ball itself is made where it is written."""
     return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("key"), F.col("l_linestatus").alias("side"), (F.col("l_linenumber") - 1).alias("over"), entry.alias("entry")
+        F.col("l_orderkey").alias("key"), F.col("l_linestatus").alias("side"), (F.col("l_linenumber") - 1).alias("over"), *ITEM
     )
 
 
-def numbered_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Balls with their position in the match (``at``) and in their over (``nth``)."""
-    order = ["key", "side", "over", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag"]
-    rows = balls(spark, sf_dir).select("key", "side", "over", "entry.*")
-    return positions(rows, {"at": ["key"], "nth": ["key", "side", "over"]}, order)
+def _innings(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Items nested into overs and innings, one row for each text; moved once and narrow. A text has at most ``PART`` items."""
+    overs = rows.repartition(*by).groupBy(*by, "side", "over").agg(F.sort_array(F.collect_list(F.struct("nth", *ITEM))).alias("held"))
+    first = F.get("held", F.lit(0))["nth"].cast("int")
+    over = F.struct("over", "held", F.when(first > 0, first).alias("first"))
+    return overs.groupBy(*by, "side").agg(F.sort_array(F.collect_list(over)).alias("overs"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,39 +146,56 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every match is cut after each ``PART`` balls, so no text grows with a match; nearly all have one part. Part 0 is the
     match's document. The others continue it: they say which innings of the match theirs are, and which ball of its over
-    the first of a cut over is.
+    the first of a cut over is. Only matches of several parts need their balls numbered over ranges; the others are nested
+    from one exchange of their items, and the text is made after the last one.
     """
-    numbered = numbered_balls(spark, sf_dir).withColumn("part", F.floor(F.col("at") / PART))
-    # Groups below are those of one part at most.
-    dealt = numbered.select("key", "part", "side", "over", "nth", "ball").repartition("key", "part")
-    overs = dealt.groupBy("key", "part", "side", "over").agg(F.sort_array(F.collect_list(F.struct("nth", "ball"))).alias("held"))
-    first = F.get("held", F.lit(0))["nth"].cast("int")
-    over = F.struct("over", F.transform("held", lambda b: b["ball"]).alias("deliveries"), F.when(first > 0, first).alias("first"))
-    innings = overs.groupBy("key", "part", "side").agg(F.sort_array(F.collect_list(over)).alias("overs"))
-    sides = numbered.select("key", "side").distinct()
-    ranked = sides.withColumn("index", F.row_number().over(Window.partitionBy("key").orderBy("side")) - 1)
-    placed = innings.join(ranked, ["key", "side"]).withColumn("index", F.when(F.col("part") > 0, F.col("index")))
+    rows, matches = items(spark, sf_dir), played(spark, sf_dir)
+    # At most one key for each PART items.
+    several = materialise(rows.groupBy("key").count().where(F.col("count") > PART).select("key"), "several_parts")
+    if several.isEmpty():
+        return _texts(matches, _one_part(rows))
+    numbered = positions(rows.join(several, "key", "left_semi"), {"at": ["key"], "nth": ["key", "side", "over"]}, ["key", "side", "over", *ITEM])
+    cut = numbered.withColumn("part", F.floor(F.col("at") / PART))
+    ranked = numbered.select("key", "side").distinct().withColumn("index", F.row_number().over(Window.partitionBy("key").orderBy("side")) - 1)
+    ranked = ranked.select(F.col("key").alias("_key"), F.col("side").alias("_side"), "index")
+    placed = _innings(cut, ["key", "part"]).join(ranked, (F.col("key") == F.col("_key")) & F.col("side").eqNullSafe(F.col("_side")))
+    placed = placed.withColumn("index", F.when(F.col("part") > 0, F.col("index")))
     parts = placed.groupBy("key", "part").agg(F.sort_array(F.collect_list(F.struct("side", "overs", "index"))).alias("sides"))
-    joined = matches_wide(spark, sf_dir).join(parts, "key", "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    whole = _texts(matches.join(several, "key", "left_anti"), _one_part(rows.join(several, "key", "left_anti")))
+    return whole.unionByName(_texts(matches, parts, "inner"))
+
+
+def _one_part(rows: DataFrame) -> DataFrame:
+    nested = _innings(rows.withColumn("nth", F.lit(0).cast("long")), ["key"])
+    sides = F.struct("side", "overs", F.lit(None).cast("int").alias("index"))
+    return nested.groupBy("key").agg(F.sort_array(F.collect_list(sides)).alias("sides")).withColumn("part", F.lit(0).cast("long"))
+
+
+def _texts(matches: DataFrame, parts: DataFrame, how: str = "left") -> DataFrame:
+    """The texts of matches with their nested items."""
+    joined = matches.join(parts, "key", how).withColumn("part", F.coalesce("part", F.lit(0).cast("long")))
+
+    def over(one: Column) -> Column:
+        return F.struct(one["over"].alias("over"), F.transform(one["held"], lambda item: _ball(item, one["over"])).alias("deliveries"), one["first"].alias("first"))
 
     def shape(one: Column) -> Column:
         team = F.concat("n_name", F.when(one["side"] == "F", " A").otherwise(" B"))
-        return F.struct(team.alias("team"), one["overs"].alias("overs"), one["index"].alias("index"))
+        return F.struct(team.alias("team"), F.transform(one["overs"], over).alias("overs"), one["index"].alias("index"))
 
     shaped = F.transform(F.coalesce("sides", F.array()), shape)
     name = F.concat(F.lit("file:/landing/"), "key", F.when(F.col("part") > 0, F.concat(F.lit("-"), "part")).otherwise(""), F.lit(".json"))
-    text = F.to_json(F.struct("meta", "info", shaped.alias("innings")))
+    text = F.to_json(F.struct(*[value.alias(field) for field, value in _heads().items()], shaped.alias("innings")))
     return joined.select(name.alias("source_path"), text.alias("raw_json"), "key", "part")
 
 
-def revised_documents(raw: DataFrame) -> DataFrame:
+def revised_documents(texts: DataFrame) -> DataFrame:
     """Second delivery of the matches, by match type: changed with a higher revision (and moved to another
     season), changed with a lower one, exact copies, and matches the first delivery leaves out."""
-    text, kind = F.col("raw_json"), F.col("info.match_type")
+    text, kind = F.col("raw_json"), F.get_json_object("raw_json", "$.info.match_type")
     set_revision = lambda n: F.regexp_replace(text, '"revision":1', f'"revision":{n}')
     moved = F.regexp_replace(set_revision(2), '"season":"[0-9]{4}"', '"season":"1990"')
     changed = F.when(kind == "1-URGENT", moved).when(kind == "5-LOW", set_revision(0)).otherwise(text)
-    return raw.where(kind != "4-NOT SPECIFIED").select("source_path", changed.alias("raw_json"))
+    return texts.where(kind != "4-NOT SPECIFIED").select("source_path", changed.alias("raw_json"))
 
 
 _LAKES: dict[tuple[str, str], Lake] = {}
@@ -186,28 +213,37 @@ def demo_lake(spark: SparkSession, sf_dir: str) -> Lake:
     return _LAKES[key]
 
 
+def texts(lake: Lake) -> DataFrame:
+    """The documents of the matches: ``source_path`` and ``raw_json``."""
+    return lake.load("document_parts").where("part = 0").select("source_path", "raw_json")
+
+
+def _shaped(documents: DataFrame, run_id: str) -> DataFrame:
+    """Raw rows without their text, which stands once in the documents."""
+    return docs.shape_raw(docs.parse_documents(documents), run_id).drop("raw_json")
+
+
 def build_raw(lake: Lake, sf_dir: str) -> None:
     lake.replace("document_parts", documents(lake.spark, sf_dir))
-    parts = lake.load("document_parts")
-    lake.replace("documents", parts.where("part = 0").drop("part"))
     # A later part belongs to the match that its name begins with.
-    later = parts.where("part > 0").select("source_path", "raw_json", F.col("key").cast("string").alias("match_id_candidate"))
-    for name, texts in ((RAW, lake.load("documents").select("source_path", "raw_json")), (LATER, later)):
-        lake.replace(name, docs.shape_raw(docs.parse_documents(texts), RUN_ID))
+    later = lake.load("document_parts").where("part > 0").select("source_path", "raw_json", F.col("key").cast("string").alias("match_id_candidate"))
+    for name, held in ((RAW, texts(lake)), (LATER, later)):
+        lake.replace(name, _shaped(held, RUN_ID))
 
 
 def second_delivery(lake: Lake) -> DataFrame:
     """Raw rows of the second delivery, parsed and written once as a run does with its batch."""
     if not lake.exists(SECOND):
-        lake.replace(SECOND, docs.shape_raw(docs.parse_documents(revised_documents(lake.load(RAW))), "load-2"))
+        lake.replace(SECOND, _shaped(revised_documents(texts(lake)), "load-2"))
     return lake.load(SECOND)
 
 
 def build_silver(lake: Lake) -> None:
+    """Silver tables in the order of the raw rows; nothing reads them by season often enough to move them all for it."""
     parsed = lake.load(RAW)
-    lake.replace(MATCHES, docs.build_matches(parsed), ["season"])
-    lake.replace(DELIVERIES, docs.build_deliveries(parsed.unionByName(lake.load(LATER))), ["season"])
-    lake.replace(WICKETS, docs.build_wickets(lake.load(DELIVERIES)), ["season"])
+    lake.replace(MATCHES, docs.build_matches(parsed))
+    lake.replace(DELIVERIES, docs.build_deliveries(parsed.unionByName(lake.load(LATER))))
+    lake.replace(WICKETS, docs.build_wickets(lake.load(DELIVERIES)))
 
 
 def write_archives(texts: DataFrame, folder: str, limit: int = 8 << 20) -> None:

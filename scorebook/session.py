@@ -58,7 +58,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     target = f"{shared_dir(spark)}/scorebook/{label}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(target)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(target)
     written = spark.read.schema(df.schema).parquet(target)
     written.written_to = target
     return written

@@ -212,7 +212,7 @@ class Lake:
     def _write(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> list[str]:
         """Write rows to a new folder of the table; returns the folder of each partition in it."""
         change = f"{CHANGE}={uuid.uuid4().hex}"
-        self._writer(df, partition_by).mode("errorifexists").parquet(f"{self.path(name)}/{change}")
+        self._writer(df, partition_by).mode("errorifexists").option("compression", "zstd").parquet(f"{self.path(name)}/{change}")
         if not partition_by:
             return [change]
         files, found = self._files(), [change]

@@ -91,3 +91,15 @@ def test_positions_equal_a_plain_count(spark, ranges):
             assert [n for n, _ in held] == list(range(len(held))) and [o for _, o in held] == sorted(o for _, o in held)
     with pytest.raises(ValueError, match="leading part"):
         positions(made, {"n": ["h"]}, ["g", "h"])
+
+
+def test_texts_stand_once_and_items_move_once(spark, folder, tmp_path):
+    """Matches of one part are nested from one exchange of narrow items: no ranges, no numbering, no second copy of a text."""
+    lake = Lake(spark, f"file:{folder}/once")
+    workload.build_raw(lake, folder)
+    assert not lake.exists("documents") and "raw_json" not in lake.load(workload.RAW).columns
+    plan = workload.documents(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Repartition" in line]
+    assert len(moved) == 1 and "Window" not in plan and "actual_delivery" not in plan[plan.index("Repartition") :]
+    workload.build_silver(lake)
+    assert "raw_json" not in workload.second_delivery(lake).columns
