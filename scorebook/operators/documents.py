@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from scorebook.functions import identity, names
 from scorebook.operators.nested import Level, explode_map, explode_path
-from scorebook.operators.upsert import latest_by_key
+from scorebook.operators.upsert import latest_by_key, latest_where_repeated
 from scorebook.schemas import CORRUPT, DOCUMENT
 
 DIMS = ["league_group", "league_name", "gender", "season"]
@@ -225,7 +225,7 @@ def build_matches(parsed: DataFrame) -> DataFrame:
     """One row per match with its competition, teams, toss and outcome."""
     rows = parsed.select("match_id", *[value.alias(name) for name, value in _match_columns().items()])
     newest = [F.col(c).desc_nulls_last() for c in ("source_revision", "ingestion_timestamp", "match_record_hash")]
-    return latest_by_key(rows, ["match_id"], newest)
+    return latest_where_repeated(rows, ["match_id"], newest)
 
 
 def build_deliveries(parsed: DataFrame) -> DataFrame:

@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorebook.functions.rules import classify_revision
+from scorebook.session import materialise
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -26,6 +29,21 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") == 1).drop("_rank")
 
 
+def latest_where_repeated(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """``latest_by_key`` for wide rows of which few repeat a key: only the rows of repeated keys are moved.
+
+    The repeated keys are written first, so the planner sees their size and broadcasts them if they are few. Rows with a NULL in
+    their key are moved as well.
+    """
+    named = [F.col(name) for name in keys]
+    repeated = materialise(df.select(*keys).dropna().groupBy(*keys).count().where(F.col("count") > 1).select(*keys), "repeated_keys")
+    absent = reduce(or_, [column.isNull() for column in named])
+    if repeated.isEmpty():
+        return df.where(~absent).unionByName(latest_by_key(df.where(absent), keys, order))
+    moved = df.join(repeated, list(keys), "left_semi").unionByName(df.where(absent))
+    return df.where(~absent).join(repeated, list(keys), "left_anti").unionByName(latest_by_key(moved, keys, order)).select(*df.columns)
+
+
 def top_by_group(df: DataFrame, groups: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """First ``k`` rows of each group, with the same early per-task cut."""
     ranked = Window.partitionBy(*groups).orderBy(*order)

@@ -87,3 +87,17 @@ def test_latest_and_top_cut_before_the_exchange(spark):
         before = plan[plan.index("Exchange hashpartitioning"):]
         assert "WindowGroupLimit" in before and "Partial" in before
     assert sorted(r["id"] for r in upsert.latest_by_key(rows, ["k"], [F.col("id").desc()]).collect()) == [997, 998, 999]
+
+
+def test_latest_where_repeated_moves_only_rows_of_repeated_keys(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, *range(30)]), rng.randrange(5), n) for n in range(60)] + [(100 + n, 0, n) for n in range(40)]
+    df = spark.createDataFrame(rows, "k int, v int, n int")
+    order = [F.col("v").desc(), F.col("n").asc()]
+    expected = sorted(map(str, upsert.latest_by_key(df, ["k"], order).collect()))
+    assert sorted(map(str, upsert.latest_where_repeated(df, ["k"], order).collect())) == expected
+    once = df.where("k >= 100")
+    made = upsert.latest_where_repeated(once, ["k"], order)
+    assert sorted(map(str, made.collect())) == sorted(map(str, once.collect()))
+    wide = made._jdf.queryExecution().optimizedPlan().children().head().toString()
+    assert "Window" not in wide and "Join" not in wide
