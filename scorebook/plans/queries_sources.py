@@ -20,6 +20,9 @@ from scorebook.sources import archives, files
 from scorebook.sources.tables import Lake
 from scorebook.streaming.ingest import ingest_stream, stream_batch
 
+#: Most documents in one file of a stream.
+FILE_ROWS = 250_000
+
 
 def _folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/scorebook/{name}-{uuid.uuid4().hex}"
@@ -48,9 +51,12 @@ def stream_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All match documents through the stream in bounded batches, the first one handed over again: the facts of one whole run."""
     base = _folder(spark, "stream")
     texts = workload.texts(demo_lake(spark, sf_dir))
-    texts.repartition(4, "source_path").write.parquet(f"{base}/landing")
+    # Four files or as many as the data asks for, taken in by two batches.
+    most = min(FILE_ROWS, max(1, -(-texts.count() // 4)))
+    texts.write.option("maxRecordsPerFile", most).option("compression", "zstd").parquet(f"{base}/landing")
+    landed = spark.read.parquet(f"{base}/landing").select(F.col("_metadata.file_path").alias("file")).agg(F.count_distinct("file")).first()[0]
     lake = Lake(spark, f"{base}/lake")
-    ingest_stream(lake, f"{base}/landing", f"{base}/checkpoint", max_files=2, form="parquet", buckets=2).awaitTermination()
+    ingest_stream(lake, f"{base}/landing", f"{base}/checkpoint", max_files=-(-landed // 2), form="parquet", buckets=2).awaitTermination()
     stream_batch(lake, f"{base}/checkpoint", "stream", {})(texts.limit(0), 0)
     balls = lake.load(daily_run.DELIVERIES).groupBy("match_id").agg(F.count("batter").alias("balls"), F.coalesce(F.sum("total_runs"), F.lit(0)).cast("bigint").alias("runs"))
     return lake.load(daily_run.RAW).select("match_id", F.col("source_revision").cast("bigint").alias("revision")).join(balls, "match_id")
