@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from scorebook.operators import gold
 from scorebook.operators.numbering import positions
-from scorebook.plans import workload
+from scorebook.plans import queries_gold, queries_runs, workload  # noqa: F401  (the refresh needs the SQL of the cards)
+from scorebook.plans import queries_sources as sources
 from scorebook.sources.tables import Lake
 
 
@@ -103,3 +104,41 @@ def test_texts_stand_once_and_items_move_once(spark, folder, tmp_path):
     assert len(moved) == 1 and "Window" not in plan and "actual_delivery" not in plan[plan.index("Repartition") :]
     workload.build_silver(lake)
     assert "raw_json" not in workload.second_delivery(lake).columns
+
+
+def test_standing_rows_are_told_without_moving_any(spark):
+    for name in (workload.MATCHES, workload.DELIVERIES):
+        plan = queries_runs._standing(spark, "/root/testdata/sf0.001", name)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan
+
+
+def test_pages_stream_in_files_of_many(spark, monkeypatch):
+    """The driver lists a file for many pages, not one for each."""
+    landed = []
+    stream = queries_runs.stream_documents
+
+    def watched(session, folder, *args, **options):
+        landed.append(session.read.parquet(folder).inputFiles() if options.get("form") == "parquet" else None)
+        return stream(session, folder, *args, **options)
+
+    monkeypatch.setattr(queries_runs, "stream_documents", watched)
+    folder = "/root/testdata/sf0.001"
+    pages = spark.read.parquet(f"{folder}/pages.parquet").count()
+    assert queries_runs.stream_pages(spark, folder).count() == pages
+    assert landed[0] is not None and len(landed[0]) <= max(8, pages // 100)
+
+
+def test_matches_stream_from_files_that_follow_the_data(spark, monkeypatch):
+    """Two batches whatever the number of files: a fixed number of files would be a fixed number of tasks."""
+    seen = []
+
+    def stop(lake, folder, checkpoint, max_files, **options):
+        seen.append((len(lake.spark.read.parquet(folder).inputFiles()), max_files))
+        raise StopIteration
+
+    monkeypatch.setattr(sources, "ingest_stream", stop)
+    monkeypatch.setattr(sources, "FILE_ROWS", 10)
+    with pytest.raises(StopIteration):
+        sources.stream_matches(spark, "/root/testdata/sf0.001")
+    files, most = seen[0]
+    assert files > 4 and most == -(-files // 2)
