@@ -12,7 +12,7 @@ from scorebook.operators.nested import unpivot_prefix
 from scorebook.operators.upsert import latest_by_key
 from scorebook.plans import oracle as sql
 from scorebook.plans import workload
-from scorebook.plans.daily_run import DELIVERIES, MATCHES, RAW, WICKETS
+from scorebook.plans.daily_run import DELIVERIES, MATCHES, WICKETS
 from scorebook.plans.registry import query
 from scorebook.session import materialise
 from scorebook.plans.workload import RUN_ID, demo_lake, table
@@ -29,7 +29,8 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return demo_lake(spark, sf_dir).load(RAW)
+    """Raw rows for readers of what a document says of its match."""
+    return workload.parsed(demo_lake(spark, sf_dir), fields=["meta", "info"])
 
 
 def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:

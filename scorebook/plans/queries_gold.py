@@ -13,7 +13,7 @@ from scorebook.plans import oracle as sql
 from scorebook.plans.daily_run import DELIVERIES, MATCHES, WICKETS
 from scorebook.plans.queries_facts import big
 from scorebook.plans.registry import query
-from scorebook.plans.workload import demo_lake, table
+from scorebook.plans.workload import all_parts, demo_lake, table
 from scorebook.session import materialise
 
 _CARDS = sql.with_(sql.BALLS, sql.BATTING, sql.bowling(False), sql.cards(False))
@@ -259,8 +259,8 @@ SELECT * FROM bat WHERE league_name = 'Women''s Big Bash League'
 """)
 def scoped_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batting figures rebuilt from the raw documents of listed competitions only."""
-    parsed = docs.in_leagues(_load(spark, sf_dir, "bronze_raw_matches"), ["Women's Big Bash League"])
-    return gold.batting_stats(docs.build_deliveries(parsed))
+    listed = docs.in_leagues(all_parts(demo_lake(spark, sf_dir)), ["Women's Big Bash League"])
+    return gold.batting_stats(docs.build_deliveries(listed))
 
 
 @query("""

@@ -142,3 +142,21 @@ def test_matches_stream_from_files_that_follow_the_data(spark, monkeypatch):
         sources.stream_matches(spark, "/root/testdata/sf0.001")
     files, most = seen[0]
     assert files > 4 and most == -(-files // 2)
+
+
+def test_a_query_makes_only_the_tables_it_reads(spark, folder):
+    """Nothing but the documents for what they say of their match; balls straight from the texts."""
+    lake = workload.Workload(spark, f"file:{folder}/lazy", sf_dir=folder)
+    assert workload.parsed(lake, fields=["meta", "info"]).count() == 3 and lake.tables() == [workload.PARTS]
+    assert gold.real_balls(lake.load(workload.DELIVERIES)).count() == 85
+    assert lake.tables() == sorted([workload.PARTS, workload.DELIVERIES])
+    lake.load(workload.RAW)
+    written = lake.load(workload.RAW).select("match_id", "info.teams").collect()
+    assert Counter(map(str, written)) == Counter(map(str, workload._shaped(workload.texts(lake), "x", ["meta", "info"]).select("match_id", "info.teams").collect()))
+
+
+def test_a_scoped_rebuild_takes_all_parts_of_a_match(spark, folder, monkeypatch):
+    monkeypatch.setattr(workload, "PART", 7)
+    monkeypatch.setattr(workload, "_LAKES", {})
+    monkeypatch.setattr(queries_gold.docs, "in_leagues", lambda rows, leagues: rows)
+    assert queries_gold.scoped_rebuild(spark, folder).agg(F.sum("runs")).first()[0] == gold.batting_stats(workload.demo_lake(spark, folder).load(workload.DELIVERIES)).agg(F.sum("runs")).first()[0]
