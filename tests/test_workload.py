@@ -160,3 +160,11 @@ def test_a_scoped_rebuild_takes_all_parts_of_a_match(spark, folder, monkeypatch)
     monkeypatch.setattr(workload, "_LAKES", {})
     monkeypatch.setattr(queries_gold.docs, "in_leagues", lambda rows, leagues: rows)
     assert queries_gold.scoped_rebuild(spark, folder).agg(F.sum("runs")).first()[0] == gold.batting_stats(workload.demo_lake(spark, folder).load(workload.DELIVERIES)).agg(F.sum("runs")).first()[0]
+
+
+def test_the_gate_makes_the_gold_tables_once(spark, monkeypatch):
+    made = []
+    real = queries_runs.materialise
+    monkeypatch.setattr(queries_runs, "materialise", lambda df, label: made.append(label) or real(df, label))
+    queries_runs.dq_gate(spark, "/root/testdata/sf0.001")
+    assert sorted(made) == ["batting", "bowling", "summary"]
