@@ -168,3 +168,13 @@ def test_the_gate_makes_the_gold_tables_once(spark, monkeypatch):
     monkeypatch.setattr(queries_runs, "materialise", lambda df, label: made.append(label) or real(df, label))
     queries_runs.dq_gate(spark, "/root/testdata/sf0.001")
     assert sorted(made) == ["batting", "bowling", "summary"]
+
+
+def test_the_refresh_does_not_write_the_balls_anew(spark, monkeypatch):
+    written = []
+    real = Lake._write
+    monkeypatch.setattr(Lake, "_write", lambda self, name, *rest: written.append(name) or real(self, name, *rest))
+    workload.demo_lake(spark, "/root/testdata/sf0.001").load(workload.DELIVERIES)
+    written.clear()
+    sources.gold_refresh(spark, "/root/testdata/sf0.001")
+    assert workload.DELIVERIES not in written and written.count("gold_ai_team_season_cards") == 2
