@@ -84,9 +84,11 @@ def field_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     for divisor, found, put in ((5, '"total":([0-9]+)', '"total":$1.5'), (7, '"revision":1', '"revision":"one"'), (11, '"teams":\\[[^\\]]*\\]', '"teams":"two"')):
         text = F.when(key % divisor == 0, F.regexp_replace(text, found, put)).otherwise(text)
     changed = _texts(spark, sf_dir).select("source_path", text.alias("raw_json"))
-    raw = materialise(docs.shape_raw(docs.parse_documents(changed), RUN_ID), "warned")
+    # Only marked documents have warnings, and balls that are asked for.
+    marked = docs.shape_raw(docs.parse_documents(changed), RUN_ID).where(F.col("parse_error") == docs.UNFIT)
+    raw = materialise(marked, "warned")
     warned = docs.field_warnings(raw).groupBy("path", "expected", "match_id").agg(F.count("*").alias("fields"))
-    balls = docs.build_deliveries(raw.where("record_status = 'valid'")).groupBy("match_id").agg(F.count("batter").alias("balls"))
+    balls = docs.build_deliveries(raw).groupBy("match_id").agg(F.count("batter").alias("balls"))
     return warned.join(balls, "match_id", "left").groupBy("path", "expected").agg(
         F.sum("fields").alias("warnings"), F.count("*").alias("matches"), F.sum(F.coalesce("balls", F.lit(0))).alias("balls")
     )

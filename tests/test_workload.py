@@ -178,3 +178,15 @@ def test_the_refresh_does_not_write_the_balls_anew(spark, monkeypatch):
     written.clear()
     sources.gold_refresh(spark, "/root/testdata/sf0.001")
     assert workload.DELIVERIES not in written and written.count("gold_ai_team_season_cards") == 2
+
+
+def test_only_documents_with_warnings_are_kept(spark, monkeypatch):
+    """What is written for the warnings are the marked documents, not all of them."""
+    from scorebook.plans import queries_facts
+
+    kept = []
+    real = queries_facts.materialise
+    monkeypatch.setattr(queries_facts, "materialise", lambda df, label: kept.append(real(df, label)) or kept[-1])
+    folder = "/root/testdata/sf0.001"
+    warned = {r["path"]: r["matches"] for r in dicts(queries_facts.field_warnings(spark, folder))}
+    assert len(warned) == 3 and max(warned.values()) < kept[0].count() <= sum(warned.values())
