@@ -190,3 +190,10 @@ def test_only_documents_with_warnings_are_kept(spark, monkeypatch):
     folder = "/root/testdata/sf0.001"
     warned = {r["path"]: r["matches"] for r in dicts(queries_facts.field_warnings(spark, folder))}
     assert len(warned) == 3 and max(warned.values()) < kept[0].count() <= sum(warned.values())
+
+
+def test_checks_of_one_reading_write_no_gold_table(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(queries_runs, "materialise", lambda df, label: made.append(label) or df)
+    plan = queries_runs.dq_results(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert made == [] and "distinct" not in plan
