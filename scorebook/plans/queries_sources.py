@@ -136,7 +136,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS match_id FROM orders WHERE o_orderpriority
 """)
 def changed_in_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest rows that the second delivery wrote."""
-    current, batch = _delivered(spark, sf_dir)
+    current, batch = _delivered(spark, sf_dir, once=False)
     latest = upsert.merge_by_key(current, current, batch, *_KEY).latest
     return docs.changed_in_run(latest, ["load-2"]).select("match_id")
 

@@ -273,9 +273,14 @@ def build_raw(lake: Lake, sf_dir: str) -> None:
         lake.replace(name, _shaped(held, RUN_ID))
 
 
-def second_delivery(lake: Lake) -> DataFrame:
-    """Raw rows of the second delivery, parsed and written once as a run does with its batch."""
+def second_delivery(lake: Lake, fields: Sequence[str] = docs.PARSED) -> DataFrame:
+    """Raw rows of the second delivery, parsed and written once as a run does with its batch.
+
+    For readers of one pass that need no innings they come straight from the texts, unless they stand written.
+    """
     if not lake.exists(SECOND):
+        if "innings" not in fields:
+            return _shaped(revised_documents(texts(lake)), "load-2", fields)
         lake.replace(SECOND, _shaped(revised_documents(texts(lake)), "load-2"))
     return lake.load(SECOND)
 
