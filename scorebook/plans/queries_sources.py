@@ -17,7 +17,7 @@ from scorebook.plans.registry import ORACLES, query
 from scorebook.plans.workload import demo_lake, table, write_archives, write_files
 from scorebook.session import shared_dir
 from scorebook.sources import archives, files
-from scorebook.sources.tables import Lake
+from scorebook.sources.tables import Lake, ensure_columns
 from scorebook.streaming.ingest import ingest_stream, stream_batch
 
 #: Most documents in one file of a stream.
@@ -93,7 +93,10 @@ SELECT 'id' || c_custkey AS identifier, c_name || ', "' || c_mktsegment || '"' |
   CASE WHEN c_custkey // 1000 % 2 = 1 THEN 'n' || c_nationkey END AS key_nation, 'people.csv' AS source_file FROM customer
 """)
 def archive_register(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """People files inside zips, each with a header of its own: quotes, commas and line breaks in values, absent values."""
+    """People files inside zips, each with a header of its own: quotes, commas and line breaks in values, absent values.
+
+    The second header stands in files of every other thousand customers only; without one its column is NULL.
+    """
     key = F.col("c_custkey")
     who = table(spark, sf_dir, "customer").withColumn("slice", F.floor(key / 1000))
     name = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"\nx'))
@@ -103,7 +106,8 @@ def archive_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     ident = F.concat(F.lit("id"), key)
     line = F.when(odd, _quoted(nation, ident, name, phone)).otherwise(_quoted(ident, name, phone))
     members = _register_archives(spark, who.select("slice", header.alias("header"), line.alias("line")), "people.csv")
-    return archives.register_table(archives.register_rows(members, "people.csv"), "people.csv")
+    people = archives.register_table(archives.register_rows(members, "people.csv"), "people.csv")
+    return ensure_columns(people, {name: "string" for name in ("identifier", "name", "key_phone", "key_nation")})
 
 
 @query("""
