@@ -25,6 +25,7 @@ from scorebook.session import materialise, shared_dir
 from scorebook.sources.tables import Lake
 
 RUN_ID = "load-1"
+#: What the second delivery says of its matches, where it is written.
 SECOND = "second_delivery"
 #: Balls in one text of a match, and the table of the texts that continue one.
 PART = 1024
@@ -191,14 +192,22 @@ def _texts(matches: DataFrame, parts: DataFrame, how: str = "left") -> DataFrame
     return joined.select(name.alias("source_path"), text.alias("raw_json"), "key", "part")
 
 
+def of_type(name: str = "") -> Column:
+    """Texts of matches of this type, or with any: told from the text itself, without parsing it.
+
+    The texts are made by Spark, without spaces, and a quote within a value has a backslash before it.
+    """
+    return F.col("raw_json").contains(f'"match_type":"{name}"' if name else '"match_type":"')
+
+
 def revised_documents(texts: DataFrame) -> DataFrame:
     """Second delivery of the matches, by match type: changed with a higher revision (and moved to another
     season), changed with a lower one, exact copies, and matches the first delivery leaves out."""
-    text, kind = F.col("raw_json"), F.get_json_object("raw_json", "$.info.match_type")
-    set_revision = lambda n: F.regexp_replace(text, '"revision":1', f'"revision":{n}')
+    text = F.col("raw_json")
+    set_revision = lambda n: F.replace(text, F.lit('"revision":1'), F.lit(f'"revision":{n}'))
     moved = F.regexp_replace(set_revision(2), '"season":"[0-9]{4}"', '"season":"1990"')
-    changed = F.when(kind == "1-URGENT", moved).when(kind == "5-LOW", set_revision(0)).otherwise(text)
-    return texts.where(kind != "4-NOT SPECIFIED").select("source_path", changed.alias("raw_json"))
+    changed = F.when(of_type("1-URGENT"), moved).when(of_type("5-LOW"), set_revision(0)).otherwise(text)
+    return texts.where(of_type() & ~of_type("4-NOT SPECIFIED")).withColumn("raw_json", changed)
 
 
 _LAKES: dict[tuple[str, str], Lake] = {}
@@ -232,7 +241,12 @@ def texts(lake: Lake) -> DataFrame:
 
 def _later_texts(lake: Lake) -> DataFrame:
     """The texts that continue a match; each belongs to the match that its name begins with."""
-    return lake.load(PARTS).where("part > 0").select("source_path", "raw_json", F.col("key").cast("string").alias("match_id_candidate"))
+    return every_text(lake).where("match_id_candidate IS NOT NULL")
+
+
+def every_text(lake: Lake) -> DataFrame:
+    """All texts, the documents and those that continue one; ``match_id_candidate`` names the match of the latter."""
+    return lake.load(PARTS).select("source_path", "raw_json", F.when(F.col("part") > 0, F.col("key").cast("string")).alias("match_id_candidate"))
 
 
 def _shaped(documents: DataFrame, run_id: str, fields: Sequence[str] = docs.PARSED) -> DataFrame:
@@ -247,9 +261,13 @@ def parsed(lake: Lake, name: str = RAW, fields: Sequence[str] = docs.PARSED) ->
     return _shaped(texts(lake) if name == RAW else _later_texts(lake), RUN_ID, fields)
 
 
-def all_parts(lake: Lake) -> DataFrame:
-    """Raw rows of all texts, those that continue a match with them."""
-    return parsed(lake).unionByName(parsed(lake, LATER))
+def all_parts(lake: Lake, fields: Sequence[str] = docs.PARSED, absent: str | None = None) -> DataFrame:
+    """Raw rows of all texts, those that continue a match with them; without the matches of the type ``absent``."""
+    if lake.exists(RAW) and lake.exists(LATER):
+        rows = lake.load(RAW).unionByName(lake.load(LATER))
+        return rows if absent is None else rows.where(~F.col("info.match_type").eqNullSafe(F.lit(absent)))
+    held = every_text(lake)
+    return _shaped(held if absent is None else held.where(~of_type(absent)), RUN_ID, fields)
 
 
 #: Tables of the workload, each after those it may be made from.
@@ -274,15 +292,11 @@ def build_raw(lake: Lake, sf_dir: str) -> None:
 
 
 def second_delivery(lake: Lake, fields: Sequence[str] = docs.PARSED) -> DataFrame:
-    """Raw rows of the second delivery, parsed and written once as a run does with its batch.
+    """Raw rows of the second delivery, straight from its texts.
 
-    For readers of one pass that need no innings they come straight from the texts, unless they stand written.
+    With the innings it has a row for every text of a match; without them one for its document, which says the rest.
     """
-    if not lake.exists(SECOND):
-        if "innings" not in fields:
-            return _shaped(revised_documents(texts(lake)), "load-2", fields)
-        lake.replace(SECOND, _shaped(revised_documents(texts(lake)), "load-2"))
-    return lake.load(SECOND)
+    return _shaped(revised_documents(every_text(lake) if "innings" in fields else texts(lake)), "load-2", fields)
 
 
 def build_silver(lake: Lake) -> None:

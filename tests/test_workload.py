@@ -209,3 +209,12 @@ def test_the_second_delivery_is_compared_without_its_balls(spark, folder, monkey
     assert lake.tables() == sorted([workload.MATCHES, workload.PARTS])
     assert dicts(queries_runs.merge_counts(spark, folder))[0]["updated_count"] == 3 and {r["source_revision"] for r in dicts(queries_runs.merge_latest(spark, folder))} == {2}
     assert workload.RAW not in lake.tables() and workload.SECOND not in lake.tables()
+
+
+def test_the_second_delivery_has_all_parts_of_a_match(spark, folder, monkeypatch):
+    """Balls of texts that continue a match are in it as those of its document."""
+    monkeypatch.setattr(workload, "PART", 7)
+    monkeypatch.setattr(workload, "_LAKES", {})
+    whole = gold.batting_stats(workload.demo_lake(spark, folder).load(workload.DELIVERIES)).agg(F.sum("runs")).first()[0]
+    assert [(r["season"], r["pipeline_run_id"], r["balls"], r["runs"]) for r in dicts(queries_runs.replace_by_key(spark, folder))][0][:3] == ("1990", "load-2", 85)
+    assert queries_runs.incremental_gold(spark, folder).agg(F.sum("runs")).first()[0] == whole
