@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -54,50 +54,67 @@ def parse_documents(documents: DataFrame, fields: Sequence[str] = PARSED) -> Dat
     amiss = F.col(f"record.{CORRUPT}").isNotNull()
     whole = F.coalesce(F.schema_of_variant(F.try_parse_json(F.col("raw_json"))).startswith("OBJECT"), F.lit(False))
     broken = F.when(F.col("record").isNull(), True).when(amiss, ~whole).otherwise(False)
-    return documents.select("*", record.alias("record")).select("*", broken.alias("_broken")).select(
+    # One step after the parse, so that text and record are copied once.
+    return documents.select("*", record.alias("record")).select(
         *documents.columns,
-        F.when(F.col("_broken"), "malformed").otherwise("valid").alias("record_status"),
-        F.when(F.col("_broken"), F.lit(BROKEN)).when(amiss, F.lit(UNFIT)).alias("parse_error"),
-        *[F.when(~F.col("_broken"), F.col(f"record.{name}")).alias(name) for name in fields],
+        F.when(broken, "malformed").otherwise("valid").alias("record_status"),
+        F.when(broken, F.lit(BROKEN)).when(amiss, F.lit(UNFIT)).alias("parse_error"),
+        *[F.when(~broken, F.col(f"record.{name}")).alias(name) for name in fields],
     )
 
 
 _WARNING = "match_id string, source_file_sha256 string, path string, expected string, value string"
 
 
-def _unfit(value: object, kind: T.DataType, path: str) -> Iterator[tuple[str, str, object]]:
-    """(path, type, value) of what in ``value`` does not fit ``kind``; anything can be read as text, and null fits all."""
-    if value is None or isinstance(kind, T.StringType):
-        return
+Unfit = Callable[[object, list], None]
+
+
+def _unfit(kind: T.DataType, path: str = "") -> Unfit | None:
+    """What adds (path, type, value) of all in a value that does not fit ``kind``; anything can be read as text, and null fits all."""
+    if isinstance(kind, T.StringType):
+        return None
     if isinstance(kind, T.StructType):
-        if not isinstance(value, dict):
-            yield path, "object", value
-            return
-        for field in kind.fields:
-            yield from _unfit(value.get(field.name), field.dataType, f"{path}.{field.name}" if path else field.name)
-    elif isinstance(kind, T.ArrayType):
-        if not isinstance(value, list):
-            yield path, "list", value
-            return
-        for item in value:
-            yield from _unfit(item, kind.elementType, path)
-    elif isinstance(kind, T.MapType):
-        if not isinstance(value, dict):
-            yield path, "object", value
+        named = [(field.name, _unfit(field.dataType, f"{path}.{field.name}" if path else field.name)) for field in kind.fields]
+        return _nested(path, "object", dict, [(name, look) for name, look in named if look])
+    if isinstance(kind, T.ArrayType):
+        return _nested(path, "list", list, _unfit(kind.elementType, path))
+    if isinstance(kind, T.MapType):
+        return _nested(path, "object", dict, _unfit(kind.valueType, path))
+    shown = kind.simpleString()
+
+    def number(value: object, found: list) -> None:
+        if value is not None and (type(value) is not int or not -(2**31) <= value < 2**31):
+            found.append((path, shown, value))
+
+    return number
+
+
+def _nested(path: str, shown: str, kind: type, inner: Unfit | list[tuple[str, Unfit]] | None) -> Unfit:
+    def look(value: object, found: list) -> None:
+        if value is None:
             return
-        for item in value.values():
-            yield from _unfit(item, kind.valueType, path)
-    elif isinstance(value, bool) or not isinstance(value, int) or not -(2**31) <= value < 2**31:
-        yield path, kind.simpleString(), value
+        if not isinstance(value, kind):
+            found.append((path, shown, value))
+        elif isinstance(inner, list):
+            for name, test in inner:
+                if name in value:
+                    test(value[name], found)
+        elif inner is not None:
+            for item in value if kind is list else value.values():
+                inner(item, found)
+
+    return look
 
 
 def _warn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [name.split()[0] for name in _WARNING.split(", ")]
+    look = _unfit(DOCUMENT)
     for batch in batches:
         rows = []
         for match_id, digest, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-            for path, kind, value in _unfit(json.loads(text, strict=False), DOCUMENT, ""):
-                rows.append((match_id, digest, path, kind, json.dumps(value)[:200]))
+            found: list[tuple[str, str, object]] = []
+            look(json.loads(text, strict=False), found)
+            rows.extend((match_id, digest, path, kind, json.dumps(value)[:200]) for path, kind, value in found)
         yield pa.RecordBatch.from_arrays([pa.array([row[i] for row in rows], pa.string()) for i in range(len(names))], names=names)
 
 

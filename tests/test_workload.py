@@ -218,3 +218,16 @@ def test_the_second_delivery_has_all_parts_of_a_match(spark, folder, monkeypatch
     whole = gold.batting_stats(workload.demo_lake(spark, folder).load(workload.DELIVERIES)).agg(F.sum("runs")).first()[0]
     assert [(r["season"], r["pipeline_run_id"], r["balls"], r["runs"]) for r in dicts(queries_runs.replace_by_key(spark, folder))][0][:3] == ("1990", "load-2", 85)
     assert queries_runs.incremental_gold(spark, folder).agg(F.sum("runs")).first()[0] == whole
+
+
+def test_warnings_count_the_balls_of_all_parts(spark, folder, tmp_path, monkeypatch):
+    """All orders have every kind of warning: one of each head, however many texts repeat it, and one of each ball."""
+    from scorebook.plans import queries_facts
+
+    monkeypatch.setattr(workload, "PART", 7)
+    monkeypatch.setattr(workload, "_LAKES", {})
+    times = lambda name, key: spark.read.parquet(f"{folder}/{name}.parquet").withColumn(key, F.col(key) * 385).write.parquet(f"{tmp_path}/times/{name}.parquet")
+    times("orders", "o_orderkey"), times("lineitem", "l_orderkey"), times("nation", "n_nationkey"), times("region", "r_regionkey")
+    spark.read.parquet(f"{folder}/customer.parquet").write.parquet(f"{tmp_path}/times/customer.parquet")
+    found = {r["path"]: (r["warnings"], r["matches"], r["balls"]) for r in dicts(queries_facts.field_warnings(spark, f"{tmp_path}/times"))}
+    assert found == {"innings.overs.deliveries.runs.total": (85, 2, 85), "meta.revision": (3, 3, 85), "info.teams": (3, 3, 85)}
