@@ -142,8 +142,8 @@ def identify(documents: DataFrame) -> DataFrame:
 
 
 def shape_raw(parsed: DataFrame, run_id: str) -> DataFrame:
-    """Parsed documents ``(source_path, raw_json[, lineage])`` -> raw records with id, hash, revision and
-    run columns, followed by the parsed structs."""
+    """Parsed documents ``(source_path, raw_json[, lineage][, part])`` -> raw records with id, hash, revision and
+    run columns, followed by the part of the match a text is, if that is told, and the parsed structs."""
     parsed = _with_lineage(parsed)
     raw = F.col("raw_json")
     named = F.coalesce(F.col("match_id_candidate"), F.col("source_path"))
@@ -166,7 +166,7 @@ def shape_raw(parsed: DataFrame, run_id: str) -> DataFrame:
         F.current_date().alias("ingestion_date"),
         "record_status",
         "parse_error",
-        *[name for name in PARSED if name in parsed.columns],
+        *[name for name in ("part", *PARSED) if name in parsed.columns],
     )
 
 

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ from scorebook.sources.tables import Lake, empty_table, in_partitions, listed_pa
 
 RAW = "bronze_raw_matches"
 VERSIONS = "bronze_raw_match_versions"
+#: Texts that continue a match: a long one arrives as its document and further texts.
+CONTINUED = "bronze_continued_texts"
 MATCHES = "silver_matches"
 DELIVERIES = "silver_deliveries"
 WICKETS = "silver_wickets"
@@ -275,6 +278,50 @@ def _only_rows(wide: DataFrame, narrow: DataFrame, wanted: DataFrame) -> DataFra
     return wide.join(unwanted, ROW, "left_anti")
 
 
+_TEXT = ["match_id", "part", "source_file_sha256"]
+
+
+def _split(documents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The documents of matches, and the texts that continue one, if ``part`` says which text of its match each is."""
+    if "part" not in documents.columns:
+        return documents, None
+    later = F.coalesce("part", F.lit(0)) > 0
+    return documents.where(~later).drop("part"), documents.where(later)
+
+
+def ingest_continued(lake: Lake, run: Run, texts: DataFrame) -> None:
+    """Keep the texts that continue a match, each content of a part once."""
+    if texts.isEmpty():
+        return
+    parsed = docs.shape_raw(docs.parse_documents(texts, ["meta"]), run.run_id).drop("meta")
+    numbered = parsed.withColumns({
+        "source_revision": F.coalesce("source_revision", F.lit(0)),
+        BUCKET: bucket_of(F.col("match_id"), run.buckets),
+        ROW: F.monotonically_increasing_id(),
+    })
+    batch = materialise(numbered, "continued")
+    narrow = batch.select(ROW, "source_path", *_TEXT)
+    known = lake.load_or_empty(CONTINUED, batch.drop(ROW).schema).select(*_TEXT)
+    added = upsert.latest_by_key(narrow, _TEXT, [F.col("source_path").asc()]).join(known, _TEXT, "left_anti")
+    lake.append(CONTINUED, _only_rows(batch, narrow, added).drop(ROW), [BUCKET])
+
+
+def _continued(lake: Lake, run: Run, matches: DataFrame) -> DataFrame | None:
+    """Parsed texts that continue these matches: of each part the newest that has the revision of the match's document.
+
+    Which they are is found on narrow rows. The texts of one long match are then spread by their part.
+    """
+    if not lake.exists(CONTINUED):
+        return None
+    heads = matches.select("match_id", F.coalesce("source_revision", F.lit(0)).alias("source_revision"), bucket_of(F.col("match_id"), run.buckets).alias(BUCKET))
+    held = in_partitions(lake.load(CONTINUED), listed_partitions(heads.select(BUCKET).distinct())).where("record_status = 'valid'")
+    standing = held.select(*_TEXT, "source_revision", "ingestion_timestamp").join(heads, ["match_id", "source_revision"], "left_semi")
+    newest = [F.col("ingestion_timestamp").desc_nulls_last(), F.col("source_file_sha256").desc()]
+    current = materialise(upsert.latest_by_key(standing, _TEXT[:2], newest).select(*_TEXT), "current")
+    texts = held.join(current, _TEXT, "left_semi").drop("record_status", "parse_error", "part")
+    return docs.parse_documents(texts).drop("raw_json")
+
+
 COMPLETED = "COMPLETED"
 
 
@@ -311,9 +358,15 @@ def _changed(lake: Lake, run: Run, taken: DataFrame, pending: list[str]) -> Data
     reparsed = lambda rows: docs.parse_documents(rows.drop("record_status", "parse_error")).drop("raw_json")
     if run.full:
         return materialise(reparsed(current(lake.load(RAW))), "changed")
-    if not pending:
+    late = [docs.changed_in_run(lake.load(RAW), pending)] if pending else []
+    if lake.exists(CONTINUED):
+        # Matches whose document stood before, or was taken over by a run that broke off.
+        arrived = docs.changed_in_run(lake.load(CONTINUED), [run.run_id, *pending])
+        late += [] if arrived.isEmpty() else [arrived]
+    if not late:
         return taken
-    behind = docs.changed_in_run(lake.load(RAW), pending).join(taken.select("match_id"), "match_id", "left_anti")
+    ids = reduce(DataFrame.unionByName, [rows.select("match_id") for rows in late]).distinct()
+    behind = lake.load(RAW).join(ids, "match_id", "left_semi").join(taken.select("match_id"), "match_id", "left_anti")
     return materialise(taken.unionByName(reparsed(current(behind))), "changed")
 
 
@@ -332,7 +385,9 @@ def build_facts(lake: Lake, run: Run, changed: DataFrame, pending: list[str]) ->
     with _task(lake, run, "build_facts") as counts:
         bucket = bucket_of(F.col("match_id"), run.buckets)
         wanted = docs.in_leagues(changed, run.leagues)
-        balls = materialise(docs.build_deliveries(wanted).withColumn(BUCKET, bucket), "deliveries")
+        later = _continued(lake, run, wanted)
+        texts = wanted if later is None else wanted.unionByName(later, allowMissingColumns=True)
+        balls = materialise(docs.build_deliveries(texts).withColumn(BUCKET, bucket), "deliveries")
         fresh = {
             MATCHES: materialise(docs.build_matches(wanted).withColumn(BUCKET, bucket), "matches"),
             DELIVERIES: balls,
@@ -498,7 +553,8 @@ def run_lake(
 ) -> DataFrame:
     """The whole run; returns its one-row summary. Starting a failed run again completes it.
 
-    ``documents`` are scanned match documents, with their lineage if ``docs.attach_lineage`` has added it. ``register`` and
+    ``documents`` are scanned match documents, with their lineage if ``docs.attach_lineage`` has added it. A column ``part`` above
+    0 marks texts that continue the match named by their ``match_id_candidate``; they may arrive before or after its document. ``register`` and
     ``names`` are the rows of the people and names files, if they arrived. ``archives`` is a folder of zips whose members
     are taken in as well; a register given apart goes before one in an archive.
     """
@@ -512,7 +568,10 @@ def run_lake(
         documents, register, names = _arrived(lake, run, documents, register, names, archives)
         focus = materialise(segments.focus_leagues(focus_config, run.focus), "focus")
         renewed = _settings(lake, run, focus)
+        documents, later = _split(documents)
         taken = ingest_raw(lake, run, documents)
+        if later is not None:
+            ingest_continued(lake, run, later)
         changed = _changed(lake, run, taken, pending)
         unchanged = changed.isEmpty()
         if unchanged and not (renewed and lake.exists(FACTS)):

@@ -48,9 +48,9 @@ def file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT m.match_id, 1::BIGINT AS revision, count(d.match_id) AS balls, coalesce(sum(d.total_runs), 0)::BIGINT AS runs FROM m LEFT JOIN d ON d.match_id = m.match_id GROUP BY m.match_id
 """)
 def stream_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All match documents through the stream in bounded batches, the first one handed over again: the facts of one whole run."""
+    """All texts of the matches through the stream in bounded batches, the first one handed over again: the facts of one whole run."""
     base = _folder(spark, "stream")
-    texts = workload.texts(demo_lake(spark, sf_dir))
+    texts = workload.every_text(demo_lake(spark, sf_dir))
     # Four files or as many as the data asks for, taken in by two batches.
     most = min(FILE_ROWS, max(1, -(-texts.count() // 4)))
     texts.write.option("maxRecordsPerFile", most).option("compression", "zstd").parquet(f"{base}/landing")

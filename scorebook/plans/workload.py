@@ -262,17 +262,17 @@ def texts(lake: Lake) -> DataFrame:
 
 def _later_texts(lake: Lake) -> DataFrame:
     """The texts that continue a match; each belongs to the match that its name begins with."""
-    return every_text(lake).where("match_id_candidate IS NOT NULL")
+    return every_text(lake).where("part > 0")
 
 
 def every_text(lake: Lake) -> DataFrame:
-    """All texts, the documents and those that continue one; ``match_id_candidate`` names the match of the latter."""
-    return lake.load(PARTS).select("source_path", "raw_json", F.when(F.col("part") > 0, F.col("key").cast("string")).alias("match_id_candidate"))
+    """All texts, the documents and those that continue one; ``match_id_candidate`` names the match of the latter, ``part`` is above 0."""
+    return lake.load(PARTS).select("source_path", "raw_json", F.when(F.col("part") > 0, F.col("key").cast("string")).alias("match_id_candidate"), "part")
 
 
 def _shaped(documents: DataFrame, run_id: str, fields: Sequence[str] = docs.PARSED) -> DataFrame:
     """Raw rows without their text, which stands once in the documents."""
-    return docs.shape_raw(docs.parse_documents(documents, fields), run_id).drop("raw_json")
+    return docs.shape_raw(docs.parse_documents(documents, fields), run_id).drop("raw_json", "part")
 
 
 def parsed(lake: Lake, name: str = RAW, fields: Sequence[str] = docs.PARSED) -> DataFrame:

@@ -12,8 +12,8 @@ from scorebook.plans.daily_run import Run, run_lake
 from scorebook.sources.tables import Lake
 
 
-#: Shape of the rows in files of documents.
-ROWS = "source_path string, raw_json string"
+#: Shape of the rows in files of documents; the last two are for texts that continue a match and may be absent.
+ROWS = "source_path string, raw_json string, match_id_candidate string, part bigint"
 LEDGER = "stream_log"
 _LEDGER = "stream string, checkpoint string, batch_id bigint, run_id string, committed_at timestamp"
 

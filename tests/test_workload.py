@@ -231,3 +231,12 @@ def test_warnings_count_the_balls_of_all_parts(spark, folder, tmp_path, monkeypa
     spark.read.parquet(f"{folder}/customer.parquet").write.parquet(f"{tmp_path}/times/customer.parquet")
     found = {r["path"]: (r["warnings"], r["matches"], r["balls"]) for r in dicts(queries_facts.field_warnings(spark, f"{tmp_path}/times"))}
     assert found == {"innings.overs.deliveries.runs.total": (85, 2, 85), "meta.revision": (3, 3, 85), "info.teams": (3, 3, 85)}
+
+
+def test_the_stream_takes_all_parts_of_a_match(spark, folder, monkeypatch):
+    """A match of twelve texts comes in over both batches, whichever of its texts is first."""
+    monkeypatch.setattr(workload, "PART", 7)
+    monkeypatch.setattr(workload, "_LAKES", {})
+    runs = {r["match_id"]: r["runs"] for r in dicts(workload.demo_lake(spark, folder).load(workload.DELIVERIES).groupBy("match_id").agg(F.coalesce(F.sum("total_runs"), F.lit(0)).alias("runs")))}
+    got = {r["match_id"]: (r["revision"], r["balls"], r["runs"]) for r in dicts(sources.stream_matches(spark, folder))}
+    assert got == {"1": (1, 80, runs["1"]), "2": (1, 5, runs["2"]), "3": (1, 0, 0)}
