@@ -240,3 +240,8 @@ def test_the_stream_takes_all_parts_of_a_match(spark, folder, monkeypatch):
     runs = {r["match_id"]: r["runs"] for r in dicts(workload.demo_lake(spark, folder).load(workload.DELIVERIES).groupBy("match_id").agg(F.coalesce(F.sum("total_runs"), F.lit(0)).alias("runs")))}
     got = {r["match_id"]: (r["revision"], r["balls"], r["runs"]) for r in dicts(sources.stream_matches(spark, folder))}
     assert got == {"1": (1, 80, runs["1"]), "2": (1, 5, runs["2"]), "3": (1, 0, 0)}
+
+
+def test_the_gate_parses_no_text_for_the_people_of_both_checks(spark):
+    plan = queries_runs.dq_gate(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "raw_json" not in plan and "person_id" in plan
