@@ -156,7 +156,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, matches = items(spark, sf_dir), played(spark, sf_dir)
     # At most one key for each PART items.
     several = materialise(rows.groupBy("key").count().where(F.col("count") > PART).select("key"), "several_parts")
-    whole = lambda matches, rows: _texts(matches.join(_one_part(rows), "key", "left"), _joined_balls(), F.lit(0).cast("long"))
+    whole = lambda matches, rows: _texts(matches.join(_one_part(rows).hint("merge"), "key", "left"), _joined_balls(), F.lit(0).cast("long"))
     if several.isEmpty():
         return whole(matches, rows)
     numbered = positions(rows.join(several, "key", "left_semi"), {"at": ["key"], "nth": ["key", "side", "over"]}, ["key", "side", "over", *ITEM])
